@@ -114,6 +114,12 @@ def deltas_to_counts(
     size_ms, slide_ms = duration_ms(size), duration_ms(slide)
     bucket_ms = max(duration_ms(bucket) if bucket else 86_400_000, size_ms)
     d = deltas.withColumn("_b", F.floor(F.col("end") / F.lit(bucket_ms)).cast("bigint"))
+    # The explode below multiplies rows by up to size/slide after this exchange.
+    # A fixed partition count keeps AQE from coalescing the (small) delta
+    # shuffle into a few tasks that would then each emit the expanded output.
+    spark = deltas.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    d = d.repartition(parts, *keys, "_b")
     # One small table per (key, bucket): carry-in sum and the next bucket's first end.
     per_bucket = d.groupBy(*keys, "_b").agg(
         F.sum(delta).alias("_bsum"), F.min("end").alias("_bfirst")

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from ..functions.hashing import poly_hash
 from ..functions.text import exclude_static_assets
 from ..functions.time import duration_ms, format_bound
-from ..operators import aggregates, rank, windows
+from ..functions.text import split_words
+from ..operators import aggregates, gate, late, rank, rising, routing, sequence, windows
 from ..sources import tables
 
 HOUR = "1 hour"
@@ -52,8 +53,302 @@ def hot_items_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank.ranked_report(hot_items(spark, sf_dir), "window_end", "item_id", "cnt")
 
 
+# ------------------------------------------------------------------ urls
+
+
+def hot_url_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests of page k -> counts per url and 10m/5s window.
+
+    Deltas are pre-aggregated per (page, end) before the page dimension is
+    joined, so the join sees one row per page and change point, not one per
+    request, and a hot page cannot skew it.  Urls are re-aggregated after the
+    join because distinct pages may share a url.
+    """
+    ev = tables.events(spark, sf_dir)
+    size, slide = duration_ms("10 minutes"), duration_ms("5 seconds")
+    deltas = windows.window_deltas(ev, ["item_id"], "ts_ms", size, slide)
+    urls = exclude_static_assets(tables.pages(spark, sf_dir))
+    joined = deltas.join(urls, deltas["item_id"] == urls["page_id"])
+    by_url = joined.groupBy("url", "end").agg(F.sum("delta").alias("delta"))
+    return windows.deltas_to_counts(by_url, ["url"], size, slide)
+
+
+def hot_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 -> P6 -> W2 10m/5s -> A1 -> K1(5)."""
+    ranked = rank.top_n(hot_url_counts(spark, sf_dir), ["window_end"], "cnt", "url", 5)
+    return ranked.select("window_end", "rnk", "url", "cnt")
+
+
+def hot_urls_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank.ranked_report(
+        hot_urls(spark, sf_dir), "window_end", "url", "cnt", labels=rank.URL_LABELS
+    )
+
+
+# ------------------------------------------------------------------ visitors
+
+
+def unique_visitors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 -> P3 -> W1 60m -> A5 exact distinct users."""
+    return aggregates.distinct_users(_views(spark, sf_dir), "user_id", "ts", HOUR)
+
+
+def unique_visitors_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 -> P3 -> W1 60m -> A6 bitmap of the user-id string hash."""
+    return aggregates.bitmap_distinct_users(_views(spark, sf_dir), "user_id", "ts_ms", HOUR)
+
+
+def unique_visitors_running(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 -> P3 -> W1 60m -> A7 running distinct count at each first sighting."""
+    return aggregates.running_distinct_users(
+        _views(spark, sf_dir), "user_id", "ts_ms", "seq", HOUR
+    )
+
+
+# ------------------------------------------------------------------ marketing / ads
+
+
+def _marketing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Behaviour UNINSTALL maps to event_type 'error'
+    ev = tables.events(spark, sf_dir).where(F.col("event_type") != "error")
+    return ev.select(
+        (F.col("item_id") % 6).cast("string").alias("channel"),
+        F.col("event_type").alias("behavior"),
+        "ts_ms",
+    )
+
+
+def _labelled(counts: DataFrame, size_ms: int) -> list:
+    return [
+        format_bound(F.col("window_end") - F.lit(size_ms)).alias("window_start"),
+        format_bound("window_end").alias("window_end"),
+    ]
+
+
+def marketing_by_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P4 -> W2 1h/1s -> A3: count per (channel, behaviour) with formatted bounds."""
+    size, slide = duration_ms("1 hour"), duration_ms("1 second")
+    m = _marketing(spark, sf_dir)
+    counts = windows.deltas_to_counts(
+        windows.window_deltas(m, ["channel", "behavior"], "ts_ms", size, slide),
+        ["channel", "behavior"], size, slide,
+    )
+    return counts.select(*_labelled(counts, size), "channel", "behavior", "cnt")
+
+
+def marketing_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P4 -> W2 1h/1s -> A4: one total per window, labelled total/total.
+
+    The single (un-keyed) series is computed from pre-aggregated deltas with a
+    day-bucketed running sum, so it is not funnelled through one task.
+    """
+    size, slide = duration_ms("1 hour"), duration_ms("1 second")
+    m = _marketing(spark, sf_dir)
+    counts = windows.deltas_to_counts(
+        windows.window_deltas(m, [], "ts_ms", size, slide), [], size, slide
+    )
+    return counts.select(
+        *_labelled(counts, size),
+        F.lit("total").alias("channel"),
+        F.lit("total").alias("behavior"),
+        "cnt",
+    )
+
+
+def _clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = tables.events(spark, sf_dir)
+    return ev.select(
+        "user_id", "item_id", (F.col("item_id") % 6).cast("string").alias("province"),
+        "ts_ms", "seq",
+    )
+
+
+def _province_counts(clicks: DataFrame) -> DataFrame:
+    size, slide = duration_ms("60 minutes"), duration_ms("5 seconds")
+    counts = windows.deltas_to_counts(
+        windows.window_deltas(clicks, ["province"], "ts_ms", size, slide),
+        ["province"], size, slide,
+    )
+    return counts.select(format_bound("window_end").alias("window_end"), "province", "cnt")
+
+
+def ad_by_province(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 -> W2 60m/5s -> A1 -> P9: clicks per province."""
+    return _province_counts(_clicks(spark, sf_dir))
+
+
+LIMIT_KEYS = ["user_id"]
+LIMIT_MAX = 1
+
+
+def _limited(spark: SparkSession, sf_dir: str):
+    routed = routing.daily_limit(_clicks(spark, sf_dir), LIMIT_KEYS, "ts_ms", "seq", LIMIT_MAX)
+    return routing.limiter_outputs(routed, LIMIT_KEYS, LIMIT_MAX)
+
+
+def ad_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 -> T1 -> T2 main: province counts of the clicks the limiter passed."""
+    main, _ = _limited(spark, sf_dir)
+    return _province_counts(main)
+
+
+def ad_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 -> T1 -> T2 side: one warning per key and day over the limit."""
+    _, side = _limited(spark, sf_dir)
+    return side
+
+
+# ------------------------------------------------------------------ sequences, sensors
+
+SEQUENCE_SPAN = "3 days"  # reference: 10 seconds, on data ~10^4 times denser
+SENSOR_WINDOW = "6 hours"  # reference: 5 seconds
+SENSOR_SLIDING = ("12 hours", "6 hours")  # reference: 10 s / 5 s
+SENSOR_PANE = "1 hour"  # reference: 1 second
+RISE_INTERVAL = "1 day"  # reference: 1 second
+
+
+def login_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S8 -> T6: three adjacent failures of one user within the span."""
+    ev = tables.events(spark, sf_dir).select("user_id", "ts_ms", "seq", "event_id", "event_type")
+    fail = lambda r: r("event_type") == "error"
+    res = sequence.strict_sequence(
+        ev, ["user_id"], "ts_ms", "seq", [fail, fail, fail], SEQUENCE_SPAN,
+        emit=["event_id"], names=["first", "second", "third"],
+    )
+    return res
+
+
+def _sensors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = tables.events(spark, sf_dir)
+    return ev.select(
+        F.col("user_id").cast("string").alias("id"), "ts", "ts_ms", "seq",
+        F.col("value").alias("temperature"),
+    )
+
+
+def sensor_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per sensor and sliding window, first reading's time and min temperature."""
+    size, slide = SENSOR_SLIDING
+    return aggregates.first_with_min(
+        _sensors(spark, sf_dir), ["id"], "ts", "ts_ms", "seq", "temperature", size, slide
+    )
+
+
+def sensor_minmax(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per sensor and tumbling window, min and max temperature."""
+    return aggregates.min_max(_sensors(spark, sf_dir), ["id"], "ts", "temperature", SENSOR_WINDOW)
+
+
+def sensor_early(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running min/max at every pane of each sensor window, last one final."""
+    return late.early_results(
+        _sensors(spark, sf_dir), ["id"], "ts_ms", "temperature", SENSOR_WINDOW, SENSOR_PANE
+    )
+
+
+def rising_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5: alert when a sensor's temperature kept rising for the interval."""
+    return rising.rising_alerts(
+        _sensors(spark, sf_dir), "id", "ts_ms", "seq", "temperature", RISE_INTERVAL
+    )
+
+
+GATE_CONTROL = "signup"
+GATE_OPEN = "6 hours"
+
+
+def gated_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings forwarded only while their sensor's gate is open.
+
+    Controls are 'signup' events opening the user's gate for six hours; the
+    readings are all other events.
+    """
+    ev = tables.events(spark, sf_dir)
+    controls = ev.where(F.col("event_type") == GATE_CONTROL).select(
+        F.col("user_id").alias("cid"), F.col("ts_ms").alias("cts"),
+        F.lit(duration_ms(GATE_OPEN)).cast("bigint").alias("dur"),
+    )
+    readings = ev.where(F.col("event_type") != GATE_CONTROL).select(
+        F.col("user_id").alias("id"), "ts_ms", "event_id", F.col("value").alias("temperature")
+    )
+    return gate.timed_gate(readings, controls, "id", "ts_ms", "cid", "cts", "dur", seq="event_id")
+
+
+def freezing_alarm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T3: "Freezing Alarm for <id>" for every reading below 32."""
+    return routing.threshold_alarm(
+        _sensors(spark, sf_dir), "id", "temperature", 32.0, keep=["id", "ts_ms", "seq"]
+    )
+
+
+def low_temperature_alarm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4: fixed message for every reading below 1000."""
+    return routing.threshold_alarm(
+        _sensors(spark, sf_dir), "id", "temperature", 1000.0,
+        fixed_text=routing.LOW_TEMPERATURE_TEXT, keep=["id", "ts_ms", "seq"],
+    )
+
+
+# ------------------------------------------------------------------ late data
+
+LATE_DELAY = "1 hour"
+LATE_ALLOWED = "2 hours"
+LATE_WINDOW = "1 hour"
+
+
+def _arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with a jittered arrival time (ties by event_id): 0-10006 s late."""
+    ev = tables.events(spark, sf_dir)
+    jitter = F.pmod(F.col("event_id") * F.lit(7919), F.lit(10007)) * F.lit(1000)
+    return ev.withColumn("arrival_ms", F.col("ts_ms") + jitter)
+
+
+def late_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L3 + L4: rows below the watermark at their arrival go to the side output."""
+    res = late.late_split(_arrivals(spark, sf_dir), "ts_ms", "arrival_ms", "seq", LATE_DELAY)
+    return res.select("event_id", "ts_ms", "arrival_ms", "is_late", "side_msg")
+
+
+def late_revision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First result per (type, hour) and one revision per accepted late row."""
+    return late.late_revisions(
+        _arrivals(spark, sf_dir), ["event_type"], "ts_ms", "arrival_ms", "seq",
+        LATE_WINDOW, LATE_DELAY, LATE_ALLOWED,
+    )
+
+
+# ------------------------------------------------------------------ text
+
+
+def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P7 -> A10: whitespace tokens of every document, counted."""
+    words = split_words(tables.documents(spark, sf_dir), "text", "word")
+    return words.groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
+
+
 REGISTRY = {
     "page_views": page_views,
     "hot_items": hot_items,
     "hot_items_report": hot_items_report,
+    "hot_urls": hot_urls,
+    "hot_urls_report": hot_urls_report,
+    "unique_visitors": unique_visitors,
+    "unique_visitors_bitmap": unique_visitors_bitmap,
+    "unique_visitors_running": unique_visitors_running,
+    "marketing_by_channel": marketing_by_channel,
+    "marketing_total": marketing_total,
+    "ad_by_province": ad_by_province,
+    "ad_limited": ad_limited,
+    "ad_blacklist": ad_blacklist,
+    "login_failures": login_failures,
+    "sensor_reduce": sensor_reduce,
+    "sensor_minmax": sensor_minmax,
+    "sensor_early": sensor_early,
+    "rising_alert": rising_alert,
+    "gated_readings": gated_readings,
+    "freezing_alarm": freezing_alarm,
+    "low_temperature_alarm": low_temperature_alarm,
+    "late_split": late_split,
+    "late_revision": late_revision,
+    "word_count": word_count,
 }
