@@ -9,8 +9,6 @@ carry-in computed from a small per-bucket table (one row per key and bucket).
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,10 +23,9 @@ def _combine(kind: str, carry: Column, inner: Column) -> Column:
     return F.least(carry, inner)
 
 
-def null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column | None:
-    if not cols:
-        return None
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
+def key_struct(keys: list[str]) -> Column:
+    """All key columns as one struct: never null, and null fields compare equal."""
+    return F.struct(*[F.col(k) for k in keys])
 
 
 def bucketed_running(
@@ -45,32 +42,29 @@ def bucketed_running(
 
     ``bucket`` must be a column that is non-decreasing along ``order`` within a
     key (for example ``floor(t / width)``).  ``inclusive=False`` excludes the
-    current row.  Rows stay where they are; only the per-bucket table is
-    windowed per key.
+    current row.  Rows are hash-partitioned once by (key, bucket); the small
+    per-bucket table is windowed per key and joined back on the same
+    partitioning, and the row-level window reuses it.
     """
     agg = _AGGS[kind]
-    per_bucket = df.groupBy(*keys, bucket).agg(agg(value).alias("_bucket_val"))
-    w_keys = Window.partitionBy(*keys).orderBy(bucket) if keys else Window.orderBy(bucket)
+    kcols = ["_pkey"] if keys else []
+    src = df.withColumn("_pkey", key_struct(keys)) if keys else df
+    src = src.repartition(*kcols, bucket)
+    per_bucket = src.groupBy(*kcols, bucket).agg(agg(value).alias("_bucket_val"))
+    w_keys = Window.partitionBy(*kcols).orderBy(bucket)
     carry = per_bucket.select(
-        *keys,
+        *kcols,
         bucket,
         agg("_bucket_val")
         .over(w_keys.rowsBetween(Window.unboundedPreceding, -1))
         .alias("_carry"),
     )
-    join_cols = [*keys, bucket]
-    left = df.alias("l")
-    right = carry.alias("r")
-    cond = null_safe_on(left, right, join_cols)
-    joined = left.join(right, cond, "inner").select(
-        *[left[c] for c in df.columns], right["_carry"]
-    )
+    joined = src.join(carry, [*kcols, bucket], "inner")
     frame_end = 0 if inclusive else -1
     w_in = (
-        Window.partitionBy(*keys, bucket)
+        Window.partitionBy(*kcols, bucket)
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, frame_end)
     )
-    return joined.withColumn(out, _combine(kind, F.col("_carry"), agg(value).over(w_in))).drop(
-        "_carry"
-    )
+    res = joined.withColumn(out, _combine(kind, F.col("_carry"), agg(value).over(w_in)))
+    return res.select(*df.columns, out)

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.time import duration_ms, floor_to, spark_interval, to_ms
-from .prefix import null_safe_on
+from .prefix import key_struct
 
 DELTA_RATIO_THRESHOLD = 16
 
@@ -113,33 +113,38 @@ def deltas_to_counts(
     """
     size_ms, slide_ms = duration_ms(size), duration_ms(slide)
     bucket_ms = max(duration_ms(bucket) if bucket else 86_400_000, size_ms)
-    d = deltas.withColumn("_b", F.floor(F.col("end") / F.lit(bucket_ms)).cast("bigint"))
     # The explode below multiplies rows by up to size/slide after this exchange.
     # A fixed partition count keeps AQE from coalescing the (small) delta
     # shuffle into a few tasks that would then each emit the expanded output.
-    spark = deltas.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    d = d.repartition(parts, *keys, "_b")
-    # One small table per (key, bucket): carry-in sum and the next bucket's first end.
-    per_bucket = d.groupBy(*keys, "_b").agg(
-        F.sum(delta).alias("_bsum"), F.min("end").alias("_bfirst")
+    # Keys travel as one struct (never null, null fields compare equal), so the
+    # same hash partitioning serves the per-bucket aggregate, the join and the
+    # window without further exchanges.
+    parts = int(deltas.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    grp = key_struct(keys)
+    d = deltas.select(
+        *([grp.alias("_key")] if keys else []),
+        "end",
+        F.col(delta).alias("_d"),
+        F.floor(F.col("end") / F.lit(bucket_ms)).cast("bigint").alias("_b"),
     )
-    w_keys = Window.partitionBy(*keys).orderBy("_b") if keys else Window.orderBy("_b")
+    kcols = ["_key"] if keys else []
+    d = d.repartition(parts, *kcols, "_b")
+    # One small table per (key, bucket): carry-in sum and the next bucket's first end.
+    per_bucket = d.groupBy(*kcols, "_b").agg(F.sum("_d").alias("_bsum"), F.min("end").alias("_bfirst"))
+    w_keys = Window.partitionBy(*kcols).orderBy("_b")
     table = per_bucket.select(
-        *keys,
+        *kcols,
         "_b",
         F.sum("_bsum").over(w_keys.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"),
         F.lead("_bfirst").over(w_keys).alias("_next_first"),
     )
-    left, right = d.alias("l"), table.alias("r")
-    joined = left.join(right, null_safe_on(left, right, [*keys, "_b"]), "inner").select(
-        *[left[c] for c in d.columns], right["_carry"], right["_next_first"]
-    )
-    w_in = Window.partitionBy(*keys, "_b").orderBy("end")
-    running = F.sum(delta).over(w_in.rowsBetween(Window.unboundedPreceding, 0))
+    joined = d.join(table, [*kcols, "_b"], "inner")
+    w_in = Window.partitionBy(*kcols, "_b").orderBy("end")
+    running = F.sum("_d").over(w_in.rowsBetween(Window.unboundedPreceding, 0))
     cnt = F.coalesce(F.col("_carry"), F.lit(0)) + running
     nxt = F.coalesce(F.lead("end").over(w_in), F.col("_next_first"))
-    runs = joined.select(*keys, "end", cnt.alias(out), nxt.alias("_next"))
+    unpack = [F.col(f"_key.{k}").alias(k) for k in keys]
+    runs = joined.select(*unpack, "end", cnt.alias(out), nxt.alias("_next"))
     runs = runs.where((F.col(out) > 0) & F.col("_next").isNotNull())
     ends = F.sequence(F.col("end"), F.col("_next") - F.lit(slide_ms), F.lit(slide_ms).cast("bigint"))
     return runs.select(*keys, F.explode(ends).alias("window_end"), out)
