@@ -27,6 +27,7 @@ def running_watermark(
     out: str = "watermark",
     bucket="1 hour",
     keys: list[str] | None = None,
+    carry_max: int | None = None,
 ) -> DataFrame:
     """L3 as a column: the watermark in force when each row arrived.
 
@@ -40,7 +41,10 @@ def running_watermark(
     res = bucketed_running(
         with_b, keys or [], "_ab", [arrival, seq], ts_ms, "_maxprev", kind="max", inclusive=False
     )
-    return res.withColumn(out, F.col("_maxprev") - F.lit(duration_ms(delay))).drop("_maxprev", "_ab")
+    maxprev = F.col("_maxprev")
+    if carry_max is not None:
+        maxprev = F.greatest(maxprev, F.lit(carry_max).cast("bigint"))
+    return res.withColumn(out, maxprev - F.lit(duration_ms(delay))).drop("_maxprev", "_ab")
 
 
 def late_split(df: DataFrame, ts_ms: str, arrival: str, seq: str, delay, **kw) -> DataFrame:
