@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship_package
+
 
 def map_with_lifecycle(
     df: DataFrame,
@@ -36,6 +38,7 @@ def map_with_lifecycle(
             if teardown:
                 teardown(resource)
 
+    ship_package(df.sparkSession)
     return df.mapInPandas(run, schema)
 
 

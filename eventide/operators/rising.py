@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import duration_ms
+from ..session import ship_package
 
 # The alert text around the sensor id.
 ALERT_PREFIX = "传感器id为: "
@@ -88,6 +89,7 @@ def rising_alerts(
 ) -> DataFrame:
     """(id, alert_ts, msg) for every rise that held for ``interval``."""
     interval_ms = duration_ms(interval)
+    ship_package(df.sparkSession)
     rows = df.select(
         F.col(key).cast("string").alias(key), F.col(ts_ms), F.col(seq), F.col(value)
     ).where(F.col(value).isNotNull())

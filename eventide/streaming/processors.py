@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.rising import ALERT_PREFIX, ALERT_SUFFIX
 from ..operators.routing import CLICK_WARNING, DAY_MS
+from ..session import ship_package
 
 
 def _sorted(rows: Iterator[pd.DataFrame], ts: str, seq: str) -> pd.DataFrame:
@@ -81,6 +82,7 @@ def daily_limit_stream(
     """T1 stream: input columns + ``route`` ('pass' / 'warn')."""
     cols = stream.columns
     schema = stream.select(*cols, F.lit("x").alias("route")).schema
+    ship_package(stream.sparkSession)
     proc = DailyLimitProcessor(ts_ms, seq, max_count, inclusive_quirk, cols)
     return stream.groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=proc, outputStructType=schema, outputMode="Append", timeMode="EventTime",
@@ -156,6 +158,7 @@ def rising_alerts_stream(
 ) -> DataFrame:
     """T5 stream: (id, alert_ts, msg); an alert is emitted once the watermark
     passes its time, or inline when a later row of the key arrives first."""
+    ship_package(stream.sparkSession)
     proc = RisingProcessor(key, ts_ms, seq, value, interval_ms)
     out = stream.groupBy(key).transformWithStateInPandas(
         statefulProcessor=proc, outputStructType="id string, alert_ts bigint",
@@ -211,6 +214,7 @@ def strict_sequence_stream(
 ) -> DataFrame:
     """T6 stream: one row per match with the ``emit`` value of each step."""
     cols = list(stream.columns)
+    ship_package(stream.sparkSession)
     proc = SequenceProcessor(ts_ms, seq, steps, within_ms, emit, cols)
     n = len(steps)
     schema = f"key {key_type}, " + ", ".join(f"s{i + 1} {emit_type}" for i in range(n))
