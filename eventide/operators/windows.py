@@ -93,7 +93,13 @@ def window_deltas(
     )
 
 
-def deltas_to_counts(
+def _bucket_width(size_ms: int, bucket) -> int:
+    """A multiple of ``size`` (so also of the slide), at least ``bucket``."""
+    want = duration_ms(bucket) if bucket else 86_400_000
+    return size_ms * max(1, -(-want // size_ms))
+
+
+def deltas_to_runs(
     deltas: DataFrame,
     keys: list[str],
     size,
@@ -102,52 +108,112 @@ def deltas_to_counts(
     out: str = "cnt",
     bucket=None,
 ) -> DataFrame:
-    """Turn aggregated deltas into one row per (keys, window_end) with count > 0.
+    """Aggregated deltas -> runs ``[start, stop)`` of window ends with a constant
+    count > 0, clipped to time buckets: columns keys..., _b, start, stop, out.
 
     The running sum is taken per (key, time bucket) with a carry-in from the
     previous buckets, so neither a hot key nor an un-keyed total is windowed
-    in a single task.  Between two consecutive change points the count is
-    constant and, when positive, the next change point is at most ``size``
-    later; with ``bucket >= size`` it therefore lies in the same or the next
-    bucket, which the per-bucket table provides.
+    in a single task.  A run never leaves its bucket: the last change point of
+    a bucket runs to the bucket end, and the first row of a bucket opens the
+    run carried in from before it.  Between two change points the count is
+    constant and a positive run ends at most ``size`` later, so with buckets
+    at least ``size`` wide a carried run always meets a change point in the
+    next bucket, whose rows are present.
     """
     size_ms, slide_ms = duration_ms(size), duration_ms(slide)
-    bucket_ms = max(duration_ms(bucket) if bucket else 86_400_000, size_ms)
-    # The explode below multiplies rows by up to size/slide after this exchange.
-    # A fixed partition count keeps AQE from coalescing the (small) delta
-    # shuffle into a few tasks that would then each emit the expanded output.
+    width = _bucket_width(size_ms, bucket)
     # Keys travel as one struct (never null, null fields compare equal), so the
     # same hash partitioning serves the per-bucket aggregate, the join and the
-    # window without further exchanges.
+    # row-level window without further exchanges.  A fixed partition count keeps
+    # AQE from coalescing this (small) exchange into a few tasks, because the
+    # rows multiply by up to size/slide once runs are expanded.
     parts = int(deltas.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    grp = key_struct(keys)
+    kcols = ["_key"] if keys else []
     d = deltas.select(
-        *([grp.alias("_key")] if keys else []),
+        *([key_struct(keys).alias("_key")] if keys else []),
         "end",
         F.col(delta).alias("_d"),
-        F.floor(F.col("end") / F.lit(bucket_ms)).cast("bigint").alias("_b"),
-    )
-    kcols = ["_key"] if keys else []
-    d = d.repartition(parts, *kcols, "_b")
-    # One small table per (key, bucket): carry-in sum and the next bucket's first end.
-    per_bucket = d.groupBy(*kcols, "_b").agg(F.sum("_d").alias("_bsum"), F.min("end").alias("_bfirst"))
+        F.floor(F.col("end") / F.lit(width)).cast("bigint").alias("_b"),
+    ).repartition(parts, *kcols, "_b")
+    # Deltas may arrive partly aggregated (e.g. per page before a page->url
+    # join); summing per (key, end) here reuses the partitioning above.
+    d = d.groupBy(*kcols, "_b", "end").agg(F.sum("_d").alias("_d"))
+    per_bucket = d.groupBy(*kcols, "_b").agg(F.sum("_d").alias("_bsum"))
     w_keys = Window.partitionBy(*kcols).orderBy("_b")
     table = per_bucket.select(
         *kcols,
         "_b",
         F.sum("_bsum").over(w_keys.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"),
-        F.lead("_bfirst").over(w_keys).alias("_next_first"),
     )
     joined = d.join(table, [*kcols, "_b"], "inner")
     w_in = Window.partitionBy(*kcols, "_b").orderBy("end")
-    running = F.sum("_d").over(w_in.rowsBetween(Window.unboundedPreceding, 0))
-    cnt = F.coalesce(F.col("_carry"), F.lit(0)) + running
-    nxt = F.coalesce(F.lead("end").over(w_in), F.col("_next_first"))
+    carry = F.coalesce(F.col("_carry"), F.lit(0))
+    cnt = carry + F.sum("_d").over(w_in.rowsBetween(Window.unboundedPreceding, 0))
+    bstart = F.col("_b") * F.lit(width)
+    nxt = F.coalesce(F.lead("end").over(w_in), bstart + F.lit(width))
+    first = F.row_number().over(w_in) == 1
     unpack = [F.col(f"_key.{k}").alias(k) for k in keys]
-    runs = joined.select(*unpack, "end", cnt.alias(out), nxt.alias("_next"))
-    runs = runs.where((F.col(out) > 0) & F.col("_next").isNotNull())
-    ends = F.sequence(F.col("end"), F.col("_next") - F.lit(slide_ms), F.lit(slide_ms).cast("bigint"))
-    return runs.select(*keys, F.explode(ends).alias("window_end"), out)
+    marked = joined.select(
+        *unpack, "_b", "end", cnt.alias("_cnt"), nxt.alias("_next"),
+        F.when(first, carry).otherwise(F.lit(0)).alias("_lead_in"), bstart.alias("_bstart"),
+    )
+    runs = F.array(
+        F.struct(F.col("end").alias("start"), F.col("_next").alias("stop"), F.col("_cnt").alias("c")),
+        F.struct(F.col("_bstart").alias("start"), F.col("end").alias("stop"), F.col("_lead_in").alias("c")),
+    )
+    exploded = marked.select(*keys, "_b", F.explode(runs).alias("_r"))
+    return exploded.select(
+        *keys, "_b", F.col("_r.start").alias("start"), F.col("_r.stop").alias("stop"), F.col("_r.c").alias(out)
+    ).where((F.col(out) > 0) & (F.col("stop") > F.col("start")))
+
+
+def expand_runs(runs: DataFrame, keys: list[str], slide, out: str = "cnt", keep_bucket: bool = False) -> DataFrame:
+    """One row per window end of each run."""
+    slide_ms = duration_ms(slide)
+    ends = F.sequence(F.col("start"), F.col("stop") - F.lit(slide_ms), F.lit(slide_ms).cast("bigint"))
+    extra = ["_b"] if keep_bucket else []
+    return runs.select(*keys, *extra, F.explode(ends).alias("window_end"), out)
+
+
+def deltas_to_counts(
+    deltas: DataFrame,
+    keys: list[str],
+    size,
+    slide,
+    delta: str = "delta",
+    out: str = "cnt",
+    bucket=None,
+) -> DataFrame:
+    """Aggregated deltas -> one row per (keys, window_end) with count > 0."""
+    runs = deltas_to_runs(deltas, keys, size, slide, delta, out, bucket)
+    return expand_runs(runs, keys, slide, out)
+
+
+def deltas_top_n(
+    deltas: DataFrame,
+    key: str,
+    size,
+    slide,
+    n: int,
+    delta: str = "delta",
+    out: str = "cnt",
+    bucket="1 hour",
+    rank_col: str = "rnk",
+) -> DataFrame:
+    """Top-n keys per window end straight from deltas.
+
+    Runs are re-partitioned by time bucket alone (a shuffle of about two rows
+    per change point); every window end a run expands to lies in the run's
+    bucket, so the ranking per window end happens inside that partition and
+    the expanded rows - up to size/slide per change point - are never
+    shuffled.
+    """
+    from .rank import top_n
+
+    parts = int(deltas.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = deltas_to_runs(deltas, [key], size, slide, delta, out, bucket)
+    counts = expand_runs(runs.repartition(parts, "_b"), [key], slide, out, keep_bucket=True)
+    return top_n(counts, ["_b", "window_end"], out, key, n, rank_col).drop("_b")
 
 
 def sliding_count(

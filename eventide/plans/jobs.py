@@ -56,26 +56,26 @@ def hot_items_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------ urls
 
 
-def hot_url_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Requests of page k -> counts per url and 10m/5s window.
+def hot_url_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests of page k -> sliding-count deltas per url (10m/5s windows).
 
     Deltas are pre-aggregated per (page, end) before the page dimension is
     joined, so the join sees one row per page and change point, not one per
-    request, and a hot page cannot skew it.  Urls are re-aggregated after the
-    join because distinct pages may share a url.
+    request, and a hot page cannot skew it.  Distinct pages may share a url;
+    ``deltas_to_runs`` sums the deltas per url after its own repartition.
     """
     ev = tables.events(spark, sf_dir)
     size, slide = duration_ms("10 minutes"), duration_ms("5 seconds")
     deltas = windows.window_deltas(ev, ["item_id"], "ts_ms", size, slide)
     urls = exclude_static_assets(tables.pages(spark, sf_dir))
     joined = deltas.join(urls, deltas["item_id"] == urls["page_id"])
-    by_url = joined.groupBy("url", "end").agg(F.sum("delta").alias("delta"))
-    return windows.deltas_to_counts(by_url, ["url"], size, slide)
+    return joined.select("url", "end", "delta")
 
 
 def hot_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3 -> P6 -> W2 10m/5s -> A1 -> K1(5)."""
-    ranked = rank.top_n(hot_url_counts(spark, sf_dir), ["window_end"], "cnt", "url", 5)
+    deltas = hot_url_deltas(spark, sf_dir)
+    ranked = windows.deltas_top_n(deltas, "url", "10 minutes", "5 seconds", 5)
     return ranked.select("window_end", "rnk", "url", "cnt")
 
 
