@@ -1,0 +1,78 @@
+"""High-ratio sliding counts on a stream (W2 with size/slide up to thousands).
+
+``F.window(ts, size, slide)`` on a stream would keep size/slide state rows per
+event.  Instead the stream aggregates *panes* (tumbling windows of the slide)
+in append mode, which keeps one state row per key and pane.  Each micro-batch
+of closed panes is stored in a pane table in the checkpoint folder; windows
+whose end is covered by closed panes are then computed with the batch delta
+operator over the panes of the last ``size`` of time and handed to the sink.
+
+A window ending at ``e`` is final once every pane ending at or before ``e``
+is closed; a batch finalises window ends in ``(previous high, high]`` where
+``high`` is the largest pane end it received.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.time import duration_ms, spark_interval, to_ms
+from ..operators.windows import deltas_to_counts
+
+
+def pane_counts(stream: DataFrame, keys: list[str], ts: str, slide, delay="0 seconds") -> DataFrame:
+    """Append-mode counts per (keys, pane): keys..., pane_end, cnt."""
+    slide_ms = duration_ms(slide)
+    d = spark_interval(duration_ms(delay)) if duration_ms(delay) else "0 seconds"
+    agg = (
+        stream.withWatermark(ts, d)
+        .groupBy(F.window(F.col(ts), spark_interval(slide_ms)).alias("pane"), *keys)
+        .agg(F.count(F.lit(1)).alias("cnt"))
+    )
+    return agg.select(*keys, to_ms(F.col("pane.end")).alias("pane_end"), "cnt")
+
+
+def sliding_from_panes(
+    keys: list[str],
+    size,
+    slide,
+    store: str,
+    sink: Callable[[DataFrame, int], None],
+):
+    """``foreachBatch`` body: store closed panes, emit the windows they complete."""
+    size_ms, slide_ms = duration_ms(size), duration_ms(slide)
+
+    def run(panes: DataFrame, batch_id: int) -> None:
+        spark = panes.sparkSession
+        panes.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
+            f"{store}/batch={batch_id}"
+        )
+        stored = spark.read.parquet(store)
+        previous = stored.where(F.col("batch_id") < batch_id)
+        lo = previous.agg(F.max("pane_end")).first()[0]
+        hi = panes.agg(F.max("pane_end")).first()[0]
+        if hi is None or (lo is not None and hi <= lo):
+            return
+        lo = lo if lo is not None else -(1 << 62)
+        # panes that can contribute to windows ending in (lo, hi]
+        recent = stored.where(
+            (F.col("batch_id") <= batch_id)
+            & (F.col("pane_end") > F.lit(lo) - F.lit(size_ms))
+            & (F.col("pane_end") <= F.lit(hi))
+        )
+        deltas = recent.select(
+            *keys,
+            F.explode(
+                F.array(
+                    F.struct(F.col("pane_end").alias("end"), F.col("cnt").alias("d")),
+                    F.struct((F.col("pane_end") + F.lit(size_ms)).alias("end"), (-F.col("cnt")).alias("d")),
+                )
+            ).alias("_p"),
+        ).select(*keys, F.col("_p.end").alias("end"), F.col("_p.d").alias("delta"))
+        counts = deltas_to_counts(deltas, keys, size_ms, slide_ms)
+        sink(counts.where((F.col("window_end") > F.lit(lo)) & (F.col("window_end") <= F.lit(hi))), batch_id)
+
+    return run

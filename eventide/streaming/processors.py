@@ -221,3 +221,97 @@ def strict_sequence_stream(
     return stream.groupBy(key).transformWithStateInPandas(
         statefulProcessor=proc, outputStructType=schema, outputMode="Append", timeMode="None",
     )
+
+
+# ------------------------------------------------------------------ A7
+
+
+class FirstSightingFilter(StatefulProcessor):
+    """Per (window, user): pass the earliest row once; state cleared at window end."""
+
+    def __init__(self, ts: str, seq: str, columns: list[str]):
+        self.ts, self.seq, self.columns = ts, seq, columns
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("seen", "seen boolean")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = _sorted(rows, self.ts, self.seq)
+        if pdf.empty or self.state.exists():
+            return
+        self.state.update((True,))
+        self.handle.registerTimer(int(pdf["window_end"].iloc[0]))
+        yield pdf.iloc[:1][self.columns]
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.state.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+class FirstSightingCounter(StatefulProcessor):
+    """Per window: a counter of distinct users, fed only first sightings."""
+
+    def __init__(self, user: str, ts: str, seq: str):
+        self.user, self.ts, self.seq = user, ts, seq
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("seen", "n bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = _sorted(rows, self.ts, self.seq)
+        if pdf.empty:
+            return
+        cur = self.state.get() if self.state.exists() else None
+        n0 = int(cur[0]) if cur else 0
+        if cur is None:
+            self.handle.registerTimer(int(pdf["window_end"].iloc[0]))
+        self.state.update((n0 + len(pdf),))
+        yield pd.DataFrame({
+            "window_end": pdf["window_end"].astype("int64").tolist(),
+            self.user: pdf[self.user].tolist(),
+            self.ts: pdf[self.ts].astype("int64").tolist(),
+            "uv_running": list(range(n0 + 1, n0 + 1 + len(pdf))),
+        })
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.state.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+def running_distinct_stream(stream: DataFrame, user: str, ts: str, ts_ms: str, seq: str, size,
+                            user_type: str = "bigint") -> DataFrame:
+    """A7 stream: first sighting per (window, user), then a counter per window.
+
+    The first processor spreads over (window, user) keys and forwards one row
+    per user and window; the counter per window therefore sees at most the
+    window's distinct users, and keeps one number of state.  Both clear their
+    state by event-time timers at the window end.
+    """
+    from ..functions.time import duration_ms, floor_to
+
+    size_ms = duration_ms(size)
+    ship_package(stream.sparkSession)
+    rows = (
+        stream.withWatermark(ts, "0 seconds")
+        .withColumn("window_end", floor_to(F.col(ts_ms), size_ms) + F.lit(size_ms))
+        .select("window_end", user, ts, ts_ms, seq)
+    )
+    cols = ["window_end", user, ts, ts_ms, seq]
+    firsts = rows.groupBy("window_end", user).transformWithStateInPandas(
+        statefulProcessor=FirstSightingFilter(ts_ms, seq, cols),
+        outputStructType=rows.select(*cols).schema,
+        outputMode="Append", timeMode="EventTime",
+    )
+    return firsts.groupBy("window_end").transformWithStateInPandas(
+        statefulProcessor=FirstSightingCounter(user, ts_ms, seq),
+        outputStructType=f"window_end bigint, {user} {user_type}, {ts_ms} bigint, uv_running bigint",
+        outputMode="Append", timeMode="EventTime",
+    )

@@ -91,3 +91,36 @@ def gate_join(
         & (F.col(ts) <= F.col(control_ts) + F.expr(f"INTERVAL {duration_ms(max_open) // 1000} SECONDS"))
     )
     return r.join(c, cond, "left_semi")
+
+
+def window_min_max(stream: DataFrame, keys: list[str], ts: str, value: str, size, delay="0 seconds") -> DataFrame:
+    """L6 stream: running min/max per (window, keys).
+
+    Run in ``update`` mode with ``trigger(processingTime=...)`` for early
+    results: each trigger emits the windows whose aggregate changed, and the
+    row emitted after the watermark passes the window end is the final one.
+    """
+    size_ms = duration_ms(size)
+    win = F.window(F.col(ts), spark_interval(size_ms))
+    d = spark_interval(duration_ms(delay)) if duration_ms(delay) else "0 seconds"
+    agg = stream.withWatermark(ts, d).groupBy(win.alias("window"), *keys).agg(
+        F.min(value).alias(f"min_{value}"), F.max(value).alias(f"max_{value}")
+    )
+    return agg.select(*keys, to_ms(F.col("window.end")).alias("window_end"), f"min_{value}", f"max_{value}")
+
+
+def revised_counts(stream: DataFrame, keys: list[str], ts: str, size, delay, allowed_lateness) -> DataFrame:
+    """L5 stream: counts per (window, keys) in ``update`` mode.
+
+    The watermark delay is ``delay + allowed_lateness``: a window's count is
+    re-emitted for every micro-batch that adds rows to it, until the
+    watermark passes its end plus the allowance; later rows are dropped.
+    """
+    total = duration_ms(delay) + duration_ms(allowed_lateness)
+    win = F.window(F.col(ts), spark_interval(duration_ms(size)))
+    agg = (
+        stream.withWatermark(ts, spark_interval(total) if total else "0 seconds")
+        .groupBy(win.alias("window"), *keys)
+        .agg(F.count(F.lit(1)).alias("cnt"))
+    )
+    return agg.select(*keys, to_ms(F.col("window.end")).alias("window_end"), "cnt")

@@ -36,7 +36,7 @@ def source(spark, tmp_path_factory):
         "event_id long, ts timestamp, ts_ms long, user_id long, event_type string, item_id long, seq long, value double",
     ).withColumn("ts", F.timestamp_millis("ts_ms")).select(*schema.names)
     sentinel.coalesce(1).write.parquet(os.path.join(root, "part4"))
-    sentinel.withColumn("ts_ms", F.lit(SENTINEL_MS + 1)).withColumn("ts", F.timestamp_millis("ts_ms")).coalesce(1) \
+    sentinel.withColumn("ts_ms", F.lit(SENTINEL_MS + 7_200_000)).withColumn("ts", F.timestamp_millis("ts_ms")).coalesce(1) \
         .write.parquet(os.path.join(root, "part5"))
     flat = os.path.join(root, "all")
     os.makedirs(flat)
@@ -192,3 +192,43 @@ def test_restart_from_checkpoint(spark, source, scratch):
     w = _rows(want, ["event_type", "window_end", "cnt"])
     assert len(g) == len(set(g))
     assert set(g) <= set(w) and len(g) >= len(w) - 5
+
+
+def test_running_distinct_stream_equals_batch(spark, source, scratch):
+    from eventide.operators import aggregates
+
+    s = _stream(spark, source).where("event_type = 'view'")
+    got = _run(processors.running_distinct_stream(s, "user_id", "ts", "ts_ms", "seq", "1 hour"), "a7", scratch)
+    want = aggregates.running_distinct_users(source["batch"].where("event_type = 'view'"), "user_id", "ts_ms", "seq", "1 hour")
+    cols = ["window_end", "user_id", "ts_ms", "uv_running"]
+    assert _rows(got, cols) == _rows(want, cols)
+
+
+def test_high_ratio_sliding_from_panes(spark, source, scratch):
+    from eventide.streaming import panes
+
+    s = _stream(spark, source)
+    counts = panes.pane_counts(s, ["event_type"], "ts", "1 minute")
+    out = os.path.join(scratch, "slide-out")
+
+    def sink(df, batch_id):
+        df.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    body = panes.sliding_from_panes(["event_type"], "1 hour", "1 minute", os.path.join(scratch, "pane-store"), sink)
+    q = counts.writeStream.foreachBatch(body).option("checkpointLocation", os.path.join(scratch, "pane-ck")).start()
+    q.processAllAvailable()
+    q.stop()
+    got = spark.read.parquet(out).where("event_type != 'sentinel'")
+    want = windows.sliding_count(source["batch"], ["event_type"], "ts", "1 hour", "1 minute", method="window")
+    cols = ["event_type", "window_end", "cnt"]
+    assert _rows(got, cols) == _rows(want, cols)
+
+
+def test_update_mode_forms_run(spark, source, scratch):
+    s = _stream(spark, source)
+    mm = _run(sw.window_min_max(s, ["event_type"], "ts", "value", "6 hours"), "l6", scratch, mode="update")
+    assert mm.count() > 0
+    rc = _run(sw.revised_counts(s, ["event_type"], "ts", "1 hour", "0 seconds", "1 hour"), "l5", scratch, mode="update")
+    final = rc.groupBy("event_type", "window_end").agg(F.max("cnt").alias("cnt")).where("event_type != 'sentinel'")
+    want = windows.tumbling_count(source["batch"], ["event_type"], "ts", "1 hour")
+    assert _rows(final, ["event_type", "window_end", "cnt"]) == _rows(want, ["event_type", "window_end", "cnt"])
