@@ -34,7 +34,11 @@ def ship_package(spark: SparkSession) -> None:
     processors) pickle references to this package; ``addPyFile`` distributes
     a zip of it to every executor.
     """
-    app = spark.sparkContext.applicationId
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc, app = None, f"connect-{id(spark)}"
     if app in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
@@ -45,7 +49,10 @@ def ship_package(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(root, f)
                     zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
-    spark.sparkContext.addPyFile(out)
+    if sc is not None:
+        sc.addPyFile(out)
+    else:
+        spark.addArtifacts(out, pyfile=True)
     _SHIPPED.add(app)
 
 
