@@ -59,7 +59,8 @@ def bucketed_running(
         .over(w_keys.rowsBetween(Window.unboundedPreceding, -1))
         .alias("_carry"),
     )
-    joined = src.join(carry, [*kcols, bucket], "inner")
+    # Hash the small per-bucket table per partition of ``src``; never broadcast ``src``.
+    joined = src.join(carry.hint("shuffle_hash"), [*kcols, bucket], "inner")
     frame_end = 0 if inclusive else -1
     w_in = (
         Window.partitionBy(*kcols, bucket)

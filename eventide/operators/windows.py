@@ -145,7 +145,10 @@ def deltas_to_runs(
         "_b",
         F.sum("_bsum").over(w_keys.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"),
     )
-    joined = d.join(table, [*kcols, "_b"], "inner")
+    # The per-bucket table is hashed inside each partition of ``d``; the hint
+    # keeps AQE from broadcasting ``d`` itself and funnelling the stage into
+    # the (coalesced, tiny) partitions of the table side.
+    joined = d.join(table.hint("shuffle_hash"), [*kcols, "_b"], "inner")
     w_in = Window.partitionBy(*kcols, "_b").orderBy("end")
     carry = F.coalesce(F.col("_carry"), F.lit(0))
     cnt = carry + F.sum("_d").over(w_in.rowsBetween(Window.unboundedPreceding, 0))
