@@ -69,3 +69,30 @@ def bucketed_running(
     )
     res = joined.withColumn(out, _combine(kind, F.col("_carry"), agg(value).over(w_in)))
     return res.select(*df.columns, out)
+
+
+def bucketed_previous(
+    df: DataFrame,
+    keys: list[str],
+    bucket: str,
+    order: list[str],
+    value: str,
+    out: str,
+) -> DataFrame:
+    """Add ``out`` = ``value`` of the previous row (by ``order``) within ``keys``.
+
+    ``lag`` runs per (key, bucket); the first row of a bucket takes the last
+    value of the key's previous non-empty bucket from a per-bucket table.
+    """
+    kcols = ["_pkey"] if keys else []
+    src = df.withColumn("_pkey", key_struct(keys)) if keys else df
+    src = src.repartition(*kcols, bucket)
+    last = F.max_by(F.col(value), F.struct(*[F.col(c) for c in order]))
+    per_bucket = src.groupBy(*kcols, bucket).agg(last.alias("_last"))
+    w_keys = Window.partitionBy(*kcols).orderBy(bucket)
+    carry = per_bucket.select(*kcols, bucket, F.lag("_last").over(w_keys).alias("_prev_last"))
+    joined = src.join(carry.hint("shuffle_hash"), [*kcols, bucket], "inner")
+    w_in = Window.partitionBy(*kcols, bucket).orderBy(*order)
+    first_in_bucket = F.row_number().over(w_in) == 1
+    prev = F.when(first_in_bucket, F.col("_prev_last")).otherwise(F.lag(value).over(w_in))
+    return joined.withColumn(out, prev).select(*df.columns, out)

@@ -10,10 +10,9 @@ Scan one key by (ts, seq) holding ``prev`` and an ``armed`` time:
 A timer still armed after the key's last row emits too (end of input).
 
 The arm time depends on the previous arm time, so the rule is a fold, not a
-window expression.  The batch form hash-partitions by key, sorts inside each
-partition and folds in ``mapInPandas``, carrying the state across Arrow
-batches: a key's rows stream through one task without being collected into
-one group in memory.
+window expression.  But a drop always disarms, so the runs between drops are
+independent folds: the batch form numbers the runs with bucketed scans and
+folds them in parallel (see ``rising_alerts``).
 """
 
 from __future__ import annotations
@@ -27,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ..functions.time import duration_ms
 from ..session import ship_package
+from .prefix import bucketed_previous, bucketed_running
 
 # The alert text around the sensor id.
 ALERT_PREFIX = "传感器id为: "
@@ -59,21 +59,40 @@ def fold_rising(ids, ts, temps, interval_ms: int, state=None):
     return out, (key, prev, armed)
 
 
-def _make_folder(key: str, ts_ms: str, value: str, interval_ms: int):
+def _make_run_folder(key: str, ts_ms: str, interval_ms: int):
+    """Fold rows sorted by (key, run, terminator, ts, seq), one run at a time.
+
+    A run starts at a drop (or the key's first row) with no timer armed; the
+    next run's first row is appended to it as a terminator that fires a due
+    timer or cancels it.  A run without terminator is the key's last: a
+    timer still armed at its end fires (end of input).
+    """
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        state = None
+        cur, armed, closed = None, None, False
         for pdf in batches:
-            alerts, state = fold_rising(
-                pdf[key].astype(str).tolist(),
-                pdf[ts_ms].astype(np.int64).tolist(),
-                pdf[value].astype(float).tolist(),
-                interval_ms,
-                state,
-            )
-            if alerts:
-                yield pd.DataFrame(alerts, columns=["id", "alert_ts"])
-        if state and state[0] is not None and state[2] is not None:
-            yield pd.DataFrame([(state[0], state[2])], columns=["id", "alert_ts"])
+            out = []
+            for k, r, term, t, rise in zip(
+                pdf[key].tolist(), pdf["_run"].tolist(), pdf["_term"].tolist(),
+                pdf[ts_ms].astype(np.int64).tolist(), pdf["_rise"].tolist(),
+            ):
+                if (k, r) != cur:
+                    if cur is not None and armed is not None and not closed:
+                        out.append((cur[0], armed))
+                    cur, armed, closed = (k, r), None, False
+                if closed:
+                    continue
+                if armed is not None and t >= armed:
+                    out.append((k, armed))
+                    armed = None
+                if term:
+                    closed, armed = True, None
+                elif rise and armed is None:
+                    armed = t + interval_ms
+            if out:
+                yield pd.DataFrame(out, columns=["id", "alert_ts"])
+        if cur is not None and armed is not None and not closed:
+            yield pd.DataFrame([(cur[0], armed)], columns=["id", "alert_ts"])
 
     return run
 
@@ -85,16 +104,40 @@ def rising_alerts(
     seq: str,
     value: str,
     interval="1 second",
-    num_partitions: int | None = None,
+    bucket="1 day",
 ) -> DataFrame:
-    """(id, alert_ts, msg) for every rise that held for ``interval``."""
+    """(id, alert_ts, msg) for every rise that held for ``interval``.
+
+    A drop (or a key's first row) always disarms, so the stretches between
+    drops - runs - are independent folds.  Previous values and run numbers
+    come from bucketed lag / prefix-count scans (no key is windowed in one
+    task); each run's terminating drop row is copied into it; runs are then
+    hash-partitioned by (key, run) and folded in ``mapInPandas``.  Only one
+    uninterrupted rise, which is inherently sequential, stays in one task.
+    """
     interval_ms = duration_ms(interval)
     ship_package(df.sparkSession)
     rows = df.select(
-        F.col(key).cast("string").alias(key), F.col(ts_ms), F.col(seq), F.col(value)
+        F.col(key).cast("string").alias(key), F.col(ts_ms), F.col(seq), F.col(value),
+        F.floor(F.col(ts_ms) / F.lit(duration_ms(bucket))).cast("bigint").alias("_b"),
     ).where(F.col(value).isNotNull())
-    parts = rows.repartition(num_partitions, key) if num_partitions else rows.repartition(key)
-    ordered = parts.sortWithinPartitions(key, ts_ms, seq)
-    alerts = ordered.mapInPandas(_make_folder(key, ts_ms, value, interval_ms), OUTPUT_SCHEMA)
+    rows = bucketed_previous(rows, [key], "_b", [ts_ms, seq], value, "_prev")
+    rows = rows.select(
+        key, ts_ms, seq, "_b",
+        (F.col("_prev").isNull() | (F.col(value) < F.col("_prev"))).cast("bigint").alias("_drop"),
+        F.coalesce(F.col(value) > F.col("_prev"), F.lit(False)).alias("_rise"),
+    )
+    rows = bucketed_running(rows, [key], "_b", [ts_ms, seq], "_drop", "_run", kind="sum")
+    members = rows.select(key, ts_ms, seq, "_run", F.lit(False).alias("_term"), "_rise")
+    terminators = rows.where((F.col("_drop") == 1) & (F.col("_run") > 1)).select(
+        key, ts_ms, seq, (F.col("_run") - 1).alias("_run"), F.lit(True).alias("_term"),
+        F.lit(False).alias("_rise"),
+    )
+    ordered = (
+        members.unionByName(terminators)
+        .repartition(key, "_run")
+        .sortWithinPartitions(key, "_run", "_term", ts_ms, seq)
+    )
+    alerts = ordered.mapInPandas(_make_run_folder(key, ts_ms, interval_ms), OUTPUT_SCHEMA)
     msg = F.concat(F.lit(ALERT_PREFIX), F.col("id"), F.lit(ALERT_SUFFIX))
     return alerts.select("id", "alert_ts", msg.alias("msg"))

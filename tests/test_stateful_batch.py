@@ -138,3 +138,25 @@ def test_alarms(spark):
     assert got == ["Freezing Alarm for s1", "Freezing Alarm for s3"]
     fixed = routing.threshold_alarm(df, "id", "temperature", 1000.0, fixed_text=routing.LOW_TEMPERATURE_TEXT)
     assert fixed.count() == 3
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 40), st.sampled_from([1.0, 2.0, 3.0, 0.0])),
+                min_size=1, max_size=60))
+def test_rising_parallel_runs_equal_sequential_fold(spark, rows):
+    # times in 0.5 s steps over 20 s, buckets of 3 s: runs cross buckets, keys are hot
+    data = [(k, t * 500, i, v) for i, (k, t, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "id string, ts_ms long, seq long, temperature double")
+    got = sorted((r["id"], r["alert_ts"]) for r in
+                 rising.rising_alerts(df, "id", "ts_ms", "seq", "temperature", "1 second", bucket="3 seconds").collect())
+    want = []
+    for key in ("a", "b"):
+        mine = sorted((t, s, v) for k, t, s, v in data if k == key)
+        if mine:
+            out, st_ = rising.fold_rising([key] * len(mine), [m[0] for m in mine], [m[2] for m in mine], 1000)
+            want += out + ([(key, st_[2])] if st_[2] is not None else [])
+    assert got == sorted(want)
