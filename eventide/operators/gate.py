@@ -30,7 +30,7 @@ def timed_gate(
     control_ts_ms: str,
     duration_ms_col: str,
     seq: str | None = None,
-    bucket="1 day",
+    bucket="1 hour",
 ) -> DataFrame:
     """Readings whose key is open at their time; returns the readings' columns."""
     payload = [c for c in readings.columns]

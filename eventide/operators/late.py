@@ -25,7 +25,7 @@ def running_watermark(
     seq: str,
     delay,
     out: str = "watermark",
-    bucket="1 hour",
+    bucket="1 minute",
     keys: list[str] | None = None,
     carry_max: int | None = None,
 ) -> DataFrame:
@@ -65,7 +65,7 @@ def late_revisions(
     size,
     delay,
     allowed_lateness,
-    bucket="1 hour",
+    bucket="1 minute",
 ) -> DataFrame:
     """Window results with a first firing and one revision per late row.
 

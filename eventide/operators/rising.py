@@ -104,7 +104,7 @@ def rising_alerts(
     seq: str,
     value: str,
     interval="1 second",
-    bucket="1 day",
+    bucket="1 hour",
 ) -> DataFrame:
     """(id, alert_ts, msg) for every rise that held for ``interval``.
 

@@ -79,3 +79,31 @@ def test_lifecycle_map(spark):
     out = map_with_lifecycle(literals.ints(spark), transform, "value string", setup, lambda r: None)
     assert sorted(r[0] for r in out.collect()) == ["1", "2", "3", "4"]
     assert sorted(r[0] for r in ints_to_strings(literals.ints(spark)).collect()) == ["1", "2", "3", "4"]
+
+
+def test_row_filters(spark):
+    from eventide.functions.text import contains, equals, not_equals
+
+    df = spark.createDataFrame([("flink rocks",), ("spark",), ("pv",)], "value string")
+    assert contains(df, "value", "flink").count() == 1
+    assert equals(df, "value", "pv").count() == 1
+    assert not_equals(df, "value", "pv").count() == 2
+
+
+def test_document_and_print_sinks(spark, scratch):
+    import os
+
+    src = os.path.join(scratch, "in")
+    literals.strings(spark).write.parquet(src)
+    stream = spark.readStream.schema("value string").parquet(src)
+    q = connectors.document_sink(stream, os.path.join(scratch, "docs"), os.path.join(scratch, "ck1"))
+    q.processAllAvailable()
+    q.stop()
+    docs = sorted(r[0] for r in spark.read.text(os.path.join(scratch, "docs")).collect())
+    assert docs == ['{"data":"a"}', '{"data":"b"}']
+    q = connectors.print_sink(stream, prefix="black list", query_name="printed", fmt="memory",
+                              checkpoint=os.path.join(scratch, "ck2"))
+    q.processAllAvailable()
+    q.stop()
+    printed = sorted(r[0] for r in spark.table("printed").collect())
+    assert printed == ['black list> {"value":"a"}', 'black list> {"value":"b"}']
