@@ -42,15 +42,18 @@ def bucketed_running(
 
     ``bucket`` must be a column that is non-decreasing along ``order`` within a
     key (for example ``floor(t / width)``).  ``inclusive=False`` excludes the
-    current row.  Rows are hash-partitioned once by (key, bucket); the small
-    per-bucket table is windowed per key and joined back on the same
-    partitioning, and the row-level window reuses it.
+    current row.  Rows are hash-partitioned once by (key, bucket) and the
+    row-level window reuses that partitioning; the small per-bucket table is
+    aggregated from the input with a map-side combine (a narrow second read,
+    not a second shuffle of the rows), windowed per key, and hash-joined.
     """
     agg = _AGGS[kind]
     kcols = ["_pkey"] if keys else []
     src = df.withColumn("_pkey", key_struct(keys)) if keys else df
-    src = src.repartition(*kcols, bucket)
+    # The per-bucket table is aggregated from the un-shuffled input (map-side
+    # combine, only the needed columns), not from the repartitioned rows.
     per_bucket = src.groupBy(*kcols, bucket).agg(agg(value).alias("_bucket_val"))
+    src = src.repartition(*kcols, bucket)
     w_keys = Window.partitionBy(*kcols).orderBy(bucket)
     carry = per_bucket.select(
         *kcols,
@@ -86,9 +89,9 @@ def bucketed_previous(
     """
     kcols = ["_pkey"] if keys else []
     src = df.withColumn("_pkey", key_struct(keys)) if keys else df
-    src = src.repartition(*kcols, bucket)
     last = F.max_by(F.col(value), F.struct(*[F.col(c) for c in order]))
     per_bucket = src.groupBy(*kcols, bucket).agg(last.alias("_last"))
+    src = src.repartition(*kcols, bucket)
     w_keys = Window.partitionBy(*kcols).orderBy(bucket)
     carry = per_bucket.select(*kcols, bucket, F.lag("_last").over(w_keys).alias("_prev_last"))
     joined = src.join(carry.hint("shuffle_hash"), [*kcols, bucket], "inner")

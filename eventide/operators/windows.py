@@ -133,28 +133,32 @@ def deltas_to_runs(
         *([key_struct(keys).alias("_key")] if keys else []),
         "end",
         F.col(delta).alias("_d"),
-        F.floor(F.col("end") / F.lit(width)).cast("bigint").alias("_b"),
+        # non-nullable bucket: no inferred null filter lands in just one branch
+        F.coalesce(F.floor(F.col("end") / F.lit(width)).cast("bigint"), F.lit(0).cast("bigint")).alias("_b"),
     ).repartition(parts, *kcols, "_b")
     # Deltas may arrive partly aggregated (e.g. per page before a page->url
     # join); summing per (key, end) here reuses the partitioning above.
     d = d.groupBy(*kcols, "_b", "end").agg(F.sum("_d").alias("_d"))
-    per_bucket = d.groupBy(*kcols, "_b").agg(F.sum("_d").alias("_bsum"))
+    # The per-bucket table reads the same columns as the row side (it needs
+    # the bucket's first end), so both branches share one exchange.
+    per_bucket = d.groupBy(*kcols, "_b").agg(F.sum("_d").alias("_bsum"), F.min("end").alias("_bfirst"))
     w_keys = Window.partitionBy(*kcols).orderBy("_b")
     table = per_bucket.select(
         *kcols,
         "_b",
+        "_bfirst",
         F.sum("_bsum").over(w_keys.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"),
     )
     # The per-bucket table is hashed inside each partition of ``d``; the hint
     # keeps AQE from broadcasting ``d`` itself and funnelling the stage into
     # the (coalesced, tiny) partitions of the table side.
-    joined = d.join(table.hint("shuffle_hash"), [*kcols, "_b"], "inner")
+    joined = d.join(table.hint("shuffle_hash"), [*kcols, "_b"], "left")
     w_in = Window.partitionBy(*kcols, "_b").orderBy("end")
     carry = F.coalesce(F.col("_carry"), F.lit(0))
     cnt = carry + F.sum("_d").over(w_in.rowsBetween(Window.unboundedPreceding, 0))
     bstart = F.col("_b") * F.lit(width)
     nxt = F.coalesce(F.lead("end").over(w_in), bstart + F.lit(width))
-    first = F.row_number().over(w_in) == 1
+    first = F.col("end") == F.col("_bfirst")
     unpack = [F.col(f"_key.{k}").alias(k) for k in keys]
     marked = joined.select(
         *unpack, "_b", "end", cnt.alias("_cnt"), nxt.alias("_next"),
