@@ -13,10 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.hashing import poly_hash
-from ..functions.text import exclude_static_assets
+from ..functions.text import exclude_static_assets, split_words
 from ..functions.time import duration_ms, format_bound
-from ..functions.text import split_words
 from ..operators import aggregates, gate, late, rank, rising, routing, sequence, windows
 from ..sources import tables
 
@@ -263,15 +261,16 @@ def gated_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     Controls are 'signup' events opening the user's gate for six hours; the
     readings are all other events.
     """
-    ev = tables.events(spark, sf_dir)
-    controls = ev.where(F.col("event_type") == GATE_CONTROL).select(
-        F.col("user_id").alias("cid"), F.col("ts_ms").alias("cts"),
-        F.lit(duration_ms(GATE_OPEN)).cast("bigint").alias("dur"),
+    ev = tables.events(spark, sf_dir).select(
+        F.col("user_id").alias("id"), "ts_ms", "event_id", F.col("value").alias("temperature"), "event_type"
     )
-    readings = ev.where(F.col("event_type") != GATE_CONTROL).select(
-        F.col("user_id").alias("id"), "ts_ms", "event_id", F.col("value").alias("temperature")
+    return gate.timed_gate_one_input(
+        ev, "id", "ts_ms",
+        is_control=F.col("event_type") == GATE_CONTROL,
+        duration_ms_col=F.lit(duration_ms(GATE_OPEN)).cast("bigint"),
+        payload=["id", "ts_ms", "event_id", "temperature"],
+        seq="event_id",
     )
-    return gate.timed_gate(readings, controls, "id", "ts_ms", "cid", "cts", "dur", seq="event_id")
 
 
 def freezing_alarm(spark: SparkSession, sf_dir: str) -> DataFrame:
