@@ -43,6 +43,7 @@ def ranked_report(
     rank: str = "rnk",
     labels: tuple[str, str] = ITEM_LABELS,
     out: str = "report",
+    partition: list[str] | None = None,
 ) -> DataFrame:
     """One text block per window from the top-N rows (at most N per group).
 
@@ -59,7 +60,9 @@ def ranked_report(
         F.col(score).cast("string"),
         F.lit("\n"),
     )
-    grouped = ranked.groupBy(window_end).agg(
+    # ``partition``: extra grouping columns functionally determined by the
+    # window (e.g. its time bucket) that match the input's partitioning.
+    grouped = ranked.groupBy(*(partition or []), window_end).agg(
         F.sort_array(F.collect_list(F.struct(F.col(rank), line.alias("line")))).alias("_lines")
     )
     body = F.array_join(F.transform("_lines", lambda s: s["line"]), "")

@@ -206,6 +206,7 @@ def deltas_top_n(
     out: str = "cnt",
     bucket="1 hour",
     rank_col: str = "rnk",
+    keep_bucket: bool = False,
 ) -> DataFrame:
     """Top-n keys per window end straight from deltas.
 
@@ -220,7 +221,10 @@ def deltas_top_n(
     parts = int(deltas.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     runs = deltas_to_runs(deltas, [key], size, slide, delta, out, bucket)
     counts = expand_runs(runs.repartition(parts, "_b"), [key], slide, out, keep_bucket=True)
-    return top_n(counts, ["_b", "window_end"], out, key, n, rank_col).drop("_b")
+    ranked = top_n(counts, ["_b", "window_end"], out, key, n, rank_col)
+    # ``_b`` (the time bucket of window_end) lets later per-window steps such as
+    # the text report group by (_b, window_end) on the existing partitioning.
+    return ranked if keep_bucket else ranked.drop("_b")
 
 
 def sliding_count(

@@ -70,17 +70,23 @@ def hot_url_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("url", "end", "delta")
 
 
+def _ranked_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    deltas = hot_url_deltas(spark, sf_dir)
+    return windows.deltas_top_n(deltas, "url", "10 minutes", "5 seconds", 5, keep_bucket=True)
+
+
 def hot_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3 -> P6 -> W2 10m/5s -> A1 -> K1(5)."""
-    deltas = hot_url_deltas(spark, sf_dir)
-    ranked = windows.deltas_top_n(deltas, "url", "10 minutes", "5 seconds", 5)
-    return ranked.select("window_end", "rnk", "url", "cnt")
+    return _ranked_urls(spark, sf_dir).select("window_end", "rnk", "url", "cnt")
 
 
 def hot_urls_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rank.ranked_report(
-        hot_urls(spark, sf_dir), "window_end", "url", "cnt", labels=rank.URL_LABELS
+    """hot_urls -> K2, grouped on the ranking's own partitioning (no shuffle)."""
+    report = rank.ranked_report(
+        _ranked_urls(spark, sf_dir), "window_end", "url", "cnt", labels=rank.URL_LABELS,
+        partition=["_b"],
     )
+    return report.select("window_end", "report")
 
 
 # ------------------------------------------------------------------ visitors
