@@ -124,3 +124,22 @@ def revised_counts(stream: DataFrame, keys: list[str], ts: str, size, delay, all
         .agg(F.count(F.lit(1)).alias("cnt"))
     )
     return agg.select(*keys, to_ms(F.col("window.end")).alias("window_end"), "cnt")
+
+
+def bitmap_distinct_users(stream: DataFrame, user: str, ts: str, size, delay="0 seconds") -> DataFrame:
+    """A6 stream: bitmaps per (window, 32768-bit bucket) of the user-id hash,
+    then the bit counts summed per window, as two chained append-mode
+    aggregations; each window is emitted once, after the watermark passes it."""
+    from ..functions.hashing import poly_hash
+
+    size_ms = duration_ms(size)
+    d = spark_interval(duration_ms(delay)) if duration_ms(delay) else "0 seconds"
+    h = poly_hash(F.col(user).cast("string"))
+    maps = (
+        stream.withWatermark(ts, d)
+        .groupBy(F.window(F.col(ts), spark_interval(size_ms)).alias("window"),
+                 F.bitmap_bucket_number(h).alias("_bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(h)).alias("_bm"))
+    )
+    counted = maps.groupBy("window").agg(F.sum(F.bitmap_count("_bm")).alias("uv_bitmap"))
+    return counted.select(to_ms(F.col("window.end")).alias("window_end"), "uv_bitmap")

@@ -232,3 +232,12 @@ def test_update_mode_forms_run(spark, source, scratch):
     final = rc.groupBy("event_type", "window_end").agg(F.max("cnt").alias("cnt")).where("event_type != 'sentinel'")
     want = windows.tumbling_count(source["batch"], ["event_type"], "ts", "1 hour")
     assert _rows(final, ["event_type", "window_end", "cnt"]) == _rows(want, ["event_type", "window_end", "cnt"])
+
+
+def test_bitmap_distinct_stream_equals_batch(spark, source, scratch):
+    from eventide.operators import aggregates
+
+    s = _stream(spark, source).where("event_type = 'view' or event_type = 'sentinel'")
+    got = _run(sw.bitmap_distinct_users(s, "user_id", "ts", "1 hour"), "a6", scratch).where(F.col("window_end") < SENTINEL_MS)
+    want = aggregates.bitmap_distinct_users(source["batch"].where("event_type = 'view'"), "user_id", "ts_ms", "1 hour")
+    assert _rows(got, ["window_end", "uv_bitmap"]) == _rows(want, ["window_end", "uv_bitmap"])
