@@ -45,21 +45,34 @@ def sliding_from_panes(
     """``foreachBatch`` body: store closed panes, emit the windows they complete."""
     size_ms, slide_ms = duration_ms(size), duration_ms(slide)
 
+    day_ms = 86_400_000
+
     def run(panes: DataFrame, batch_id: int) -> None:
         spark = panes.sparkSession
-        panes.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
-            f"{store}/batch={batch_id}"
-        )
-        stored = spark.read.parquet(store)
-        previous = stored.where(F.col("batch_id") < batch_id)
-        lo = previous.agg(F.max("pane_end")).first()[0]
         hi = panes.agg(F.max("pane_end")).first()[0]
+        # Panes are stored per batch (a replayed batch overwrites its folder) and
+        # partitioned by day, so reads below prune to the last ``size`` of time.
+        (
+            panes.withColumn("batch_id", F.lit(batch_id))
+            .withColumn("pane_day", F.floor(F.col("pane_end") / F.lit(day_ms)).cast("bigint"))
+            .write.mode("overwrite").partitionBy("pane_day").parquet(f"{store}/panes/batch={batch_id}")
+        )
+        marks = spark.createDataFrame([(batch_id, hi)], "batch_id long, hi long")
+        marks.write.mode("overwrite").parquet(f"{store}/marks/batch={batch_id}")
+        lo = (
+            spark.read.parquet(f"{store}/marks")
+            .where(F.col("batch_id") < batch_id)
+            .agg(F.max("hi"))
+            .first()[0]
+        )
         if hi is None or (lo is not None and hi <= lo):
             return
         lo = lo if lo is not None else -(1 << 62)
-        # panes that can contribute to windows ending in (lo, hi]
+        first_day = (max(lo, 0) - size_ms) // day_ms if lo > 0 else -(1 << 40)
+        stored = spark.read.parquet(f"{store}/panes")
         recent = stored.where(
-            (F.col("batch_id") <= batch_id)
+            (F.col("pane_day") >= F.lit(first_day))
+            & (F.col("batch_id") <= batch_id)
             & (F.col("pane_end") > F.lit(lo) - F.lit(size_ms))
             & (F.col("pane_end") <= F.lit(hi))
         )
