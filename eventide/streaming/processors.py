@@ -315,3 +315,24 @@ def running_distinct_stream(stream: DataFrame, user: str, ts: str, ts_ms: str, s
         outputStructType=f"window_end bigint, {user} {user_type}, {ts_ms} bigint, uv_running bigint",
         outputMode="Append", timeMode="EventTime",
     )
+
+
+def routed_outputs(
+    keys: list[str],
+    ts_ms: str,
+    max_count: int,
+    main_sink: Callable[[DataFrame, int], None],
+    side_sink: Callable[[DataFrame, int], None],
+):
+    """T2 stream: ``foreachBatch`` body feeding both limiter outputs from one
+    routed micro-batch (persisted once, written twice)."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            main_sink(batch.where(F.col("route") == "pass").drop("route"), batch_id)
+            side_sink(warnings_of(batch, keys, ts_ms, max_count), batch_id)
+        finally:
+            batch.unpersist()
+
+    return run

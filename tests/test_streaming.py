@@ -241,3 +241,38 @@ def test_bitmap_distinct_stream_equals_batch(spark, source, scratch):
     got = _run(sw.bitmap_distinct_users(s, "user_id", "ts", "1 hour"), "a6", scratch).where(F.col("window_end") < SENTINEL_MS)
     want = aggregates.bitmap_distinct_users(source["batch"].where("event_type = 'view'"), "user_id", "ts_ms", "1 hour")
     assert _rows(got, ["window_end", "uv_bitmap"]) == _rows(want, ["window_end", "uv_bitmap"])
+
+
+def test_limiter_two_outputs_from_one_stream(spark, source, scratch):
+    s = _stream(spark, source).where("event_type != 'sentinel'").select("user_id", "item_id", "ts", "ts_ms", "seq")
+    routed = processors.daily_limit_stream(s.withWatermark("ts", "0 seconds"), ["user_id"], "ts_ms", "seq", 1)
+    out = os.path.join(scratch, "routed")
+
+    def main_sink(df, bid):
+        df.write.mode("overwrite").parquet(f"{out}/main/batch={bid}")
+
+    def side_sink(df, bid):
+        df.write.mode("overwrite").parquet(f"{out}/side/batch={bid}")
+
+    q = (routed.writeStream.foreachBatch(processors.routed_outputs(["user_id"], "ts_ms", 1, main_sink, side_sink))
+         .option("checkpointLocation", os.path.join(scratch, "routed-ck")).start())
+    q.processAllAvailable()
+    q.stop()
+    main, side = routing.limiter_outputs(routing.daily_limit(source["batch"], ["user_id"], "ts_ms", "seq", 1), ["user_id"], 1)
+    assert spark.read.parquet(f"{out}/main").count() == main.count()
+    assert _rows(spark.read.parquet(f"{out}/side"), ["user_id", "day", "msg"]) == _rows(side, ["user_id", "day", "msg"])
+
+
+def test_keyed_lines_from_a_text_stream(spark, scratch):
+    from eventide.sources import text
+
+    d = os.path.join(scratch, "lines")
+    os.makedirs(d)
+    for i, body in enumerate(["a 1\nb 2\n", "bad\nc x\nd 4\n"]):
+        with open(os.path.join(d, f"f{i}.txt"), "w") as fh:
+            fh.write(body)
+    good, bad = text.keyed_lines(text.read_lines(spark, d, stream=True))
+    got = _run(good.select("key", "ts_ms"), "kl_good", scratch)
+    rej = _run(bad, "kl_bad", scratch)
+    assert _rows(got, ["key", "ts_ms"]) == [("a", 1000), ("b", 2000), ("d", 4000)]
+    assert sorted(r[0] for r in rej.collect()) == ["bad", "c x"]
