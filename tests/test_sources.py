@@ -84,8 +84,8 @@ def test_lifecycle_map(spark):
 def test_row_filters(spark):
     from eventide.functions.text import contains, equals, not_equals
 
-    df = spark.createDataFrame([("flink rocks",), ("spark",), ("pv",)], "value string")
-    assert contains(df, "value", "flink").count() == 1
+    df = spark.createDataFrame([("stream rocks",), ("spark",), ("pv",)], "value string")
+    assert contains(df, "value", "rocks").count() == 1
     assert equals(df, "value", "pv").count() == 1
     assert not_equals(df, "value", "pv").count() == 2
 
