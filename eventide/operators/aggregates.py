@@ -46,7 +46,7 @@ def bitmap_distinct_users(
 
 
 def approx_distinct_users(df: DataFrame, user: str, ts: str, size, out: str = "uv_approx") -> DataFrame:
-    """Mergeable HyperLogLog alternative to A6."""
+    """HyperLogLog++ estimate per window (for mergeable sketches see ``hll_sketches``)."""
     res = windowed_agg(df, [], ts, size, [F.approx_count_distinct(F.col(user)).alias(out)])
     return res.select("window_end", out)
 
@@ -101,3 +101,23 @@ def first_with_min(
         slide,
     )
     return res.select(*keys, "window_end", F.col("_first.t").alias("first_ts"), f"min_{value}")
+
+
+def hll_sketches(df: DataFrame, user: str, ts_ms: str, size, lg_k: int = 12) -> DataFrame:
+    """A6 alternative: one mergeable HLL sketch per tumbling window
+    (window_end, sketch).  Sketches of small windows union into larger ones
+    without rescanning events (see ``merge_sketches``)."""
+    size_ms = duration_ms(size)
+    return df.groupBy(_window_end(ts_ms, size_ms).alias("window_end")).agg(
+        F.hll_sketch_agg(F.col(user), lg_k).alias("sketch")
+    )
+
+
+def merge_sketches(sketches: DataFrame, size, out: str = "uv_estimate") -> DataFrame:
+    """Roll window sketches up to windows of ``size`` (a multiple of theirs)."""
+    size_ms = duration_ms(size)
+    start = F.col("window_end") - F.lit(1)
+    merged = sketches.groupBy((floor_to(start, size_ms) + F.lit(size_ms)).alias("window_end")).agg(
+        F.hll_union_agg("sketch").alias("_s")
+    )
+    return merged.select("window_end", F.hll_sketch_estimate("_s").alias(out))

@@ -106,3 +106,13 @@ def test_empty_inputs(spark):
     assert late.late_split(ev.withColumn("arr", F.col("ts_ms")), "ts_ms", "arr", "seq", "1 hour").count() == 0
     assert gate.timed_gate(ev, ev.withColumn("d", F.lit(1)), "user_id", "ts_ms", "user_id", "ts_ms", "d").count() == 0
     assert rank.top_n(ev.withColumn("cnt", F.lit(1)), ["ts_ms"], "cnt", "item_id", 3).count() == 0
+
+
+def test_hll_sketches_roll_up(spark):
+    views = jobs._views(spark, SF001)
+    hourly = aggregates.hll_sketches(views, "user_id", "ts_ms", "1 hour")
+    daily = {r["window_end"]: r["uv_estimate"] for r in aggregates.merge_sketches(hourly, "1 day").collect()}
+    exact = views.groupBy((F.floor(F.col("ts_ms") / 86_400_000) * 86_400_000 + 86_400_000).alias("d")).agg(
+        F.count_distinct("user_id").alias("n"))
+    for r in exact.collect():
+        assert abs(daily[r["d"]] - r["n"]) <= max(3, 0.05 * r["n"])
