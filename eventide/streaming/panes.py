@@ -89,3 +89,21 @@ def sliding_from_panes(
         sink(counts.where((F.col("window_end") > F.lit(lo)) & (F.col("window_end") <= F.lit(hi))), batch_id)
 
     return run
+
+
+def sliding_top_n_from_panes(
+    key: str,
+    size,
+    slide,
+    n: int,
+    store: str,
+    sink: Callable[[DataFrame, int], None],
+):
+    """K1 over high-ratio sliding windows on a stream: the windows a batch
+    completes hold every key's count, so ranking them per batch is exact."""
+    from ..operators.rank import top_n
+
+    def ranked_sink(counts: DataFrame, batch_id: int) -> None:
+        sink(top_n(counts, ["window_end"], "cnt", key, n).select("window_end", "rnk", key, "cnt"), batch_id)
+
+    return sliding_from_panes([key], size, slide, store, ranked_sink)

@@ -276,3 +276,25 @@ def test_keyed_lines_from_a_text_stream(spark, scratch):
     rej = _run(bad, "kl_bad", scratch)
     assert _rows(got, ["key", "ts_ms"]) == [("a", 1000), ("b", 2000), ("d", 4000)]
     assert sorted(r[0] for r in rej.collect()) == ["bad", "c x"]
+
+
+def test_high_ratio_top_n_stream_equals_batch(spark, source, scratch):
+    from eventide.streaming import panes
+
+    s = _stream(spark, source)
+    counts = panes.pane_counts(s, ["item_id"], "ts", "5 seconds")
+    out = os.path.join(scratch, "top-out")
+
+    def sink(df, batch_id):
+        df.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    body = panes.sliding_top_n_from_panes("item_id", "10 minutes", "5 seconds", 5, os.path.join(scratch, "top-store"), sink)
+    q = counts.writeStream.foreachBatch(body).option("checkpointLocation", os.path.join(scratch, "top-ck")).start()
+    q.processAllAvailable()
+    q.stop()
+    got = spark.read.parquet(out).where(F.col("window_end") < SENTINEL_MS)
+    b = source["batch"]
+    want = windows.deltas_top_n(windows.window_deltas(b, ["item_id"], "ts_ms", "10 minutes", "5 seconds"),
+                                "item_id", "10 minutes", "5 seconds", 5)
+    cols = ["window_end", "rnk", "item_id", "cnt"]
+    assert _rows(got, cols) == _rows(want, cols)
