@@ -182,6 +182,16 @@ def expand_runs(runs: DataFrame, keys: list[str], slide, out: str = "cnt", keep_
     return runs.select(*keys, *extra, F.explode(ends).alias("window_end"), out)
 
 
+def with_total_deltas(deltas: DataFrame, keys: list[str], label: str = "total", delta: str = "delta") -> DataFrame:
+    """A4 from A3's deltas: append, per change point, the sum over all keys
+    labelled ``label`` in every key column.  One scan and one delta pipeline
+    then yield both the per-key and the total series (``rollup`` on deltas)."""
+    total = deltas.groupBy("end").agg(F.sum(delta).alias(delta)).select(
+        *[F.lit(label).alias(k) for k in keys], "end", delta
+    )
+    return deltas.select(*keys, "end", delta).unionByName(total)
+
+
 def deltas_to_counts(
     deltas: DataFrame,
     keys: list[str],

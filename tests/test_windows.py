@@ -99,3 +99,21 @@ def test_duration_parse():
     assert duration_ms("5 minutes") == 300_000
     assert duration_ms("1h") == H
     assert duration_ms(7) == 7
+
+
+def test_total_from_keyed_deltas(spark):
+    from eventide.plans import jobs
+    from tests.conftest import SF0001
+
+    size, slide = duration_ms("1 hour"), duration_ms("1 second")
+    m = jobs._marketing(spark, SF0001)
+    keys = ["channel", "behavior"]
+    both = windows.deltas_to_counts(
+        windows.with_total_deltas(windows.window_deltas(m, keys, "ts_ms", size, slide), keys), keys, size, slide
+    )
+    total = both.where("channel = 'total'").select("window_end", "cnt")
+    direct = windows.deltas_to_counts(windows.window_deltas(m, [], "ts_ms", size, slide), [], size, slide)
+    keyed = windows.deltas_to_counts(windows.window_deltas(m, keys, "ts_ms", size, slide), keys, size, slide)
+    assert total.exceptAll(direct).count() == 0 and direct.exceptAll(total).count() == 0
+    assert both.where("channel != 'total'").exceptAll(keyed).count() == 0
+    assert both.count() == direct.count() + keyed.count()
