@@ -116,3 +116,19 @@ def test_hll_sketches_roll_up(spark):
         F.count_distinct("user_id").alias("n"))
     for r in exact.collect():
         assert abs(daily[r["d"]] - r["n"]) <= max(3, 0.05 * r["n"])
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 300), st.sampled_from(["fail", "ok"])), min_size=3, max_size=80))
+def test_sequence_time_split_equals_unsplit(spark, rows):
+    data = [("hot", s, t * 250, i) for i, (t, s) in enumerate(rows)]
+    df = spark.createDataFrame(data, "user_id string, status string, ts_ms long, seq long")
+    fail = lambda r: r("status") == "fail"
+    a = sequence.strict_sequence(df, ["user_id"], "ts_ms", "seq", [fail] * 3, "10 seconds", emit=["seq"])
+    b = sequence.strict_sequence(df, ["user_id"], "ts_ms", "seq", [fail] * 3, "10 seconds", emit=["seq"],
+                                 split_by_time=False)
+    assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.collect())

@@ -298,3 +298,15 @@ def test_high_ratio_top_n_stream_equals_batch(spark, source, scratch):
                                 "item_id", "10 minutes", "5 seconds", 5)
     cols = ["window_end", "rnk", "item_id", "cnt"]
     assert _rows(got, cols) == _rows(want, cols)
+
+
+def test_early_results_stream_final_equals_batch(spark, source, scratch):
+    s = _stream(spark, source).select(F.col("user_id").cast("string").alias("id"), "ts", "ts_ms", "value")
+    got = _run(sw.window_min_max(s, ["id"], "ts", "value", "6 hours"), "l6b", scratch, mode="update")
+    # the last update of each window is its final result
+    final = got.where("id != '-1'").groupBy("id", "window_end").agg(
+        F.min("min_value").alias("min_value"), F.max("max_value").alias("max_value"))
+    b = source["batch"].select(F.col("user_id").cast("string").alias("id"), "ts_ms", "value")
+    want = late.early_results(b, ["id"], "ts_ms", "value", "6 hours", "1 hour").where("is_final")
+    cols = ["id", "window_end", "min_value", "max_value"]
+    assert _rows(final, cols) == _rows(want, cols)
