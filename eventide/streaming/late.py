@@ -3,8 +3,9 @@
 Spark drops rows behind its own watermark before user code sees them, so the
 split is done in ``foreachBatch`` with the batch operator: rows are ordered by
 arrival inside the micro-batch, and the largest event time of all earlier
-batches is carried in a small table in the checkpoint folder, one row per
-batch id, so a replayed batch rewrites its own row.
+batches is carried in a small table in the checkpoint folder: one row per
+batch id holding the running maximum, so a batch reads only its
+predecessor's row and a replayed batch rewrites its own.
 """
 
 from __future__ import annotations
@@ -17,6 +18,28 @@ from pyspark.sql import functions as F
 from ..operators.late import late_split
 
 
+def previous_mark(spark, store: str, batch_id: int, col: str):
+    """The cumulative value written by the previous batch.
+
+    Each batch writes one row holding the running value up to itself, so a
+    batch normally reads a single one-row file, not the whole history; only if
+    that file is missing (the first batch, or a batch id gap) are all earlier
+    marks scanned.
+    """
+    if batch_id > 0:
+        try:
+            row = spark.read.parquet(f"{store}/batch={batch_id - 1}").select(col).first()
+            if row is not None:
+                return row[0]
+        except Exception:  # missing previous mark: fall back to a scan
+            pass
+    try:
+        prior = spark.read.parquet(store).where(F.col("batch_id") < batch_id)
+        return prior.agg(F.max(col)).first()[0]
+    except Exception:  # nothing written yet
+        return None
+
+
 def late_split_batches(
     ts_ms: str,
     arrival: str,
@@ -29,16 +52,12 @@ def late_split_batches(
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        carry = None
-        try:
-            prior = spark.read.parquet(store).where(F.col("batch_id") < batch_id)
-            carry = prior.agg(F.max("max_ts")).first()[0]
-        except Exception:  # no earlier batch written yet
-            carry = None
+        carry = previous_mark(spark, store, batch_id, "max_ts")
         marked = late_split(batch, ts_ms, arrival, seq, delay, carry_max=carry)
         marked = marked.persist()
         sink(marked, batch_id)
-        top = marked.agg(F.max(ts_ms).alias("max_ts")).withColumn("batch_id", F.lit(batch_id))
+        running = F.greatest(F.max(ts_ms), F.lit(carry).cast("bigint"))
+        top = marked.agg(running.alias("max_ts")).withColumn("batch_id", F.lit(batch_id))
         top.write.mode("overwrite").parquet(f"{store}/batch={batch_id}")
         marked.unpersist()
 

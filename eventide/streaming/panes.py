@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.time import duration_ms, spark_interval, to_ms
 from ..operators.windows import deltas_to_counts
+from .late import previous_mark
 
 
 def pane_counts(stream: DataFrame, keys: list[str], ts: str, slide, delay="0 seconds") -> DataFrame:
@@ -57,14 +58,10 @@ def sliding_from_panes(
             .withColumn("pane_day", F.floor(F.col("pane_end") / F.lit(day_ms)).cast("bigint"))
             .write.mode("overwrite").partitionBy("pane_day").parquet(f"{store}/panes/batch={batch_id}")
         )
-        marks = spark.createDataFrame([(batch_id, hi)], "batch_id long, hi long")
+        lo = previous_mark(spark, f"{store}/marks", batch_id, "hi")
+        high = max(x for x in (lo, hi) if x is not None) if (lo is not None or hi is not None) else None
+        marks = spark.createDataFrame([(batch_id, high)], "batch_id long, hi long")
         marks.write.mode("overwrite").parquet(f"{store}/marks/batch={batch_id}")
-        lo = (
-            spark.read.parquet(f"{store}/marks")
-            .where(F.col("batch_id") < batch_id)
-            .agg(F.max("hi"))
-            .first()[0]
-        )
         if hi is None or (lo is not None and hi <= lo):
             return
         lo = lo if lo is not None else -(1 << 62)
