@@ -325,6 +325,23 @@ def late_revision(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------ text
 
 
+def action_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6 -> S1: every event encoded as a ``user,item,category,behavior,seconds``
+    message and parsed back by the delimited-line parser (rejects excluded)."""
+    from ..sources import connectors, text
+
+    ev = tables.events(spark, sf_dir)
+    actions = ev.select(
+        F.col("user_id").cast("string").alias("user_id"),
+        F.col("item_id").cast("string").alias("item_id"),
+        (F.col("item_id") % 6).cast("string").alias("category_id"),
+        F.col("event_type").alias("behavior"),
+        F.floor(F.col("ts_ms") / 1000).cast("bigint").alias("ts_s"),
+    )
+    parsed, _ = text.user_actions(connectors.user_action_messages(actions))
+    return parsed.select("user_id", "item_id", "category_id", "behavior", "ts_s", "ts_ms")
+
+
 def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P7 -> A10: whitespace tokens of every document, counted."""
     words = split_words(tables.documents(spark, sf_dir), "text", "word")
@@ -356,4 +373,5 @@ REGISTRY = {
     "late_split": late_split,
     "late_revision": late_revision,
     "word_count": word_count,
+    "action_lines": action_lines,
 }

@@ -288,6 +288,13 @@ GROUP BY word
 """
 
 
+ACTION_LINES = _with(EV) + """
+SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(item_id AS VARCHAR) AS item_id,
+       CAST(item_id % 6 AS VARCHAR) AS category_id, event_type AS behavior,
+       ts_ms // 1000 AS ts_s, (ts_ms // 1000) * 1000 AS ts_ms
+FROM ev
+"""
+
 # Queries whose full result is too large to collect for a row-by-row check
 # (22.9 M rows at sf0.01); tests compare them with whole-table fingerprints.
 FINGERPRINT_ONLY = {"marketing_by_channel": MARKETING_BY_CHANNEL}
@@ -318,4 +325,5 @@ def oracle_sql() -> dict[str, str]:
         "late_split": LATE_SPLIT,
         "late_revision": LATE_REVISION,
         "word_count": WORD_COUNT,
+        "action_lines": ACTION_LINES,
     }
