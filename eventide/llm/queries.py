@@ -6,7 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import chat, decontaminate, exact_dedup
+from . import chat, decontaminate, exact_dedup, language_id, toxicity
+from .common import held_out
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").withColumn("held_out", held_out("doc_id", 4, 2))
+    profile = language_id.learn(docs, usable=~F.col("held_out"))
+    found = docs.select("doc_id", "held_out", language_id.identify("text", profile).alias("p"))
+    return found.select("doc_id", "held_out", "p.lang_pred", "p.score")
 
 
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +29,13 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.render(chat.fold_events(log)))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").withColumn("held_out", held_out("doc_id", 5, 0))
+    model = toxicity.learn(docs, read_table(spark, sf_dir, "labels"), usable=~F.col("held_out"))
+    found = docs.select("doc_id", "held_out", toxicity.score("text", model).alias("score"))
+    return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return exact_dedup.exact_duplicates(docs).select(
@@ -34,7 +49,9 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {
+    "op1_language_id": op1_language_id,
     "op2_chat_format": op2_chat_format,
+    "op3_toxicity": op3_toxicity,
     "op5_exact_dedup": op5_exact_dedup,
     "op10_decontaminate": op10_decontaminate,
 }
