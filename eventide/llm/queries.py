@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import chat, decontaminate, exact_dedup, language_id, toxicity
+from . import chat, decontaminate, exact_dedup, html_text, language_id, secret_scan, simhash, toxicity
 from .common import held_out
 
 
@@ -43,6 +43,31 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), words=3, radius=3)
+    return found.select(F.col("_id").alias("doc_id"), "fingerprint", "component_id")
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = docs.select("doc_id", secret_scan.find_secrets("text").alias("spans"))
+    base = F.filter("spans", lambda s: s["base"])
+    kinds = F.transform(base, lambda s: s["kind"])
+    counts = [
+        (F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}") for kind in secret_scan.KINDS
+    ]
+    return found.select(
+        "doc_id", *counts, F.sha2(secret_scan.spelled(base), 256).alias("base_sha256"),
+        secret_scan.spelled(F.col("spans")).alias("spans"),
+    )
+
+
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    found = pages.select("page_id", "url", html_text.extract("html").alias("text"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return decontaminate.contamination(docs, read_table(spark, sf_dir, "benchmark"))
@@ -53,5 +78,8 @@ REGISTRY = {
     "op2_chat_format": op2_chat_format,
     "op3_toxicity": op3_toxicity,
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_simhash": op7_simhash,
+    "op8_secret_scan": op8_secret_scan,
+    "op9_html_text": op9_html_text,
     "op10_decontaminate": op10_decontaminate,
 }
