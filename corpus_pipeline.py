@@ -10,19 +10,54 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from eventide.llm import exact_dedup
-from eventide.llm.common import use_checkpoint_dir
+from eventide.llm import decontaminate, exact_dedup, language_id, nbest, pieces, simhash
+from eventide.llm.common import row_key, same_key, use_checkpoint_dir
+from eventide.session import ship_package
 from eventide.sources.tables import read_table
 
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents whose language can not be told: null texts and texts without a letter."""
+    ship_package(spark)
+    profile = language_id.learn(docs)
+    found = docs.withColumn("_p", language_id.identify("text", profile))
+    return found.where(F.col("_p.lang_pred") != language_id.UNDETERMINED).drop("_p")
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each distinct text stays, that with the largest doc_id."""
+    ship_package(spark)
     return exact_dedup.drop_exact_duplicates(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by fingerprints within 3 bits, that with the smallest doc_id stays."""
+    ship_package(spark)
+    return simhash.drop_near_duplicates(docs, words=3, radius=3)
+
+
+def drop_benchmark_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with any window of a benchmark item go."""
+    hits = decontaminate.occurrences(docs, read_table(spark, sf_dir, "benchmark")).select("_id", "_h").distinct()
+    keyed = docs.select("*", *row_key("doc_id", "text"))
+    return keyed.join(hits, same_key(keyed, hits), "left_anti").drop("_id", "_h")
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of each text and the costs of its four best segmentations."""
+    ship_package(spark)
+    found = docs.select("doc_id", nbest.encode("text", pieces.load(), n=4).alias("e"))
+    return found.select("doc_id", F.size("e.ids").cast("long").alias("n_pieces"), "e.ids", "e.costs")
+
+
 STAGES = [
+    ("language ID", known_language),
     ("exact dedup", drop_copies),
+    ("SimHash near-dedup", drop_near_copies),
+    ("benchmark decontamination", drop_benchmark_text),
+    ("SentencePiece encoding", encode),
 ]
 
 #: The stages learn models and link texts by fingerprints, which SQL can not express.

@@ -5,11 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import read_table
-from . import chat, decontaminate, exact_dedup, html_text, language_id, secret_scan, simhash, toxicity
+from ..session import ship_package
+from ..sources import tables
+from . import (
+    chat, decontaminate, exact_dedup, html_text, language_id, nbest, pieces, secret_scan, simhash, token_counts, toxicity,
+)
 from .common import held_out
 
 
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; the workers can then import this package."""
+    ship_package(spark)
+    return tables.read_table(spark, sf_dir, name)
+
+
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").withColumn("held_out", held_out("doc_id", 4, 2))
     profile = language_id.learn(docs, usable=~F.col("held_out"))
@@ -36,6 +45,12 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = docs.select("doc_id", token_counts.token_counts("text", pieces.load()).alias("c"))
+    return found.select("doc_id", "c.n_chunks", "c.n_tokens")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return exact_dedup.exact_duplicates(docs).select(
@@ -43,6 +58,17 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of the best segmentation, costs of the four best, and whether decoding gives the text back."""
+    docs = read_table(spark, sf_dir, "documents")
+    vocabulary = pieces.load()
+    found = docs.select("doc_id", "text", nbest.encode("text", vocabulary).alias("e"))
+    return found.select(
+        "doc_id", F.size("e.ids").cast("long").alias("n_pieces"), F.col("e.ids").alias("ids"), F.col("e.costs").alias("costs"),
+        nbest.decode(F.col("e.ids"), vocabulary).eqNullSafe(F.col("text")).alias("restored"),
+    )
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), words=3, radius=3)
     return found.select(F.col("_id").alias("doc_id"), "fingerprint", "component_id")
@@ -77,7 +103,9 @@ REGISTRY = {
     "op1_language_id": op1_language_id,
     "op2_chat_format": op2_chat_format,
     "op3_toxicity": op3_toxicity,
+    "op4_token_counts": op4_token_counts,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_simhash": op7_simhash,
     "op8_secret_scan": op8_secret_scan,
     "op9_html_text": op9_html_text,
