@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventide.llm import decontaminate, exact_dedup, language_id, nbest, pieces, simhash
-from eventide.llm.common import row_key, same_key, use_checkpoint_dir
+from eventide.llm.common import use_checkpoint_dir
 from eventide.session import ship_package
 from eventide.sources.tables import read_table
 
@@ -21,9 +21,7 @@ from eventide.sources.tables import read_table
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents whose language can not be told: null texts and texts without a letter."""
     ship_package(spark)
-    profile = language_id.learn(docs)
-    found = docs.withColumn("_p", language_id.identify("text", profile))
-    return found.where(F.col("_p.lang_pred") != language_id.UNDETERMINED).drop("_p")
+    return language_id.keep_known(docs, language_id.learn(docs))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,9 +38,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_benchmark_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with any window of a benchmark item go."""
-    hits = decontaminate.occurrences(docs, read_table(spark, sf_dir, "benchmark")).select("_id", "_h").distinct()
-    keyed = docs.select("*", *row_key("doc_id", "text"))
-    return keyed.join(hits, same_key(keyed, hits), "left_anti").drop("_id", "_h")
+    return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

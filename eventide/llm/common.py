@@ -24,6 +24,11 @@ def row_key(id_col: str, text_col: str) -> list[Column]:
     return [F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_h")]
 
 
+def packed(docs: DataFrame, *more: Column) -> DataFrame:
+    """``docs`` as one struct column ``_row``, so that its names clash with none, and ``more`` columns of it."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *more)
+
+
 def same_key(left: DataFrame, right: DataFrame) -> Column:
     return left["_id"].eqNullSafe(right["_id"]) & (left["_h"] == right["_h"])
 

@@ -29,7 +29,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, lower_ascii, row_key, same_key
+from .common import cut_lineage, lower_ascii, packed, row_key, same_key
 
 #: Fixed value of the word rule: what separates words, ASCII other than letters and digits.
 SEPARATORS = r"[[\W&&\p{ASCII}]_]+"
@@ -134,6 +134,17 @@ def contamination(
     )
 
 
+def drop_contaminated(
+    docs: DataFrame, items: DataFrame, n: int = 10, id_col: str = "doc_id", text_col: str = "text",
+    item_id: str = "item_id", item_text: str = "text", block_windows: int = 200_000,
+) -> DataFrame:
+    """``docs`` without the documents that contain a window of any item, columns as they were."""
+    found = occurrences(docs, items, n, id_col, text_col, item_id, item_text, block_windows)
+    hits = found.select("_id", "_h").distinct()
+    keyed = packed(docs, *row_key(id_col, text_col))
+    return keyed.join(hits, same_key(keyed, hits), "left_anti").select("_row.*")
+
+
 def _covered(found: DataFrame) -> DataFrame:
     """Per document: length of the union of its hit ranges, and the sorted item ids."""
     ranges = found.groupBy("_id", "_h", "start").agg(

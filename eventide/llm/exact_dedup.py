@@ -27,6 +27,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import packed
+
 RUN = "node int, digest binary, proof binary, keep_id long, n long, n_keep long"
 _SCHEMA = pa.schema(
     [("node", pa.int32()), ("digest", pa.binary()), ("proof", pa.binary()),
@@ -129,8 +131,8 @@ def drop_exact_duplicates(
 ) -> DataFrame:
     """``docs`` with one row of each distinct text, all columns as they were."""
     groups = duplicate_groups(docs, id_col, text_col, keep, **tree)
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    stay = _digests(docs.select(id_col, text_col, row), id_col, text_col, "_row").join(
+    whole = packed(docs, F.col(id_col).alias("_key"), F.col(text_col).alias("_text"))
+    stay = _digests(whole, "_key", "_text", "_row").join(
         groups.select("digest", "proof", "keep_id", "n_keep"), ["digest", "proof"]
     ).where(F.col("_id").eqNullSafe(F.col("keep_id")))
     # rows repeated under one id: only those need a shuffle to leave one

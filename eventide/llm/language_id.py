@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .arrays import code_points, letter_table, slices
+from .common import packed
 
 UNDETERMINED = "und"
 BLOCK = 4096
@@ -88,6 +89,12 @@ def identify(text: Column | str, profile: Profile) -> Column:
     return predicted(text)
 
 
+def keep_known(docs: DataFrame, profile: Profile, text_col: str = "text") -> DataFrame:
+    """``docs`` without the texts whose language can not be told, columns as they were."""
+    found = packed(docs, identify(text_col, profile).alias("_p"))
+    return found.where(F.col("_p.lang_pred") != UNDETERMINED).select("_row.*")
+
+
 def predict(texts: list[str | None], profile: Profile) -> pd.DataFrame:
     parts = [np.empty((0, len(profile.languages)))]
     letters = [np.empty(0, dtype=bool)]
@@ -149,16 +156,20 @@ def _phrases(symbols: np.ndarray, starts: np.ndarray, machine: "_Machine") -> np
     for t in range(longest):
         k = active[t]
         step = machine.table.take(state[:, :k] + symbols[begin[:k] + t])
-        state[:, :k] = step >> 1
-        ended[:, :k] += step & 1
+        state[:, :k] = step >> 2
+        ended[:, :k] += step & 3
+    ended += state != machine.roots[:, None]
     total = np.zeros((len(sizes), len(machine.roots)))
-    np.add.at(total, owner, (ended + 1).T)
+    np.add.at(total, owner, ended.T)
     return total
 
 
 @dataclass(frozen=True)
 class _Machine:
-    """``table[state + symbol]`` is twice the next state, plus 1 where a phrase ends before it."""
+    """``table[state + symbol]`` is four times the next state, plus the phrases that end by that step.
+
+    A symbol that the sample lacks ends the phrase before it and is one by itself.
+    """
 
     table: np.ndarray
     roots: np.ndarray
@@ -181,10 +192,11 @@ def _machine(profile: Profile) -> _Machine:
         for s, out in enumerate(edges):
             for c, to in out.items():
                 grid[s, c] = to
-        restart = np.maximum(grid[0], 0)
-        ends = grid < 0
-        to = np.where(ends, restart, grid) * width + base
-        tables.append((to * 2 + ends).astype(np.int32).ravel())
+        missing = grid < 0
+        ended = np.where(missing, 1 + (grid[0] < 0), 0)
+        ended[0] = missing[0]
+        to = np.where(missing, np.maximum(grid[0], 0), grid) * width + base
+        tables.append((to * 4 + ended).astype(np.int32).ravel())
         roots.append(base)
         bits.append(np.log2(max(len(symbols), 2)))
         base += grid.size

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, row_key, same_key
+from .common import cut_lineage, packed, row_key, same_key
 from .components import connected_components
 
 SEED = 42
@@ -242,5 +242,5 @@ def drop_near_duplicates(
     """``docs`` with the document of the smallest id of each component; whole repeats of it stay with it."""
     found = near_duplicates(docs, words, radius, id_col, text_col)
     stay = found.where(F.col("_id").eqNullSafe(F.col("component_id"))).select("_id", "_h")
-    keyed = docs.select("*", *row_key(id_col, text_col))
-    return keyed.join(stay, same_key(keyed, stay), "left_semi").drop("_id", "_h")
+    keyed = packed(docs, *row_key(id_col, text_col))
+    return keyed.join(stay, same_key(keyed, stay), "left_semi").select("_row.*")
