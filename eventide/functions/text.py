@@ -45,7 +45,3 @@ def split_words(df: DataFrame, text: str = "text", out: str = "word") -> DataFra
     return df.select(words.alias(out), *[c for c in df.columns if c != text]).where(
         F.col(out) != ""
     )
-
-
-def render_message(template_prefix: str, col: Column | str, suffix: str = "") -> Column:
-    return F.concat(F.lit(template_prefix), _c(col).cast("string"), F.lit(suffix))

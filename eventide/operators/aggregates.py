@@ -3,6 +3,8 @@ min/max and first-element reduce (A5-A9)."""
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,9 @@ from .prefix import bucketed_running
 from .windows import windowed_agg
 
 
+SEQ_DIGITS = 19  # decimal digits of a non-negative bigint sequence number
+
+
 def _window_end(ts_ms: str, size_ms: int) -> Column:
     return floor_to(F.col(ts_ms), size_ms) + F.lit(size_ms)
 
@@ -28,16 +33,19 @@ def bitmap_distinct_users(
     """Distinct bit positions of ``poly_hash(user)`` per tumbling window.
 
     Users are placed in a 2^29-bit map by the string hash; colliding users
-    count once (the undercount is part of the method).  The map is built as
-    Spark bitmaps per (window, 32768-bit bucket): ``bitmap_construct_agg`` is
-    combined map-side and merged in the shuffle, then bit counts are summed.
+    count once (the undercount is part of the method).  Positions are first
+    made distinct per window (a hash aggregate with map-side combine), then the
+    map is built as Spark bitmaps per (window, 32768-bit bucket) and bit counts
+    are summed, so only distinct positions are sorted for the bitmaps.
     """
     size_ms = duration_ms(size)
-    h = poly_hash(F.col(user).cast("string"))
-    keyed = df.select(
-        _window_end(ts_ms, size_ms).alias("window_end"),
-        F.bitmap_bucket_number(h).alias("_bucket"),
-        F.bitmap_bit_position(h).alias("_pos"),
+    positions = df.select(
+        _window_end(ts_ms, size_ms).alias("window_end"), poly_hash(F.col(user).cast("string")).alias("_h")
+    ).groupBy("window_end", "_h").agg(F.count(F.lit(1)).alias("_n"))
+    keyed = positions.select(
+        "window_end",
+        F.bitmap_bucket_number("_h").alias("_bucket"),
+        F.bitmap_bit_position("_h").alias("_pos"),
     )
     maps = keyed.groupBy("window_end", "_bucket").agg(
         F.bitmap_construct_agg("_pos").alias("_bm")
@@ -63,18 +71,22 @@ def running_distinct_users(
     """One row each time a user is first seen in a tumbling window, with the
     number of distinct users seen in that window so far.
 
-    First sightings are an aggregate (``min`` of (ts, seq) per window and
-    user, combined map-side); the running count is a bucketed prefix count so
-    a busy window is not ranked in one task.
+    First sightings are a hash aggregate with map-side combine: the least
+    (ts, seq) per window and user, both packed in one decimal (a struct would
+    force a sort).  The running count is a bucketed prefix count so a busy
+    window is not ranked in one task.
     """
     size_ms = duration_ms(size)
+    step = F.lit(Decimal(10) ** SEQ_DIGITS).cast("decimal(20,0)")
+    packed = F.col(ts_ms).cast("decimal(18,0)") * step + F.col(seq).cast("decimal(19,0)")
     firsts = df.groupBy(_window_end(ts_ms, size_ms).alias("window_end"), F.col(user)).agg(
-        F.min(F.struct(F.col(ts_ms).alias("t"), F.col(seq).alias("s"))).alias("_first")
+        F.min(packed.cast("decimal(38,0)")).alias("_first")
     )
+    first_ts = F.floor(F.col("_first") / step).cast("bigint")
     firsts = firsts.select(
-        "window_end", user, F.col("_first.t").alias(ts_ms), F.col("_first.s").alias(seq),
+        "window_end", user, first_ts.alias(ts_ms), F.pmod(F.col("_first"), step).cast("bigint").alias(seq),
         F.lit(1).cast("bigint").alias("_one"),
-        F.floor(F.col("_first.t") / F.lit(duration_ms(sub_bucket))).cast("bigint").alias("_sb"),
+        F.floor(first_ts / F.lit(duration_ms(sub_bucket))).cast("bigint").alias("_sb"),
     )
     counted = bucketed_running(firsts, ["window_end"], "_sb", [ts_ms, seq], "_one", out)
     return counted.select("window_end", user, ts_ms, out)
@@ -93,14 +105,17 @@ def min_max(df: DataFrame, keys: list[str], ts: str, value: str, size, slide=Non
 def first_with_min(
     df: DataFrame, keys: list[str], ts: str, ts_ms: str, seq: str, value: str, size, slide=None
 ) -> DataFrame:
-    """A9 reduce: the window's first row (by ts, seq) keeps its time, value = min."""
-    first = F.min(F.struct(F.col(ts_ms).alias("t"), F.col(seq).alias("s")))
+    """A9 reduce: the window's first row keeps its time, value = min.
+
+    The first row's time is the least time, whichever row of it came first
+    (``seq`` orders rows of equal time and so can not change it).
+    """
     res = windowed_agg(
         df, keys, ts, size,
-        [first.alias("_first"), F.min(value).alias(f"min_{value}")],
+        [F.min(ts_ms).alias("first_ts"), F.min(value).alias(f"min_{value}")],
         slide,
     )
-    return res.select(*keys, "window_end", F.col("_first.t").alias("first_ts"), f"min_{value}")
+    return res.select(*keys, "window_end", "first_ts", f"min_{value}")
 
 
 def hll_sketches(df: DataFrame, user: str, ts_ms: str, size, lg_k: int = 12) -> DataFrame:

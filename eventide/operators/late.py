@@ -117,20 +117,22 @@ def early_results(
 
     Pane t (a multiple of ``pane`` with start < t <= end) reports the rows
     with ts < t, from the window's first non-empty pane on, including panes
-    without new rows; t = end is the final result.  Each row is fanned out to
-    the pane ends from its own pane to the window end (at most size/pane) and
-    aggregated once, with map-side combining.
+    without new rows; t = end is the final result.  Rows are aggregated per own
+    pane first (map-side combine); only those panes are fanned out to the pane
+    ends up to the window end (at most size/pane).
     """
     size_ms, pane_ms = duration_ms(size), duration_ms(pane)
     if size_ms % pane_ms:
         raise ValueError("pane must divide the window size")
     end = floor_to(F.col(ts_ms), size_ms) + F.lit(size_ms)
     own = floor_to(F.col(ts_ms), pane_ms) + F.lit(pane_ms)
-    fan = df.select(
-        *keys, end.alias("window_end"), F.col(value),
-        F.explode(F.sequence(own, end, F.lit(pane_ms).cast("bigint"))).alias("pane_end"),
+    low, high = f"min_{value}", f"max_{value}"
+    panes = df.groupBy(*keys, end.alias("window_end"), own.alias("_own")).agg(
+        F.min(value).alias(low), F.max(value).alias(high)
     )
-    agg = fan.groupBy(*keys, "window_end", "pane_end").agg(
-        F.min(value).alias(f"min_{value}"), F.max(value).alias(f"max_{value}")
+    fan = panes.select(
+        *keys, "window_end", low, high,
+        F.explode(F.sequence("_own", "window_end", F.lit(pane_ms).cast("bigint"))).alias("pane_end"),
     )
+    agg = fan.groupBy(*keys, "window_end", "pane_end").agg(F.min(low).alias(low), F.max(high).alias(high))
     return agg.withColumn("is_final", F.col("pane_end") == F.col("window_end"))

@@ -28,6 +28,12 @@ def key_struct(keys: list[str]) -> Column:
     return F.struct(*[F.col(k) for k in keys])
 
 
+def _bucketed(df: DataFrame, keys: list[str], bucket: str) -> tuple[DataFrame, str]:
+    """``df`` with its key struct and a bucket that is never null (rows without one get the lowest)."""
+    src = df.withColumn("_pbucket", F.coalesce(F.col(bucket), F.lit(-(1 << 63))))
+    return (src.withColumn("_pkey", key_struct(keys)) if keys else src), "_pbucket"
+
+
 def bucketed_running(
     df: DataFrame,
     keys: list[str],
@@ -41,15 +47,15 @@ def bucketed_running(
     """Add ``out`` = running ``kind`` of ``value`` over ``order`` within ``keys``.
 
     ``bucket`` must be a column that is non-decreasing along ``order`` within a
-    key (for example ``floor(t / width)``).  ``inclusive=False`` excludes the
-    current row.  Rows are hash-partitioned once by (key, bucket) and the
+    key (for example ``floor(t / width)``).  Rows whose bucket is null come
+    first, as nulls sort first.  ``inclusive=False`` excludes the current row.  Rows are hash-partitioned once by (key, bucket) and the
     row-level window reuses that partitioning; the small per-bucket table is
     aggregated from the input with a map-side combine (a narrow second read,
     not a second shuffle of the rows), windowed per key, and hash-joined.
     """
     agg = _AGGS[kind]
     kcols = ["_pkey"] if keys else []
-    src = df.withColumn("_pkey", key_struct(keys)) if keys else df
+    src, bucket = _bucketed(df, keys, bucket)
     # The per-bucket table is aggregated from the un-shuffled input (map-side
     # combine, only the needed columns), not from the repartitioned rows.
     per_bucket = src.groupBy(*kcols, bucket).agg(agg(value).alias("_bucket_val"))
@@ -88,7 +94,7 @@ def bucketed_previous(
     value of the key's previous non-empty bucket from a per-bucket table.
     """
     kcols = ["_pkey"] if keys else []
-    src = df.withColumn("_pkey", key_struct(keys)) if keys else df
+    src, bucket = _bucketed(df, keys, bucket)
     last = F.max_by(F.col(value), F.struct(*[F.col(c) for c in order]))
     per_bucket = src.groupBy(*kcols, bucket).agg(last.alias("_last"))
     src = src.repartition(*kcols, bucket)

@@ -43,11 +43,10 @@ def ranked_report(
     rank: str = "rnk",
     labels: tuple[str, str] = ITEM_LABELS,
     out: str = "report",
-    partition: list[str] | None = None,
 ) -> DataFrame:
     """One text block per window from the top-N rows (at most N per group).
 
-    Layout: rule line, ``时间: <window_end - 1 ms>``, ``No{i}:<key label><key>
+    Layout: rule line, ``时间: <window_end>``, ``No{i}:<key label><key>
     <count label><count>`` per rank, closing rule line and a blank line.
     """
     line = F.concat(
@@ -60,15 +59,13 @@ def ranked_report(
         F.col(score).cast("string"),
         F.lit("\n"),
     )
-    # ``partition``: extra grouping columns functionally determined by the
-    # window (e.g. its time bucket) that match the input's partitioning.
-    grouped = ranked.groupBy(*(partition or []), window_end).agg(
+    grouped = ranked.groupBy(window_end).agg(
         F.sort_array(F.collect_list(F.struct(F.col(rank), line.alias("line")))).alias("_lines")
     )
     body = F.array_join(F.transform("_lines", lambda s: s["line"]), "")
     text = F.concat(
         F.lit(REPORT_RULE + "\n" + TIME_LABEL),
-        timestamp_text(F.col(window_end) - F.lit(1)),
+        timestamp_text(F.col(window_end)),
         F.lit("\n"),
         body,
         F.lit(REPORT_RULE + "\n\n"),

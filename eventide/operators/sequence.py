@@ -47,13 +47,13 @@ def strict_sequence(
 
     if split_by_time:
         b = F.floor(F.col(ts_ms) / F.lit(within_ms)).cast("bigint")
-        copies = F.array(
-            F.struct(b.alias("part"), F.lit(True).alias("home")),
-            F.struct((b - 1).alias("part"), F.lit(False).alias("home")),
-        )
-        base = base.select("*", F.explode(copies).alias("_c")).select(
-            *keys, *needed, F.col("_c.part").alias("_part"), F.col("_c.home").alias("_home")
-        )
+        home = base.withColumn("_part", b).withColumn("_home", F.lit(True))
+        # a match that starts in one bucket ends among the first n - 1 rows of the next;
+        # the limit is cut map-side (WindowGroupLimit), so few rows travel twice
+        order = Window.partitionBy(*keys, "_part").orderBy(F.col(ts_ms), F.col(seq))
+        ahead = home.withColumn("_nth", F.row_number().over(order)).where(F.col("_nth") < n)
+        ahead = ahead.drop("_nth").withColumn("_part", F.col("_part") - 1).withColumn("_home", F.lit(False))
+        base = home.unionByName(ahead)
         part_cols = [*keys, "_part"]
     else:
         base = base.withColumn("_home", F.lit(True))

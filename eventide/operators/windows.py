@@ -74,18 +74,18 @@ def window_deltas(
 ) -> DataFrame:
     """(keys, end, delta): +w where a row's windows begin, -w where they stop.
 
-    A row at ``u`` lies in the windows ending at ``first, first+slide, ...,
-    first+size-slide`` with ``first = floor(u/slide)*slide + slide``.
+    Windows start at multiples of the slide, so a row at ``u`` lies in those
+    ending from ``floor(u - size) + slide + size`` to ``floor(u) + size``
+    (floors to the slide), whether or not the slide divides the size; a row in
+    a gap between windows (slide over size) cancels itself out.
     Aggregated per (keys, end); partial aggregation happens map-side.
     """
     size_ms, slide_ms = duration_ms(size), duration_ms(slide)
-    if size_ms % slide_ms:
-        raise ValueError("delta windows need slide to divide size")
     w = F.lit(1).cast("bigint") if weight is None else weight
-    first = floor_to(F.col(ts_ms), slide_ms) + F.lit(slide_ms)
+    past = F.lit(slide_ms + size_ms)
     pairs = F.array(
-        F.struct(first.alias("end"), w.alias("d")),
-        F.struct((first + F.lit(size_ms)).alias("end"), (-w).alias("d")),
+        F.struct((floor_to(F.col(ts_ms) - F.lit(size_ms), slide_ms) + past).alias("end"), w.alias("d")),
+        F.struct((floor_to(F.col(ts_ms), slide_ms) + past).alias("end"), (-w).alias("d")),
     )
     exploded = df.select(*keys, F.explode(pairs).alias("_p"))
     return exploded.groupBy(*keys, F.col("_p.end").alias("end")).agg(
@@ -93,10 +93,10 @@ def window_deltas(
     )
 
 
-def _bucket_width(size_ms: int, bucket) -> int:
-    """A multiple of ``size`` (so also of the slide), at least ``bucket``."""
-    want = duration_ms(bucket) if bucket else 86_400_000
-    return size_ms * max(1, -(-want // size_ms))
+def _bucket_width(size_ms: int, slide_ms: int, bucket) -> int:
+    """A multiple of the slide, at least ``bucket`` and one window."""
+    want = max(duration_ms(bucket) if bucket else 86_400_000, size_ms)
+    return slide_ms * -(-want // slide_ms)
 
 
 def deltas_to_runs(
@@ -121,7 +121,8 @@ def deltas_to_runs(
     next bucket, whose rows are present.
     """
     size_ms, slide_ms = duration_ms(size), duration_ms(slide)
-    width = _bucket_width(size_ms, bucket)
+    width = _bucket_width(size_ms, slide_ms, bucket)
+    phase = size_ms % slide_ms  # window ends are multiples of the slide plus this; so are bucket starts
     # Keys travel as one struct (never null, null fields compare equal), so the
     # same hash partitioning serves the per-bucket aggregate, the join and the
     # row-level window without further exchanges.  A fixed partition count keeps
@@ -134,7 +135,7 @@ def deltas_to_runs(
         "end",
         F.col(delta).alias("_d"),
         # non-nullable bucket: no inferred null filter lands in just one branch
-        F.coalesce(F.floor(F.col("end") / F.lit(width)).cast("bigint"), F.lit(0).cast("bigint")).alias("_b"),
+        F.coalesce(F.floor((F.col("end") - F.lit(phase)) / F.lit(width)).cast("bigint"), F.lit(0).cast("bigint")).alias("_b"),
     ).repartition(parts, *kcols, "_b")
     # Deltas may arrive partly aggregated (e.g. per page before a page->url
     # join); summing per (key, end) here reuses the partitioning above.
@@ -156,7 +157,7 @@ def deltas_to_runs(
     w_in = Window.partitionBy(*kcols, "_b").orderBy("end")
     carry = F.coalesce(F.col("_carry"), F.lit(0))
     cnt = carry + F.sum("_d").over(w_in.rowsBetween(Window.unboundedPreceding, 0))
-    bstart = F.col("_b") * F.lit(width)
+    bstart = F.col("_b") * F.lit(width) + F.lit(phase)
     nxt = F.coalesce(F.lead("end").over(w_in), bstart + F.lit(width))
     first = F.col("end") == F.col("_bfirst")
     unpack = [F.col(f"_key.{k}").alias(k) for k in keys]
@@ -174,12 +175,11 @@ def deltas_to_runs(
     ).where((F.col(out) > 0) & (F.col("stop") > F.col("start")))
 
 
-def expand_runs(runs: DataFrame, keys: list[str], slide, out: str = "cnt", keep_bucket: bool = False) -> DataFrame:
+def expand_runs(runs: DataFrame, keys: list[str], slide, out: str = "cnt") -> DataFrame:
     """One row per window end of each run."""
     slide_ms = duration_ms(slide)
     ends = F.sequence(F.col("start"), F.col("stop") - F.lit(slide_ms), F.lit(slide_ms).cast("bigint"))
-    extra = ["_b"] if keep_bucket else []
-    return runs.select(*keys, *extra, F.explode(ends).alias("window_end"), out)
+    return runs.select(*keys, F.explode(ends).alias("window_end"), out)
 
 
 def with_total_deltas(deltas: DataFrame, keys: list[str], label: str = "total", delta: str = "delta") -> DataFrame:
@@ -216,25 +216,18 @@ def deltas_top_n(
     out: str = "cnt",
     bucket="1 hour",
     rank_col: str = "rnk",
-    keep_bucket: bool = False,
 ) -> DataFrame:
     """Top-n keys per window end straight from deltas.
 
-    Runs are re-partitioned by time bucket alone (a shuffle of about two rows
-    per change point); every window end a run expands to lies in the run's
-    bucket, so the ranking per window end happens inside that partition and
-    the expanded rows - up to size/slide per change point - are never
-    shuffled.
+    Runs are expanded where they were made, in (key, bucket) partitions, and
+    the limit on ``row_number`` cuts each of these to ``n`` rows per window end
+    before the exchange on the window end.  So a busy hour's keys are expanded
+    by all tasks, and at most ``n`` rows per window end and task are shuffled.
     """
     from .rank import top_n
 
-    parts = int(deltas.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     runs = deltas_to_runs(deltas, [key], size, slide, delta, out, bucket)
-    counts = expand_runs(runs.repartition(parts, "_b"), [key], slide, out, keep_bucket=True)
-    ranked = top_n(counts, ["_b", "window_end"], out, key, n, rank_col)
-    # ``_b`` (the time bucket of window_end) lets later per-window steps such as
-    # the text report group by (_b, window_end) on the existing partitioning.
-    return ranked if keep_bucket else ranked.drop("_b")
+    return top_n(expand_runs(runs, [key], slide, out), ["window_end"], out, key, n, rank_col)
 
 
 def sliding_count(

@@ -10,13 +10,15 @@ reference's own sizes.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import exclude_static_assets, split_words
 from ..functions.time import duration_ms, format_bound
 from ..operators import aggregates, gate, late, rank, rising, routing, sequence, windows
-from ..sources import tables
+from ..sources import connectors, tables, text
 
 HOUR = "1 hour"
 
@@ -66,13 +68,14 @@ def hot_url_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
     size, slide = duration_ms("10 minutes"), duration_ms("5 seconds")
     deltas = windows.window_deltas(ev, ["item_id"], "ts_ms", size, slide)
     urls = exclude_static_assets(tables.pages(spark, sf_dir))
-    joined = deltas.join(urls, deltas["item_id"] == urls["page_id"])
+    # build the page side: one row per page, however many requests there are
+    joined = deltas.join(urls.hint("shuffle_hash"), deltas["item_id"] == urls["page_id"])
     return joined.select("url", "end", "delta")
 
 
 def _ranked_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     deltas = hot_url_deltas(spark, sf_dir)
-    return windows.deltas_top_n(deltas, "url", "10 minutes", "5 seconds", 5, keep_bucket=True)
+    return windows.deltas_top_n(deltas, "url", "10 minutes", "5 seconds", 5)
 
 
 def hot_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,11 +85,7 @@ def hot_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hot_urls_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """hot_urls -> K2, grouped on the ranking's own partitioning (no shuffle)."""
-    report = rank.ranked_report(
-        _ranked_urls(spark, sf_dir), "window_end", "url", "cnt", labels=rank.URL_LABELS,
-        partition=["_b"],
-    )
-    return report.select("window_end", "report")
+    return rank.ranked_report(_ranked_urls(spark, sf_dir), "window_end", "url", "cnt", labels=rank.URL_LABELS)
 
 
 # ------------------------------------------------------------------ visitors
@@ -140,6 +139,28 @@ def marketing_by_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select(*_labelled(counts, size), "channel", "behavior", "cnt")
 
 
+def marketing_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P4 -> W2 1h/1s -> A3 without loss in run form: each (channel, behaviour)'s
+    stretches of consecutive window ends with one count, as first and last end.
+
+    Runs are cut at bucket borders inside the operator; here stretches that
+    meet with equal counts are joined again.
+    """
+    size, slide = duration_ms("1 hour"), duration_ms("1 second")
+    keys = ["channel", "behavior"]
+    deltas = windows.window_deltas(_marketing(spark, sf_dir), keys, "ts_ms", size, slide)
+    runs = windows.deltas_to_runs(deltas, keys, size, slide)
+    order = Window.partitionBy(*keys).orderBy("start")
+    opens = F.coalesce(
+        (F.lag("stop").over(order) != F.col("start")) | (F.lag("cnt").over(order) != F.col("cnt")), F.lit(True)
+    )
+    marked = runs.select(*keys, "start", "stop", "cnt", opens.cast("int").alias("_opens"))
+    numbered = marked.withColumn("_run", F.sum("_opens").over(order))
+    return numbered.groupBy(*keys, "_run", "cnt").agg(
+        F.min("start").alias("first_end"), (F.max("stop") - F.lit(slide)).alias("last_end")
+    ).select("first_end", "last_end", *keys, "cnt")
+
+
 def marketing_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P4 -> W2 1h/1s -> A4: one total per window, labelled total/total.
 
@@ -202,6 +223,24 @@ def ad_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return side
 
 
+USER_AD = ["user_id", "item_id"]
+
+
+def _limited_per_ad(spark: SparkSession, sf_dir: str):
+    routed = routing.daily_limit(_clicks(spark, sf_dir), USER_AD, "ts_ms", "seq", 0)
+    return routing.limiter_outputs(routed, USER_AD, 0)
+
+
+def ad_limited_per_ad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 -> T1 -> T2 main, limited per user and ad and day (max 0: the first click passes)."""
+    return _province_counts(_limited_per_ad(spark, sf_dir)[0])
+
+
+def ad_blacklist_per_ad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 -> T1 -> T2 side: one warning per user, ad and day, with the ad's id."""
+    return _limited_per_ad(spark, sf_dir)[1]
+
+
 # ------------------------------------------------------------------ sequences, sensors
 
 SEQUENCE_SPAN = "3 days"  # reference: 10 seconds, on data ~10^4 times denser
@@ -294,6 +333,14 @@ def low_temperature_alarm(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def cool_alarm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4 with a threshold inside the data's range: the fixed message for readings below 100."""
+    return routing.threshold_alarm(
+        _sensors(spark, sf_dir), "id", "temperature", 100.0,
+        fixed_text=routing.LOW_TEMPERATURE_TEXT, keep=["id", "ts_ms", "seq"],
+    )
+
+
 # ------------------------------------------------------------------ late data
 
 LATE_DELAY = "1 hour"
@@ -327,19 +374,112 @@ def late_revision(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def action_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S6 -> S1: every event encoded as a ``user,item,category,behavior,seconds``
-    message and parsed back by the delimited-line parser (rejects excluded)."""
-    from ..sources import connectors, text
+    message and parsed back by the delimited-line parser."""
+    parsed, _ = text.user_actions(connectors.user_action_messages(_actions(spark, sf_dir))[0])
+    return parsed.select("user_id", "item_id", "category_id", "behavior", "ts_s", "ts_ms")
+
 
+def _actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = tables.events(spark, sf_dir)
-    actions = ev.select(
+    return ev.select(
         F.col("user_id").cast("string").alias("user_id"),
         F.col("item_id").cast("string").alias("item_id"),
         (F.col("item_id") % 6).cast("string").alias("category_id"),
         F.col("event_type").alias("behavior"),
         F.floor(F.col("ts_ms") / 1000).cast("bigint").alias("ts_s"),
     )
-    parsed, _ = text.user_actions(connectors.user_action_messages(actions))
-    return parsed.select("user_id", "item_id", "category_id", "behavior", "ts_s", "ts_ms")
+
+
+def action_line_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that S6 sends and rejects, and lines that S1 accepts and rejects.
+
+    By a fixed rule every 11th event has a comma in its behaviour and every
+    13th has none, so both outcomes occur.
+    """
+    ids = tables.events(spark, sf_dir).select("event_id", "user_id", "item_id", "event_type", "ts_ms")
+    behavior = (
+        F.when(F.col("event_id") % 11 == 0, F.concat("event_type", F.lit(",x")))
+        .when(F.col("event_id") % 13 != 0, F.col("event_type"))
+    )
+    actions = ids.select(
+        F.col("user_id").cast("string").alias("user_id"), F.col("item_id").cast("string").alias("item_id"),
+        (F.col("item_id") % 6).cast("string").alias("category_id"), behavior.alias("behavior"),
+        F.floor(F.col("ts_ms") / 1000).cast("bigint").alias("ts_s"),
+    )
+    sent, unsent = connectors.user_action_messages(actions)
+    good, bad = text.user_actions(sent)
+    return _counted(sent=sent, unsent=unsent, accepted=good, rejected=bad)
+
+
+def _counted(**outputs: DataFrame) -> DataFrame:
+    """``output, n``: the number of rows of each named DataFrame."""
+    each = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("output"), "n") for name, df in outputs.items()]
+    return reduce(DataFrame.unionByName, each)
+
+
+def _ad_click_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as an S2 line; every 7th has no time and every 5th a sixth field."""
+    ev = tables.events(spark, sf_dir)
+    line = F.concat_ws(
+        ",", F.col("user_id").cast("string"), F.col("item_id").cast("string"),
+        (F.col("item_id") % 6).cast("string"), F.concat(F.lit("c"), (F.col("item_id") % 4).cast("string")),
+        F.when(F.col("event_id") % 7 == 0, F.lit("x")).otherwise(F.floor(F.col("ts_ms") / 1000).cast("string")),
+        F.when(F.col("event_id") % 5 == 0, F.lit("extra")),
+    )
+    return ev.select(line.alias("value"))
+
+
+def ad_click_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 -> W1: clicks per province and hour, parsed from text lines; lines that do not parse under 'rejected'."""
+    good, bad = text.ad_clicks(_ad_click_texts(spark, sf_dir))
+    clicks = windows.tumbling_count(good, ["province"], "ts", HOUR).select("province", "window_end", "cnt")
+    rejects = bad.agg(F.count(F.lit(1)).alias("cnt")).select(
+        F.lit("rejected").alias("province"), F.lit(0).cast("bigint").alias("window_end"), "cnt"
+    )
+    return clicks.unionByName(rejects)
+
+
+def access_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 -> P5 -> P6 -> W1: requests per url and day, parsed from log lines.
+
+    Every event asks for a path of its item; by a fixed rule over all rows some
+    paths are style sheets or scripts (which P6 takes out), some carry a query
+    after one (which it keeps), and some lines have no readable time.  P5 keeps
+    the paths under ``/p``.
+    """
+    ev = tables.events(spark, sf_dir)
+    suffix = (
+        F.when(F.col("event_id") % 4 == 0, ".css").when(F.col("event_id") % 4 == 1, ".js")
+        .when(F.col("event_id") % 4 == 2, ".css?v=1").otherwise("")
+    )
+    folder = F.when(F.col("event_id") % 3 == 0, "/q").otherwise("/p")
+    line = F.concat_ws(
+        " ", F.concat(F.lit("10.0.0."), (F.col("user_id") % 250).cast("string")), F.lit("-"),
+        F.col("user_id").cast("string"),
+        F.when(F.col("event_id") % 17 == 0, F.lit("unknown")).otherwise(F.date_format("ts", "dd/MM/yyyy:HH:mm:ss")),
+        F.lit("+0000"), F.lit("GET"), F.concat(folder, F.col("item_id").cast("string"), suffix),
+    )
+    good, bad = text.access_log(ev.select(line.alias("value")))
+    pages = exclude_static_assets(good.where(F.col("url").contains("/p")))
+    hits = windows.tumbling_count(pages, ["url"], "ts", "1 day").select("url", "window_end", "cnt")
+    rejects = bad.agg(F.count(F.lit(1)).alias("cnt")).select(
+        F.lit("rejected").alias("url"), F.lit(0).cast("bigint").alias("window_end"), "cnt"
+    )
+    return hits.unionByName(rejects)
+
+
+def keyed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 -> W1: rows per key and hour from ``key seconds`` lines; every 9th line has no time."""
+    ev = tables.events(spark, sf_dir)
+    line = F.concat_ws(
+        " ", "event_type", F.when(F.col("event_id") % 9 != 0, F.floor(F.col("ts_ms") / 1000).cast("string"))
+    )
+    good, bad = text.keyed_lines(ev.select(line.alias("value")))
+    counts = windows.tumbling_count(good, ["key"], "ts", HOUR).select("key", "window_end", "cnt")
+    rejects = bad.agg(F.count(F.lit(1)).alias("cnt")).select(
+        F.lit("rejected").alias("key"), F.lit(0).cast("bigint").alias("window_end"), "cnt"
+    )
+    return counts.unionByName(rejects)
 
 
 def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -374,4 +514,12 @@ REGISTRY = {
     "late_revision": late_revision,
     "word_count": word_count,
     "action_lines": action_lines,
+    "action_line_counts": action_line_counts,
+    "ad_click_lines": ad_click_lines,
+    "access_log_lines": access_log_lines,
+    "keyed_lines": keyed_lines,
+    "marketing_runs": marketing_runs,
+    "ad_limited_per_ad": ad_limited_per_ad,
+    "ad_blacklist_per_ad": ad_blacklist_per_ad,
+    "cool_alarm": cool_alarm,
 }

@@ -63,7 +63,7 @@ REPORT_RULE = "===================================="
 
 HOT_ITEMS_REPORT = _with(EV, HOT_ITEM_COUNTS) + f"""
 SELECT window_end,
-       '{REPORT_RULE}' || chr(10) || '时间: ' || {ts_text('window_end - 1')} || chr(10) ||
+       '{REPORT_RULE}' || chr(10) || '时间: ' || {ts_text('window_end')} || chr(10) ||
        string_agg('No' || rnk || ':  商品ID=' || item_id || '  浏览量=' || cnt || chr(10), ''
                   ORDER BY rnk) ||
        '{REPORT_RULE}' || chr(10) || chr(10) AS report
@@ -86,7 +86,7 @@ SELECT window_end, rnk, url, cnt FROM ranked WHERE rnk <= 5
 
 HOT_URLS_REPORT = _with(EV, HOT_URL_COUNTS) + f"""
 SELECT window_end,
-       '{REPORT_RULE}' || chr(10) || '时间: ' || {ts_text('window_end - 1')} || chr(10) ||
+       '{REPORT_RULE}' || chr(10) || '时间: ' || {ts_text('window_end')} || chr(10) ||
        string_agg('No' || rnk || ':  URL=' || url || '  流量=' || cnt || chr(10), ''
                   ORDER BY rnk) ||
        '{REPORT_RULE}' || chr(10) || chr(10) AS report
@@ -295,8 +295,64 @@ SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(item_id AS VARCHAR) AS item_id,
 FROM ev
 """
 
-# Queries whose full result is too large to collect for a row-by-row check
-# (22.9 M rows at sf0.01); tests compare them with whole-table fingerprints.
+ACTION_LINE_COUNTS = _with(EV) + """
+, n AS (SELECT count(*) AS n, count(*) FILTER (event_id % 11 = 0) AS bad FROM ev)
+SELECT 'sent' AS output, n - bad AS n FROM n
+UNION ALL SELECT 'unsent', bad FROM n
+UNION ALL SELECT 'accepted', n - bad FROM n
+UNION ALL SELECT 'rejected', 0 FROM n
+"""
+
+AD_CLICK_LINES = _with(EV) + f"""
+SELECT CAST(item_id % 6 AS VARCHAR) AS province, {HOUR_END} AS window_end, count(*) AS cnt
+FROM ev WHERE event_id % 7 <> 0 GROUP BY 1, 2
+UNION ALL
+SELECT 'rejected', 0, count(*) FROM ev WHERE event_id % 7 = 0
+"""
+
+ACCESS_LOG_LINES = _with(EV) + """
+SELECT '/p' || item_id || CASE WHEN event_id % 4 = 2 THEN '.css?v=1' ELSE '' END AS url,
+       (ts_ms // 86400000) * 86400000 + 86400000 AS window_end, count(*) AS cnt
+FROM ev WHERE event_id % 17 <> 0 AND event_id % 3 <> 0 AND event_id % 4 >= 2 GROUP BY 1, 2
+UNION ALL
+SELECT 'rejected', 0, count(*) FROM ev WHERE event_id % 17 = 0
+"""
+
+KEYED_LINES = _with(EV) + f"""
+SELECT event_type AS key, {HOUR_END} AS window_end, count(*) AS cnt FROM ev WHERE event_id % 9 <> 0 GROUP BY 1, 2
+UNION ALL
+SELECT 'rejected', 0, count(*) FROM ev WHERE event_id % 9 = 0
+"""
+
+# Stretches by gaps and islands over every window end.
+MARKETING_RUNS = _with(EV, MARKETING) + """
+, counts AS (SELECT channel, behavior, end_ms, count(*) AS cnt FROM mk GROUP BY ALL),
+islands AS (
+  SELECT *, end_ms - 1000 * row_number() OVER (PARTITION BY channel, behavior, cnt ORDER BY end_ms) AS island
+  FROM counts)
+SELECT min(end_ms) AS first_end, max(end_ms) AS last_end, channel, behavior, cnt
+FROM islands GROUP BY channel, behavior, cnt, island
+"""
+
+LIMITED_PER_AD = """
+limited AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id, item_id, ts_ms // 86400000 ORDER BY ts_ms, seq) AS rn
+  FROM ev)"""
+
+AD_LIMITED_PER_AD = _with(EV, LIMITED_PER_AD) + _province_counts("limited WHERE rn <= 1")
+
+AD_BLACKLIST_PER_AD = _with(EV, LIMITED_PER_AD) + """
+SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(item_id AS VARCHAR) AS item_id, ts_ms // 86400000 AS day,
+       'Click over 0 times today.' AS msg
+FROM limited WHERE rn = 2
+"""
+
+COOL_ALARM = _with(EV, SENSORS) + """
+SELECT id, ts_ms, seq, '温度小于32度' AS msg FROM sensors WHERE temperature < 100.0
+"""
+
+# A result of 22.9 M rows at sf0.01; tests compare it with whole-table
+# fingerprints, and row by row in the run form (``marketing_runs``).
 FINGERPRINT_ONLY = {"marketing_by_channel": MARKETING_BY_CHANNEL}
 
 
@@ -326,4 +382,13 @@ def oracle_sql() -> dict[str, str]:
         "late_revision": LATE_REVISION,
         "word_count": WORD_COUNT,
         "action_lines": ACTION_LINES,
+        "action_line_counts": ACTION_LINE_COUNTS,
+        "ad_click_lines": AD_CLICK_LINES,
+        "access_log_lines": ACCESS_LOG_LINES,
+        "keyed_lines": KEYED_LINES,
+        "marketing_by_channel": MARKETING_BY_CHANNEL,
+        "marketing_runs": MARKETING_RUNS,
+        "ad_limited_per_ad": AD_LIMITED_PER_AD,
+        "ad_blacklist_per_ad": AD_BLACKLIST_PER_AD,
+        "cool_alarm": COOL_ALARM,
     }

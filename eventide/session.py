@@ -1,8 +1,9 @@
 """Spark session set-up shared by the library, tests and the benchmark.
 
 Every operator works in event time on epoch milliseconds, and every formatted
-time is UTC, so the only session property the operators rely on is a UTC
-session time zone.  ``ensure_session`` sets it on a session handed to us.
+time is UTC, so the operators rely on a UTC session time zone; the stateful
+streams rely on the RocksDB state store.  ``ensure_session`` sets both on a
+session handed to us.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ ROCKSDB_PROVIDER = (
 def ensure_session(spark: SparkSession) -> SparkSession:
     """Pin the settings results depend on: UTC time and the RocksDB state store."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     return spark
 
 
@@ -56,23 +58,6 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only when the setting is absent (local tests) do we create one of our own.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
-    if current:
-        return current
-    path = tempfile.mkdtemp(prefix="eventide-ckpt-")
-    sc.setCheckpointDir(path)
-    return path
-
-
 def build_session(
     master: str | None = None,
     shuffle_partitions: int = 8,
@@ -101,5 +86,4 @@ def build_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
     return spark

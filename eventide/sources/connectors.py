@@ -8,10 +8,14 @@ are tested without a broker.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .text import USER_ACTION_FIELDS, encode_delimited, user_actions
+from .text import (
+    USER_ACTION_FIELDS, encodable, encode_delimited, parse_delimited, split_valid, user_actions, with_event_time,
+)
 
 
 def kafka_user_actions(
@@ -21,7 +25,12 @@ def kafka_user_actions(
     group_id: str = "consumer-group",
     starting_offsets: str = "latest",
 ):
-    """Stream of user actions from a topic (string payload, S1 parse)."""
+    """Stream of user actions from a topic (string payload, S1 parse).
+
+    One stream of parsed rows with ``_valid`` and ``_raw``: a second reader of
+    the topic under the same group would share its partitions.  Split good rows
+    and rejects per micro-batch with ``valid_and_rejected``.
+    """
     raw = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
@@ -30,17 +39,44 @@ def kafka_user_actions(
         .option("startingOffsets", starting_offsets)
         .load()
     )
-    return parse_payload(raw)
+    return parse_delimited(_as_lines(raw), USER_ACTION_FIELDS)
+
+
+def _as_lines(raw: DataFrame) -> DataFrame:
+    return raw.select(F.col("value").cast("string").alias("value"))
 
 
 def parse_payload(raw: DataFrame):
-    """Kafka ``value`` bytes -> (user actions, rejected lines)."""
-    return user_actions(raw.select(F.col("value").cast("string").alias("value")))
+    """Kafka ``value`` bytes of a batch -> (user actions, rejected lines)."""
+    return user_actions(_as_lines(raw))
+
 
+def valid_and_rejected(
+    good_sink: Callable[[DataFrame, int], None], reject_sink: Callable[[DataFrame, int], None]
+) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` body that feeds both outputs of a parsed stream from one read."""
 
-def user_action_messages(actions: DataFrame) -> DataFrame:
-    """S6 encoder: one message per row, no key, value = the S1 line."""
-    return actions.select(encode_delimited(actions, [n for n, _ in USER_ACTION_FIELDS]).alias("value"))
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            good, bad = split_valid(batch)
+            good_sink(with_event_time(good), batch_id)
+            reject_sink(bad, batch_id)
+        finally:
+            batch.unpersist()
+
+    return run
+
+
+def user_action_messages(actions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """S6 encoder: (messages, rejects); one message per row, no key, value = the S1 line.
+
+    The line format has no quoting, so a row with the separator or a line break
+    in a field is rejected, not sent as a line that reads back as another row.
+    """
+    cols = [n for n, _ in USER_ACTION_FIELDS]
+    fine = encodable(cols)
+    return actions.where(fine).select(encode_delimited(actions, cols).alias("value")), actions.where(~fine)
 
 
 def publish(messages: DataFrame, servers: str, topic: str) -> None:
@@ -75,17 +111,26 @@ def document_sink(stream: DataFrame, path: str, checkpoint: str, col: str = "val
     )
 
 
-def print_sink(stream: DataFrame, prefix: str | None = None, query_name: str | None = None,
-               fmt: str = "console", checkpoint: str | None = None):
-    """Console (or memory) output, optionally prefixed like ``black list``."""
-    out = stream
-    if prefix is not None:
-        out = stream.select(
-            F.concat(F.lit(prefix + "> "), F.to_json(F.struct(*stream.columns))).alias("value")
-        )
-    writer = out.writeStream.format(fmt).outputMode("append")
-    if query_name:
-        writer = writer.queryName(query_name)
-    if checkpoint:
-        writer = writer.option("checkpointLocation", checkpoint)
-    return writer.start()
+def print_sink(stream: DataFrame, path: str, checkpoint: str, prefix: str | None = None, output_mode: str = "append"):
+    """Every element as a line of text, optionally prefixed like ``black list``.
+
+    The executors write all rows of a micro-batch to ``path/batch=<id>``; a
+    replayed batch replaces its own lines.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        printed_lines(batch, prefix).write.mode("overwrite").text(f"{path}/batch={batch_id}")
+
+    return (
+        stream.writeStream.foreachBatch(write).outputMode(output_mode).option("checkpointLocation", checkpoint).start()
+    )
+
+
+def printed_lines(rows: DataFrame, prefix: str | None = None) -> DataFrame:
+    body = F.to_json(F.struct(*rows.columns))
+    return rows.select((body if prefix is None else F.concat(F.lit(prefix + "> "), body)).alias("value"))
+
+
+def console_preview(stream: DataFrame, rows: int = 20):
+    """A look at the first ``rows`` rows of each micro-batch, uncut; not an output of the whole stream."""
+    return stream.writeStream.format("console").option("numRows", rows).option("truncate", False).start()

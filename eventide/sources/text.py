@@ -9,6 +9,8 @@ the raw line.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,13 +43,13 @@ def parse_delimited(
 ) -> DataFrame:
     """Split ``value`` on the literal ``sep`` and cast into ``fields``.
 
-    Adds ``_valid`` (right field count and every cast succeeded) and keeps the
-    raw line as ``_raw``.  Casts use ``try_cast`` so ANSI mode never fails the
+    Adds ``_valid`` (enough fields and every cast succeeded; fields after the
+    last one are ignored) and keeps the raw line as ``_raw``.  Casts use ``try_cast`` so ANSI mode never fails the
     job on a bad row.
     """
     parts = F.split(F.col(value), _regex_literal(sep), -1)
     cols = []
-    ok = F.size(parts) == F.lit(len(fields))
+    ok = F.size(parts) >= F.lit(len(fields))
     for i, (name, typ) in enumerate(fields):
         raw = F.trim(F.get(parts, i)) if typ != "string" else F.get(parts, i)
         c = raw if typ == "string" else raw.try_cast(typ)
@@ -121,5 +123,11 @@ def read_lines(spark: SparkSession, path: str, stream: bool = False) -> DataFram
 
 
 def encode_delimited(df: DataFrame, cols: list[str], sep: str = ",") -> Column:
-    """Inverse of ``parse_delimited``: one line per row."""
-    return F.concat_ws(sep, *[F.col(c).cast("string") for c in cols])
+    """Inverse of ``parse_delimited``: one line per row; a null field is an empty one."""
+    return F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
+
+
+def encodable(cols: list[str], sep: str = ",") -> Column:
+    """False for rows that a line can not carry: a field holds the separator or a line break."""
+    fine = [F.coalesce(~F.col(c).cast("string").rlike(f"{_regex_literal(sep)}|[\\r\\n]"), F.lit(True)) for c in cols]
+    return reduce(lambda a, b: a & b, fine)

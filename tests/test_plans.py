@@ -32,13 +32,23 @@ def test_limiter_top_k_is_partial_before_shuffle(spark):
     assert "WindowGroupLimit" in below
 
 
-def test_top_n_never_shuffles_expanded_rows(spark):
+def test_top_n_is_cut_before_the_exchange_on_window_end(spark):
     plan = _plan(jobs.hot_urls(spark, SF0001))
-    # the last exchange is the runs' repartition by time bucket; the expansion
-    # (Generate over sequence) and the ranking sit above it
-    top = plan.split("Exchange", 1)[0]
-    assert "Generate explode(sequence" in top
-    assert "WindowGroupLimit" in top
+    above, below = plan.split("Exchange", 1)
+    assert "WindowGroupLimit" in above and "Generate" not in above
+    # right below the exchange: the partial cut, then the expansion of runs
+    stage = below.split("Exchange", 1)[0]
+    assert stage.index("WindowGroupLimit") < stage.index("Generate explode(sequence")
+
+
+def test_no_sort_aggregate_on_raw_rows(spark):
+    for job in (jobs.unique_visitors_running, jobs.sensor_reduce, jobs.sensor_early):
+        assert "SortAggregate" not in _plan(job(spark, SF0001)), job.__name__
+
+
+def test_page_side_is_built_in_the_url_join(spark):
+    plan = _plan(jobs.hot_url_deltas(spark, SF0001))
+    assert "BuildRight" in plan and "BuildLeft" not in plan
 
 
 def test_delta_counts_pin_partitions(spark):

@@ -12,7 +12,7 @@ def _lines(spark, values):
 
 
 def test_user_actions_and_rejects(spark):
-    lines = _lines(spark, ["543462,1715,1464116,pv,1511658000", "1,2,3,pv", "1,2,3,pv,notanumber", "9,8,7,buy,1511658001"])
+    lines = _lines(spark, ["543462,1715,1464116,pv,1511658000", "1,2,3,pv", "1,2,3,pv,notanumber", "9,8,7,buy,1511658001,more"])
     good, bad = text.user_actions(lines)
     rows = sorted(tuple(r) for r in good.select("user_id", "behavior", "ts_ms").collect())
     assert rows == [("543462", "pv", 1511658000000), ("9", "buy", 1511658001000)]
@@ -49,7 +49,8 @@ def test_keyed_lines(spark):
 def test_message_round_trip(spark):
     lines = _lines(spark, ["1,2,3,pv,10", "4,5,6,cart,20"])
     actions, _ = text.user_actions(lines)
-    msgs = connectors.user_action_messages(actions)
+    msgs, unsent = connectors.user_action_messages(actions)
+    assert unsent.count() == 0
     back, bad = connectors.parse_payload(msgs.select(F.col("value").cast("binary").alias("value")))
     assert bad.count() == 0
     assert sorted(tuple(r) for r in back.drop("ts", "ts_ms").collect()) == sorted(
@@ -57,6 +58,16 @@ def test_message_round_trip(spark):
     )
 
 
+def test_messages_keep_null_fields_and_reject_separators(spark):
+    rows = [("1", "2", None, "pv", 10), ("1", "a,b", "3", "pv", 10), ("1", "2\n3", "3", "pv", 10)]
+    actions = spark.createDataFrame(rows, "user_id string, item_id string, category_id string, behavior string, ts_s long")
+    msgs, unsent = connectors.user_action_messages(actions)
+    assert [r[0] for r in msgs.collect()] == ["1,2,,pv,10"]
+    assert unsent.count() == 2
+    good, bad = text.user_actions(msgs)
+    assert (good.count(), bad.count()) == (1, 0)
+
+
 def test_documents(spark):
     docs = connectors.as_documents(literals.strings(spark)).collect()
     assert sorted(r["doc"] for r in docs) == ['{"data":"a"}', '{"data":"b"}']
@@ -101,9 +112,9 @@ def test_document_and_print_sinks(spark, scratch):
     q.stop()
     docs = sorted(r[0] for r in spark.read.text(os.path.join(scratch, "docs")).collect())
     assert docs == ['{"data":"a"}', '{"data":"b"}']
-    q = connectors.print_sink(stream, prefix="black list", query_name="printed", fmt="memory",
-                              checkpoint=os.path.join(scratch, "ck2"))
+    printed_to = os.path.join(scratch, "printed")
+    q = connectors.print_sink(stream, printed_to, os.path.join(scratch, "ck2"), prefix="black list")
     q.processAllAvailable()
     q.stop()
-    printed = sorted(r[0] for r in spark.table("printed").collect())
+    printed = sorted(r[0] for r in spark.read.text(printed_to).collect())
     assert printed == ['black list> {"value":"a"}', 'black list> {"value":"b"}']

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from eventide.operators import gate, rising, routing, sequence
+from eventide.operators import gate, late, rising, routing, sequence
 from eventide.sources import literals
 
 DAY = 86_400_000
@@ -160,3 +160,10 @@ def test_rising_parallel_runs_equal_sequential_fold(spark, rows):
             out, st_ = rising.fold_rising([key] * len(mine), [m[0] for m in mine], [m[2] for m in mine], 1000)
             want += out + ([(key, st_[2])] if st_[2] is not None else [])
     assert got == sorted(want)
+
+
+def test_late_split_keeps_rows_without_arrival_time(spark):
+    rows = [(1, 1000, 1000), (2, 9_000_000, None), (3, 2000, 5000)]
+    df = spark.createDataFrame(rows, "seq long, ts_ms long, arrival_ms long")
+    got = {r["seq"]: r["is_late"] for r in late.late_split(df, "ts_ms", "arrival_ms", "seq", "1 second").collect()}
+    assert got == {1: True, 2: False, 3: True}  # no arrival time: taken as the first to arrive

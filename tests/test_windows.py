@@ -79,7 +79,7 @@ def test_report_layout(spark):
     text = rank.ranked_report(df, "window_end", "item", "cnt").first()["report"]
     assert text == (
         "====================================\n"
-        "时间: 2017-11-26 01:59:59.999\n"
+        "时间: 2017-11-26 02:00:00.0\n"
         "No1:  商品ID=12224  浏览量=2413\n"
         "No2:  商品ID=7  浏览量=3\n"
         "====================================\n\n"
@@ -117,3 +117,25 @@ def test_total_from_keyed_deltas(spark):
     assert total.exceptAll(direct).count() == 0 and direct.exceptAll(total).count() == 0
     assert both.where("channel != 'total'").exceptAll(keyed).count() == 0
     assert both.count() == direct.count() + keyed.count()
+
+
+def test_delta_windows_equal_window_function_when_slide_does_not_divide_size(spark):
+    import random
+
+    rng = random.Random(4)
+    rows = [(rng.choice("ab"), rng.randrange(0, 400_000)) for _ in range(300)]
+    df = spark.createDataFrame(rows, "k string, ts_ms long").withColumn("ts", F.timestamp_millis("ts_ms"))
+    for size, slide in [("61 seconds", "3 seconds"), ("10 seconds", "3 seconds"), ("90 seconds", "90 seconds")]:
+        got = windows.sliding_count(df, ["k"], "ts", size, slide, method="delta")
+        want = windows.sliding_count(df, ["k"], "ts", size, slide, method="window")
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())), (size, slide)
+    auto = windows.sliding_count(df, ["k"], "ts", "61 seconds", "3 seconds")
+    assert auto.count() > 0
+
+
+def test_busy_hour_top_n_is_spread_over_tasks(spark):
+    keys = spark.range(4000).select(F.concat(F.lit("u"), "id").alias("url"), (F.col("id") % 600 * 1000).alias("ts_ms"))
+    deltas = windows.window_deltas(keys, ["url"], "ts_ms", "10 minutes", "5 seconds")
+    runs = windows.deltas_to_runs(deltas, ["url"], "10 minutes", "5 seconds", bucket="1 hour")
+    held = windows.expand_runs(runs, ["url"], "5 seconds").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(held) > 1 and max(r["count"] for r in held) < 0.6 * sum(r["count"] for r in held)
