@@ -45,6 +45,12 @@ def spark_interval(ms: int) -> str:
     return f"{ms // 1000} seconds"
 
 
+def watermark_delay(value: int | str) -> str:
+    """A watermark delay that Spark accepts, from a duration or milliseconds."""
+    ms = duration_ms(value)
+    return spark_interval(ms) if ms else "0 seconds"
+
+
 def to_ms(ts: Column | str) -> Column:
     """Epoch milliseconds of a TIMESTAMP (truncating sub-millisecond digits)."""
     return F.unix_millis(F.col(ts) if isinstance(ts, str) else ts)

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,16 +28,20 @@ def previous_mark(spark, store: str, batch_id: int, col: str):
     marks scanned.
     """
     if batch_id > 0:
-        try:
-            row = spark.read.parquet(f"{store}/batch={batch_id - 1}").select(col).first()
-            if row is not None:
-                return row[0]
-        except Exception:  # missing previous mark: fall back to a scan
-            pass
+        row = _stored(spark, f"{store}/batch={batch_id - 1}")
+        if row is not None and (found := row.select(col).first()) is not None:
+            return found[0]
+    prior = _stored(spark, store)
+    return None if prior is None else prior.where(F.col("batch_id") < batch_id).agg(F.max(col)).first()[0]
+
+
+def _stored(spark, path: str) -> DataFrame | None:
+    """The table at ``path``; None only if the path does not exist.  Any other failure fails the batch."""
     try:
-        prior = spark.read.parquet(store).where(F.col("batch_id") < batch_id)
-        return prior.agg(F.max(col)).first()[0]
-    except Exception:  # nothing written yet
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 

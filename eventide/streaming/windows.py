@@ -1,4 +1,4 @@
-"""Structured Streaming forms of the windowed operators.
+"""Structured Streaming forms of the windowed operators.
 
 All are append-mode: a window is emitted once, when the watermark passes its
 end, which makes the streamed rows equal to the batch rows of the same
@@ -7,13 +7,14 @@ end, which makes the streamed rows equal to the batch rows of the same
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.time import duration_ms, spark_interval, to_ms
-from ..operators.rank import top_n
+from ..functions.time import duration_ms, spark_interval, to_ms, watermark_delay
+from ..operators.rank import ranked_report, top_n
 
 
 def window_counts(
@@ -25,7 +26,7 @@ def window_counts(
     slide_ms = duration_ms(slide) if slide else size_ms
     win = F.window(F.col(ts), spark_interval(size_ms), spark_interval(slide_ms))
     counted = (
-        stream.withWatermark(ts, spark_interval(duration_ms(delay)) if duration_ms(delay) else "0 seconds")
+        stream.withWatermark(ts, watermark_delay(delay))
         .groupBy(win.alias("window"), *keys)
         .agg(F.count(F.lit(1)).alias(out))
     )
@@ -41,7 +42,7 @@ def distinct_users(stream: DataFrame, user: str, ts: str, size, delay="0 seconds
     """
     size_ms = duration_ms(size)
     win = F.window(F.col(ts), spark_interval(size_ms))
-    wm = stream.withWatermark(ts, spark_interval(max(duration_ms(delay), 0)) if duration_ms(delay) else "0 seconds")
+    wm = stream.withWatermark(ts, watermark_delay(delay))
     firsts = wm.select(win.alias("window"), F.col(user), F.col(ts)).dropDuplicates(["window", user])
     counted = firsts.groupBy("window").agg(F.count(F.lit(1)).alias("uv"))
     return counted.select(to_ms(F.col("window.end")).alias("window_end"), "uv")
@@ -62,35 +63,33 @@ def top_n_per_batch(key: str, n: int, sink: Callable[[DataFrame, int], None]):
     return run
 
 
-def gate_join(
-    readings: DataFrame,
-    controls: DataFrame,
-    key: str,
-    ts: str,
-    control_key: str,
-    control_ts: str,
-    duration_ms_col: str,
-    max_open="1 day",
-    delay="0 seconds",
+def report_per_batch(key: str, n: int, sink: Callable[[DataFrame, int], None], **report):
+    """K1 + K2 stream: ``foreachBatch`` body that hands on a text report per closed window."""
+
+    def reported(ranked: DataFrame, batch_id: int) -> None:
+        sink(ranked_report(ranked, "window_end", key, "cnt", **report), batch_id)
+
+    return top_n_per_batch(key, n, reported)
+
+
+def sliding_counts(
+    stream: DataFrame, keys: list[str], ts: str, size, slide, delay="0 seconds", out: str = "cnt"
 ) -> DataFrame:
-    """J1 stream: stream-stream left-semi join on the open interval.
+    """W2 stream for many windows per row: keys..., window_end, out.
 
-    ``ts in [c, c + d)`` is the per-row condition; the constant upper bound
-    ``ts <= c + max_open`` lets Spark evict control state once the watermark
-    passes it.  A semi join emits each reading at most once even when
-    several controls cover it.
+    Rows are first counted per pane, the largest span that divides both size
+    and slide, and only a pane's count is fanned out to its windows: two
+    chained append-mode aggregations, all state in Spark's own store.
     """
-    d = spark_interval(duration_ms(delay)) if duration_ms(delay) else "0 seconds"
-    r = readings.withWatermark(ts, d)
-    c = controls.withWatermark(control_ts, d)
-    end = F.timestamp_millis(to_ms(F.col(control_ts)) + F.col(duration_ms_col))
-    cond = (
-        (F.col(key) == F.col(control_key))
-        & (F.col(ts) >= F.col(control_ts))
-        & (F.col(ts) < end)
-        & (F.col(ts) <= F.col(control_ts) + F.expr(f"INTERVAL {duration_ms(max_open) // 1000} SECONDS"))
+    size_ms, slide_ms = duration_ms(size), duration_ms(slide)
+    pane = F.window(F.col(ts), spark_interval(math.gcd(size_ms, slide_ms)))
+    panes = (
+        stream.withWatermark(ts, watermark_delay(delay)).groupBy(pane.alias("pane"), *keys)
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    return r.join(c, cond, "left_semi")
+    window = F.window(F.col("pane"), spark_interval(size_ms), spark_interval(slide_ms))
+    counted = panes.groupBy(window.alias("window"), *keys).agg(F.sum("n").alias(out))
+    return counted.select(*keys, to_ms(F.col("window.end")).alias("window_end"), out)
 
 
 def window_min_max(stream: DataFrame, keys: list[str], ts: str, value: str, size, delay="0 seconds") -> DataFrame:
@@ -102,7 +101,7 @@ def window_min_max(stream: DataFrame, keys: list[str], ts: str, value: str, size
     """
     size_ms = duration_ms(size)
     win = F.window(F.col(ts), spark_interval(size_ms))
-    d = spark_interval(duration_ms(delay)) if duration_ms(delay) else "0 seconds"
+    d = watermark_delay(delay)
     agg = stream.withWatermark(ts, d).groupBy(win.alias("window"), *keys).agg(
         F.min(value).alias(f"min_{value}"), F.max(value).alias(f"max_{value}")
     )
@@ -119,7 +118,7 @@ def revised_counts(stream: DataFrame, keys: list[str], ts: str, size, delay, all
     total = duration_ms(delay) + duration_ms(allowed_lateness)
     win = F.window(F.col(ts), spark_interval(duration_ms(size)))
     agg = (
-        stream.withWatermark(ts, spark_interval(total) if total else "0 seconds")
+        stream.withWatermark(ts, watermark_delay(total))
         .groupBy(win.alias("window"), *keys)
         .agg(F.count(F.lit(1)).alias("cnt"))
     )
@@ -133,7 +132,7 @@ def bitmap_distinct_users(stream: DataFrame, user: str, ts: str, size, delay="0
     from ..functions.hashing import poly_hash
 
     size_ms = duration_ms(size)
-    d = spark_interval(duration_ms(delay)) if duration_ms(delay) else "0 seconds"
+    d = watermark_delay(delay)
     h = poly_hash(F.col(user).cast("string"))
     maps = (
         stream.withWatermark(ts, d)
