@@ -26,13 +26,3 @@ def poly_hash(s: Column | str, seed: int = HASH_SEED, bits: int = BITMAP_BITS) -
         F.lit(0).cast("bigint"),
         lambda acc, c: F.pmod(acc * F.lit(seed) + c, F.lit(bits)),
     )
-
-
-def poly_hash_py(s: str, seed: int = HASH_SEED, bits: int = BITMAP_BITS) -> int:
-    """Reference implementation with explicit 32-bit wrap-around (tests only)."""
-    h = 0
-    for ch in s:
-        h = (h * seed + ord(ch)) & 0xFFFFFFFF
-    if h >= 1 << 31:
-        h -= 1 << 32
-    return (bits - 1) & h

@@ -35,30 +35,6 @@ ALERT_SUFFIX = "的传感器温度值已经连续1s上升了。"
 OUTPUT_SCHEMA = "id string, alert_ts bigint"
 
 
-def fold_rising(ids, ts, temps, interval_ms: int, state=None):
-    """Fold sorted rows; ``state`` = (key, prev, armed) carried between calls.
-
-    Returns (alerts, state) with alerts as (id, alert_ts) tuples; the caller
-    flushes a still-armed timer when the key changes or the input ends.
-    """
-    out = []
-    key, prev, armed = state if state else (None, None, None)
-    for k, t, v in zip(ids, ts, temps):
-        if k != key:
-            if key is not None and armed is not None:
-                out.append((key, armed))
-            key, prev, armed = k, None, None
-        if armed is not None and t >= armed:
-            out.append((key, armed))
-            armed = None
-        if prev is None or v < prev:
-            armed = None
-        elif v > prev and armed is None:
-            armed = t + interval_ms
-        prev = v
-    return out, (key, prev, armed)
-
-
 def _make_run_folder(key: str, ts_ms: str, interval_ms: int):
     """Fold rows sorted by (key, run, terminator, ts, seq), one run at a time.
 
@@ -133,11 +109,15 @@ def rising_alerts(
         key, ts_ms, seq, (F.col("_run") - 1).alias("_run"), F.lit(True).alias("_term"),
         F.lit(False).alias("_rise"),
     )
-    ordered = (
-        members.unionByName(terminators)
-        .repartition(key, "_run")
-        .sortWithinPartitions(key, "_run", "_term", ts_ms, seq)
-    )
+    runs = members.unionByName(terminators).withColumn("_sk", F.struct(key)).repartition("_sk", "_run")
+    # Only a run that lasts the interval after its first rise, or a key's last
+    # run with a rise, can fire; the others never reach Python.
+    can_fire = runs.groupBy("_sk", "_run").agg(
+        F.min(F.when(F.col("_rise"), F.col(ts_ms))).alias("_first"), F.max(ts_ms).alias("_last"),
+        F.max("_term").alias("_ended"),
+    ).where(F.col("_first").isNotNull() & ((F.col("_last") >= F.col("_first") + F.lit(interval_ms)) | ~F.col("_ended")))
+    ordered = runs.join(can_fire.select("_sk", "_run").hint("shuffle_hash"), ["_sk", "_run"], "left_semi").drop("_sk")
+    ordered = ordered.sortWithinPartitions(key, "_run", "_term", ts_ms, seq)
     alerts = ordered.mapInPandas(_make_run_folder(key, ts_ms, interval_ms), OUTPUT_SCHEMA)
     msg = F.concat(F.lit(ALERT_PREFIX), F.col("id"), F.lit(ALERT_SUFFIX))
     return alerts.select("id", "alert_ts", msg.alias("msg"))

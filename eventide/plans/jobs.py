@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import exclude_static_assets, split_words
+from ..functions.text import contains, equals, exclude_static_assets, not_equals, split_words
 from ..functions.time import duration_ms, format_bound
 from ..operators import aggregates, gate, late, rank, rising, routing, sequence, windows
 from ..sources import connectors, tables, text
@@ -25,7 +25,7 @@ HOUR = "1 hour"
 
 def _views(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Behaviour "pv" maps to event_type 'view'
-    return tables.events(spark, sf_dir).where(F.col("event_type") == "view")
+    return equals(tables.events(spark, sf_dir), "event_type", "view")
 
 
 def page_views(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,7 +113,7 @@ def unique_visitors_running(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _marketing(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Behaviour UNINSTALL maps to event_type 'error'
-    ev = tables.events(spark, sf_dir).where(F.col("event_type") != "error")
+    ev = not_equals(tables.events(spark, sf_dir), "event_type", "error")
     return ev.select(
         (F.col("item_id") % 6).cast("string").alias("channel"),
         F.col("event_type").alias("behavior"),
@@ -460,7 +460,7 @@ def access_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("+0000"), F.lit("GET"), F.concat(folder, F.col("item_id").cast("string"), suffix),
     )
     good, bad = text.access_log(ev.select(line.alias("value")))
-    pages = exclude_static_assets(good.where(F.col("url").contains("/p")))
+    pages = exclude_static_assets(contains(good, "url", "/p"))
     hits = windows.tumbling_count(pages, ["url"], "ts", "1 day").select("url", "window_end", "cnt")
     rejects = bad.agg(F.count(F.lit(1)).alias("cnt")).select(
         F.lit("rejected").alias("url"), F.lit(0).cast("bigint").alias("window_end"), "cnt"

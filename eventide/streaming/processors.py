@@ -182,7 +182,7 @@ def rising_alerts_stream(
     passes its time, or inline when a later row of the key arrives first."""
     ship_package(stream.sparkSession)
     proc = RisingProcessor(key, ts_ms, seq, value, interval_ms)
-    out = stream.groupBy(key).transformWithStateInPandas(
+    out = stream.where(F.col(value).isNotNull()).groupBy(key).transformWithStateInPandas(
         statefulProcessor=proc, outputStructType="id string, alert_ts bigint",
         outputMode="Append", timeMode="EventTime",
     )

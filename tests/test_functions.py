@@ -3,10 +3,20 @@
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from eventide.functions.hashing import poly_hash, poly_hash_py
+from eventide.functions.hashing import BITMAP_BITS, HASH_SEED, poly_hash
 from eventide.functions.text import exclude_static_assets, split_words
 
 
+def poly_hash_py(s: str, seed: int = HASH_SEED, bits: int = BITMAP_BITS) -> int:
+    """Reference implementation with explicit 32-bit wrap-around (tests only)."""
+    h = 0
+    for ch in s:
+        h = (h * seed + ord(ch)) & 0xFFFFFFFF
+    if h >= 1 << 31:
+        h -= 1 << 32
+    return (bits - 1) & h
+
+
 def test_poly_hash_known_value(spark):
     assert poly_hash_py("543462") == 398203944
     df = spark.createDataFrame([("543462",), ("",), ("a",)], "s string")

