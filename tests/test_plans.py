@@ -2,7 +2,7 @@
 
 import re
 
-from eventide.operators import routing, windows
+from eventide.operators import routing
 from eventide.plans import jobs
 from tests.conftest import SF0001
 

@@ -1,6 +1,5 @@
 """Limiter, sequence, gate, rising run, alarms: edge fixtures and hand goldens."""
 
-from pyspark.sql import functions as F
 
 from eventide.operators import gate, late, rising, routing, sequence
 from eventide.sources import literals
