@@ -13,26 +13,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventide.llm import decontaminate, exact_dedup, language_id, nbest, pieces, simhash
-from eventide.llm.common import use_checkpoint_dir
-from eventide.session import ship_package
+from eventide.llm.common import prepare, use_checkpoint_dir
 from eventide.sources.tables import read_table
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents whose language can not be told: null texts and texts without a letter."""
-    ship_package(spark)
+    prepare(spark)
     return language_id.keep_known(docs, language_id.learn(docs))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each distinct text stays, that with the largest doc_id."""
-    ship_package(spark)
+    prepare(spark)
     return exact_dedup.drop_exact_duplicates(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by fingerprints within 3 bits, that with the smallest doc_id stays."""
-    ship_package(spark)
+    prepare(spark)
     return simhash.drop_near_duplicates(docs, words=3, radius=3)
 
 
@@ -43,7 +42,7 @@ def drop_benchmark_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of each text and the costs of its four best segmentations."""
-    ship_package(spark)
+    prepare(spark)
     found = docs.select("doc_id", nbest.encode("text", pieces.load(), n=4).alias("e"))
     return found.select("doc_id", F.size("e.ids").cast("long").alias("n_pieces"), "e.ids", "e.costs")
 

@@ -7,6 +7,8 @@ import tempfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship_package
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -40,6 +42,16 @@ def held_out(id_col: str, modulus: int, remainder: int) -> Column:
     )
 
 
+#: Rows that a Python worker is handed at once: whole texts may be long, so few.
+BATCH_ROWS = 1000
+
+
+def prepare(spark: SparkSession) -> None:
+    """Ships this package to the workers and bounds what they are handed at once."""
+    ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the cluster's checkpoint folder and read it from there."""
     spark = df.sparkSession

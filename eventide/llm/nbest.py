@@ -25,7 +25,7 @@ import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import product
+from itertools import chain, product
 
 import numpy as np
 import pandas as pd
@@ -36,6 +36,7 @@ from .arrays import code_points, slices
 from .pieces import COUNT_BITS, Lattice, Vocabulary, chunks, lattice
 
 ENCODED = "ids array<int>, costs array<long>"
+CHECKED = ENCODED + ", restored boolean"
 
 
 def forward(text: str, pieces: Lattice) -> tuple[list[int], list[int]]:
@@ -122,7 +123,6 @@ class Trie:
     width: int
     keys: np.ndarray
     nodes: np.ndarray
-    probes: int
     weight: np.ndarray  # of the piece that ends at a node, FAR: none
     ids: np.ndarray
 
@@ -130,10 +130,15 @@ class Trie:
         """Children, 0 where there is none (0 is the root, which is no child)."""
         key = node.astype(np.int64) * self.width + symbol
         slot = _slot(key, len(self.keys))
-        out = np.zeros(len(key), dtype=np.int32)
-        for _ in range(self.probes):
-            out = np.where(self.keys[slot] == key, self.nodes[slot], out)
-            slot = (slot + 1) & (len(self.keys) - 1)
+        held = self.keys[slot]
+        out = np.where(held == key, self.nodes[slot], 0)
+        open_ = np.flatnonzero((held != key) & (held >= 0))
+        while len(open_):  # the few whose slot another key holds look on
+            slot[open_] = (slot[open_] + 1) & (len(self.keys) - 1)
+            held = self.keys[slot[open_]]
+            hit = held == key[open_]
+            out[open_[hit]] = self.nodes[slot[open_[hit]]]
+            open_ = open_[~hit & (held >= 0)]
         return np.where(symbol > 0, out, 0)
 
 
@@ -161,14 +166,13 @@ def trie(vocabulary: Vocabulary) -> Trie:
             node = child[key]
         weight[node], ids[node] = (w >> COUNT_BITS) << SHIFT | 1, pieces.id_of[piece]
     size = 1 << (4 * len(child)).bit_length()
-    keys, nodes, probes = np.full(size, -1, dtype=np.int64), np.zeros(size, dtype=np.int32), 1
+    keys, nodes = np.full(size, -1, dtype=np.int64), np.zeros(size, dtype=np.int32)
     every = np.fromiter(child, dtype=np.int64, count=len(child))
     for key, slot in zip(every.tolist(), _slot(every, size).tolist()):
-        tries = 1
         while keys[slot] >= 0:
-            slot, tries = (slot + 1) & (size - 1), tries + 1
-        keys[slot], nodes[slot], probes = key, child[key], max(probes, tries)
-    return Trie(classes, width, keys, nodes, probes, np.array(weight, dtype=np.int64), np.array(ids, dtype=np.int32))
+            slot = (slot + 1) & (size - 1)
+        keys[slot], nodes[slot] = key, child[key]
+    return Trie(classes, width, keys, nodes, np.array(weight, dtype=np.int64), np.array(ids, dtype=np.int32))
 
 
 @dataclass(frozen=True)
@@ -185,7 +189,7 @@ def solve(found: list[str], vocabulary: Vocabulary) -> Solved:
     """Best segmentations of distinct chunks; the same as ``best_and_gap`` of each."""
     pieces, letters = lattice(vocabulary), trie(vocabulary).classes
     cost, gap = np.zeros(len(found), dtype=np.int64), np.full(len(found), FAR)
-    ids: list = [()] * len(found)
+    owners, pieces_of = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int32)]
     codes, starts = code_points(found)
     strange = np.concatenate([[0], np.cumsum(letters[codes] == 0)])
     plain = (np.diff(starts) <= SHORT) & (strange[starts[1:]] == strange[starts[:-1]])
@@ -194,13 +198,17 @@ def solve(found: list[str], vocabulary: Vocabulary) -> Solved:
     plain &= lone[starts[1:]] == lone[starts[:-1]]
     for k in np.flatnonzero(~plain):
         own, c, g = best_and_gap(found[k], pieces)
-        ids[k], cost[k], gap[k] = own, c, FAR if g is None else g >> COUNT_BITS
+        owners.append(np.full(len(own), k))
+        pieces_of.append(np.array(own, dtype=np.int32))
+        cost[k], gap[k] = c, FAR if g is None else g >> COUNT_BITS
     lanes = np.flatnonzero(plain)
     if len(lanes):
-        _solve_short(codes, starts, lanes, trie(vocabulary), cost, gap, ids)
-    begin = np.concatenate([[0], np.cumsum([len(x) for x in ids], dtype=np.int64)]).astype(np.int64)
-    flat = np.concatenate([np.asarray(x, dtype=np.int32) for x in ids]) if ids else np.zeros(0, dtype=np.int32)
-    return Solved(cost, gap, flat, begin)
+        for owner, ids in _solve_short(codes, starts, lanes, trie(vocabulary), cost, gap):
+            owners.append(owner)
+            pieces_of.append(ids)
+    owner = np.concatenate(owners)
+    begin = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(found)))]).astype(np.int64)
+    return Solved(cost, gap, np.concatenate(pieces_of)[np.argsort(owner, kind="stable")], begin)
 
 
 @lru_cache(maxsize=2)
@@ -214,7 +222,8 @@ def _alone(vocabulary: Vocabulary) -> np.ndarray:
     return out
 
 
-def _solve_short(codes, starts, lanes, t: Trie, cost, gap, ids) -> None:
+def _solve_short(codes, starts, lanes, t: Trie, cost, gap) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Fills in cost and gap of the lanes' chunks; returns (chunk, id) of their pieces, first pieces first."""
     size = np.diff(starts)[lanes]
     order = np.argsort(-size, kind="stable")
     lanes, size = lanes[order], size[order]
@@ -251,15 +260,11 @@ def _solve_short(codes, starts, lanes, t: Trie, cost, gap, ids) -> None:
         for n in range(1, len(rows) + 1):
             own = step == n
             node[own] = rows[n - 1][base[live[own]] + j[own] - n]
-        taken.append((live, t.ids[node]))
+        taken.append((lanes[live], t.ids[node]))
         at[live] = j - step
         live = live[at[live] > 0]
     gap[lanes] = np.where(least_gap < FAR, least_gap >> SHIFT, FAR)
-    who, what = (np.concatenate(x) for x in zip(*reversed(taken)))
-    by_lane = np.argsort(who, kind="stable")
-    parts = np.split(what[by_lane], np.cumsum(np.bincount(who, minlength=len(lanes)))[:-1])
-    for lane, part in zip(lanes.tolist(), parts):
-        ids[lane] = part
+    return taken[::-1]
 
 
 def _edges(codes, starts, lanes, t: Trie) -> list[np.ndarray]:
@@ -302,8 +307,8 @@ class Encoder:
         distinct = list({c for cs in split for c in cs})
         solved = solve(distinct, self.vocabulary)
         place = {c: k for k, c in enumerate(distinct)}
-        occ = np.fromiter((place[c] for cs in split for c in cs), dtype=np.int64)
         begin = np.concatenate([[0], np.cumsum([len(cs) for cs in split])]).astype(np.int64)
+        occ = np.fromiter(map(place.__getitem__, chain.from_iterable(split)), dtype=np.int64, count=begin[-1])
         counts = np.diff(solved.begin)[occ]
         upto = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
         ids = solved.ids[np.repeat(solved.begin[occ] - upto[:-1], counts) + np.arange(upto[-1])]
@@ -331,31 +336,40 @@ class Encoder:
         return [least + d for d in heapq.nsmallest(self.n, map(sum, product(*choices)))]
 
 
-def encode(text: Column | str, vocabulary: Vocabulary, n: int = 4) -> Column:
-    """Struct column: ``ids`` of the best segmentation, ``costs`` of the ``n`` best in millionths."""
+def encode(text: Column | str, vocabulary: Vocabulary, n: int = 4, check: bool = False) -> Column:
+    """Struct column: ``ids`` of the best segmentation, ``costs`` of the ``n`` best in millionths.
 
-    @F.pandas_udf(ENCODED)
+    With ``check``, ``restored`` says whether decoding the ids gives the text back.
+    """
+
+    @F.pandas_udf(CHECKED if check else ENCODED)
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(vocabulary, n)
         for texts in batches:
             rows = encoder([t or "" for t in texts])
             ids = [None if t is None else r[0] for t, r in zip(texts, rows)]
             costs = [[] if t is None else r[1] for t, r in zip(texts, rows)]
-            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "costs": pd.Series(costs, dtype=object)})
+            made = {"ids": pd.Series(ids, dtype=object), "costs": pd.Series(costs, dtype=object)}
+            if check:
+                made["restored"] = [spell(i, vocabulary) == t for i, t in zip(ids, texts)]
+            yield pd.DataFrame(made)
 
     return encoded(text)
 
 
+def spell(ids: np.ndarray | None, vocabulary: Vocabulary) -> str | None:
+    """The text of an array of ids."""
+    if ids is None:
+        return None
+    return b"".join(map(lattice(vocabulary).spelled.__getitem__, ids.tolist())).decode("utf-8", "replace")[1:]
+
+
 def decode(ids: Column | str, vocabulary: Vocabulary) -> Column:
     """The text that ids spell, without the extra space in front; null gives null."""
 
     @F.pandas_udf("string")
     def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        spelled = lattice(vocabulary).spelled.__getitem__
         for rows in batches:
-            yield pd.Series(
-                [None if r is None else b"".join(map(spelled, r.tolist())).decode("utf-8", "replace")[1:] for r in rows],
-                dtype=object,
-            )
+            yield pd.Series([spell(r, vocabulary) for r in rows], dtype=object)
 
     return decoded(ids)

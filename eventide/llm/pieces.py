@@ -17,9 +17,10 @@ The driver reads the file; tasks get the pieces with the job.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import lru_cache
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
@@ -28,13 +29,28 @@ MILLION = 1_000_000
 COUNT_BITS = 32
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class Vocabulary:
-    """Pieces by id as in the file, and what each costs; ids of the 256 byte pieces in order."""
+    """Pieces by id as in the file, and what each costs; ids of the 256 byte pieces in order.
+
+    Two are equal if their digests are: the lookups built from a vocabulary are
+    kept by it, and hashing all its pieces each time would cost more than the work.
+    """
 
     pieces: tuple[str, ...]
     costs: tuple[int, ...]  # -1: not to be used in a segmentation
     byte_ids: tuple[int, ...]
+    digest: bytes = field(init=False)
+
+    def __post_init__(self) -> None:
+        content = repr((self.pieces, self.costs, self.byte_ids)).encode()
+        object.__setattr__(self, "digest", hashlib.sha256(content).digest())
+
+    def __hash__(self) -> int:
+        return hash(self.digest)
+
+    def __eq__(self, other: object) -> bool:
+        return isinstance(other, Vocabulary) and self.digest == other.digest
 
 
 def load(path: str = MODEL_PATH) -> Vocabulary:

@@ -5,17 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship_package
 from ..sources import tables
 from . import (
     chat, decontaminate, exact_dedup, html_text, language_id, nbest, pieces, secret_scan, simhash, token_counts, toxicity,
 )
-from .common import held_out
+from .common import held_out, prepare
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table; the workers can then import this package."""
-    ship_package(spark)
+    prepare(spark)
     return tables.read_table(spark, sf_dir, name)
 
 
@@ -61,12 +60,8 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of the best segmentation, costs of the four best, and whether decoding gives the text back."""
     docs = read_table(spark, sf_dir, "documents")
-    vocabulary = pieces.load()
-    found = docs.select("doc_id", "text", nbest.encode("text", vocabulary).alias("e"))
-    return found.select(
-        "doc_id", F.size("e.ids").cast("long").alias("n_pieces"), F.col("e.ids").alias("ids"), F.col("e.costs").alias("costs"),
-        nbest.decode(F.col("e.ids"), vocabulary).eqNullSafe(F.col("text")).alias("restored"),
-    )
+    found = docs.select("doc_id", nbest.encode("text", pieces.load(), n=4, check=True).alias("e"))
+    return found.select("doc_id", F.size("e.ids").cast("long").alias("n_pieces"), "e.ids", "e.costs", "e.restored")
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
