@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.time import duration_ms
@@ -109,14 +109,15 @@ def rising_alerts(
         key, ts_ms, seq, (F.col("_run") - 1).alias("_run"), F.lit(True).alias("_term"),
         F.lit(False).alias("_rise"),
     )
-    runs = members.unionByName(terminators).withColumn("_sk", F.struct(key)).repartition("_sk", "_run")
+    runs = members.unionByName(terminators).repartition(key, "_run")
     # Only a run that lasts the interval after its first rise, or a key's last
-    # run with a rise, can fire; the others never reach Python.
-    can_fire = runs.groupBy("_sk", "_run").agg(
-        F.min(F.when(F.col("_rise"), F.col(ts_ms))).alias("_first"), F.max(ts_ms).alias("_last"),
-        F.max("_term").alias("_ended"),
-    ).where(F.col("_first").isNotNull() & ((F.col("_last") >= F.col("_first") + F.lit(interval_ms)) | ~F.col("_ended")))
-    ordered = runs.join(can_fire.select("_sk", "_run").hint("shuffle_hash"), ["_sk", "_run"], "left_semi").drop("_sk")
+    # run with a rise, can fire; the others never reach Python.  The window reads
+    # the partitioning above, so nothing is computed or shuffled twice.
+    run = Window.partitionBy(key, "_run")
+    first = F.min(F.when(F.col("_rise"), F.col(ts_ms))).over(run)
+    lasts = F.max(ts_ms).over(run) >= first + F.lit(interval_ms)
+    marked = runs.withColumn("_fires", first.isNotNull() & (lasts | ~F.max("_term").over(run)))
+    ordered = marked.where("_fires").drop("_fires")
     ordered = ordered.sortWithinPartitions(key, "_run", "_term", ts_ms, seq)
     alerts = ordered.mapInPandas(_make_run_folder(key, ts_ms, interval_ms), OUTPUT_SCHEMA)
     msg = F.concat(F.lit(ALERT_PREFIX), F.col("id"), F.lit(ALERT_SUFFIX))
