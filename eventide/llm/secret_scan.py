@@ -5,8 +5,9 @@ every encoded token of the text (URL escapes, Unicode escapes or character
 references, base64) starts a worklist: a token is unwrapped into a layer, the
 layer is scanned for the same kinds and searched for further encoded tokens,
 until nothing new comes up.  Base64 layers that hold a gzip, zlib, bzip2 or xz
-stream are decompressed first.  A layer whose text was seen before in the
-document is not unwrapped again, so cycles end.  Each layer carries, for each of
+stream are decompressed first.  A layer whose text was seen before at the same
+place of the document is not unwrapped again, so cycles end; the same token at
+another place is unwrapped there too.  Each layer carries, for each of
 its characters, the range of the document's characters it came from (a
 decompressed layer: the whole blob), so spans found inside map back to the text.
 
@@ -82,16 +83,16 @@ def secrets(text: str | None) -> list[dict]:
     text = text or ""
     base = scan(text)
     added: set[tuple[str, int, int]] = set()
-    seen = {text}
+    seen: set[tuple[str, int, int]] = set()  # a layer's text and its place: the same token elsewhere is another layer
     work = [
         Layer(text[a:b], list(range(a, b)), list(range(a + 1, b + 1))) for a, b in _tokens(text)
     ]
     while work:
         token = work.pop()
         for layer in _unwrapped(token):
-            if layer.text in seen:
+            if not layer.text or (place := (layer.text, layer.low[0], layer.high[-1])) in seen:
                 continue
-            seen.add(layer.text)
+            seen.add(place)
             for kind, a, b in scan(layer.text):
                 added.add((kind, layer.low[a], layer.high[b - 1]))
             work += [Layer(layer.text[a:b], layer.low[a:b], layer.high[a:b]) for a, b in _tokens(layer.text)]

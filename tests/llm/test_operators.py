@@ -408,6 +408,15 @@ def test_secrets_in_layers():
         assert len(token) - 4 <= found[0]["end"] - found[0]["start"] <= len(token)
 
 
+def test_secrets_of_equal_tokens_at_every_place():
+    once = base64.b64encode(b"password=hunter2hunter").decode()
+    for token in (once, base64.b64encode(once.encode()).decode(), "password%3Dhunter22"):
+        text = f"{token} first\nthen {token}\n{token} last"
+        found = [s["start"] for s in secret_scan.secrets(text) if s["kind"] == "assign" and not s["base"]]
+        assert found == [0, len(token) + 12, 2 * len(token) + 13]
+    assert secret_scan.secrets("&#abc;&#x1;") == []  # stays as it is, or spells nothing
+
+
 def test_secrets_decoding_ends():
     assert secret_scan.secrets("%2525252525252541" * 50) == []
     assert secret_scan.secrets("A" * 5000) == []
