@@ -10,9 +10,12 @@ those inside links; inline mark-up counts as the text of its block.  Its composi
 logarithm whose base grows with the share of link text, as in the published
 method of content extraction via text density.  The element whose children's
 densities have the largest sum is the article's core; the least density on its
-path to the body is the page's threshold; in each subtree below the body that
-reaches the threshold, the element with the largest sum is content, with all it
-holds.
+path to the body is the page's threshold; of each element that reaches it, as
+all above it do, the element below with the largest sum is marked.  Content is,
+for each child of the body, the whole container of its marked elements: the
+article they stand in, else the main element, else the least one that also has
+a headline, else the least one.  Text directly in the body is content unless it
+is mostly links, and so is a headline outside when no container has one.
 
 Text: character references are decoded, each block is one line (``br`` ends a
 block), white space inside a block is one space, empty blocks are left out.
@@ -68,7 +71,8 @@ NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
 class Element:
-    __slots__ = ("tag", "parts", "parent", "noise", "core", "chars", "links", "tags", "link_tags", "density", "total")
+    __slots__ = ("tag", "parts", "parent", "noise", "core", "chars", "links", "tags", "link_tags", "density", "total", "best",
+                 "held")
 
     def __init__(self, tag: str, parent: "Element | None", attributes: str = "") -> None:
         self.tag, self.parent, self.parts = tag, parent, []
@@ -183,6 +187,10 @@ def _measure(top: Element) -> list[Element]:
     for x in order:
         x.total = sum(p.density for p in x.parts if isinstance(p, Element))
         x.density = x.total if x.tag in INLINE else _density(x, share)
+        x.best = None if x.tag in INLINE else x  # the element with the largest sum, itself or below
+        for p in x.parts:
+            if isinstance(p, Element) and p.best and (x.best is None or p.best.total > x.best.total):
+                x.best = p.best
     return order
 
 
@@ -207,23 +215,90 @@ def _content(body: Element) -> list[Element]:
     while node is not body:
         node = node.parent
         threshold = min(threshold, node.density)
-    marked: list[Element] = []
-
-    def best(x: Element) -> Element:
-        top, stack = x, [x]
-        while stack:
-            y = stack.pop()
-            if y.total > top.total and y.tag not in INLINE:
-                top = y
-            stack += [p for p in y.parts if isinstance(p, Element)]
-        return top
-
     if core is body:
         return [body]
-    for child in body.parts:
-        if isinstance(child, Element) and child.density >= threshold:
-            marked.append(best(child))
-    return marked or [core]
+    marked = _marked(body, threshold)
+    for x in order:  # children before parents
+        x.held = (x in marked) + sum(p.held for p in x.parts if isinstance(p, Element))
+    found: list[tuple[Element | None, Element | None]] = []  # a child of the body, and what is kept of it
+    run = _run()
+    for part in [*body.parts, None]:
+        if isinstance(part, str) or part is not None and (part.tag in INLINE or part.tag == "a") and not part.held:
+            run.parts.append(part)
+            continue
+        if _tells(run):
+            found.append((None, run))
+        run = _run()
+        if part is not None:
+            found.append((part, _container(part) if part.held else None))
+    kept = [x for _, x in found if x is not None]
+    if any(_holds(x, "h1") for x in kept):
+        return kept
+    headlines = {x for x in order if x.tag == "h1" and x.chars > 2 * x.links}
+    kept = [y for part, x in found for y in ([x] if part is None else _first(part, headlines | {x}))]
+    return kept or [core]
+
+
+def _run() -> Element:
+    """A block that stands for text and inline mark-up directly in the body."""
+    return Element("p", None)
+
+
+def _tells(run: Element) -> bool:
+    """Whether a run holds text, and more of it outside links than inside."""
+    _measure(run)
+    return run.chars > 2 * run.links
+
+
+def _marked(body: Element, threshold: float) -> set[Element]:
+    """Of each element that reaches the threshold, as all above it do, the one below with the largest sum."""
+    marked: set[Element] = set()
+    stack: list[Element] = [body]
+    while stack:
+        for x in stack.pop().parts:
+            if isinstance(x, Element) and x.density >= threshold:
+                marked.add(x.best or x)
+                stack.append(x)
+    return marked
+
+
+def _container(top: Element) -> Element:
+    """What holds all marked elements under ``top``: their article, or main, or what has their headline, or the least."""
+    article = main = headed = None
+    node = top
+    while True:
+        if node.tag == "article":
+            article = article or node
+        elif node.tag == "main":
+            main = main or node
+        if node.core:
+            headed = node
+        below = [p for p in node.parts if isinstance(p, Element) and p.held == node.held]
+        if not below:
+            return article or main or headed or node
+        node = below[0]
+
+
+def _holds(top: Element, tag: str) -> bool:
+    stack = [top]
+    while stack:
+        x = stack.pop()
+        if x.tag == tag:
+            return True
+        stack += [p for p in x.parts if isinstance(p, Element)]
+    return False
+
+
+def _first(top: Element, wanted: set[Element | None]) -> list[Element]:
+    """The outermost wanted elements, in page order."""
+    out, stack = [], [top]
+    while stack:
+        x = stack.pop()
+        if x in wanted:
+            out.append(x)
+        else:
+            stack += [p for p in reversed(x.parts) if isinstance(p, Element)]
+    return out
 
 
 def _blocks(nodes: list[Element]) -> list[str]:

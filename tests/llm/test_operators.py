@@ -474,6 +474,30 @@ def test_html_without_article_tag_and_broken_markup():
     assert html_text.main_text("<div>" * 5000 + "deep") == "deep"
 
 
+def test_html_keeps_all_parts_of_an_article():
+    def ps(n, word):
+        return "".join(f"<p>{word} {k} {LONG[:200].strip()}</p>" for k in range(n))
+
+    def lines(n, word):
+        return [f"{word} {k} {LONG[:200].strip()}" for k in range(n)]
+
+    nested = f'<h1>Head</h1><div class="entry">{ps(10, "a")}</div><p>Closing.</p>'
+    links = "<ul>" + "".join(f'<li><a href="/{i}">Link number {i}</a></li>' for i in range(20)) + "</ul>"
+    for tag in ("article", "main", "div"):
+        page = f"<body><div>{links}</div><{tag}>{nested}</{tag}></body>"
+        assert html_text.main_text(page).split("\n") == ["Head", *lines(10, "a"), "Closing."]
+        page = f"<body><{tag}><section>{ps(10, 'a')}</section><section>{ps(8, 'b')}</section></{tag}><div>{links}</div></body>"
+        assert html_text.main_text(page).split("\n") == lines(10, "a") + lines(8, "b")
+    page = f'<body>Text of the <b>body</b>.<a href="/">Home</a><div>{ps(9, "a")}</div><div>{links}</div>The end.</body>'
+    assert html_text.main_text(page).split("\n") == ["Text of the body.Home", *lines(9, "a"), "The end."]
+    page = f'<body><a href="/">Home</a> | <a href="/b">About</a><h1>Head</h1><div>{ps(9, "a")}</div></body>'
+    assert html_text.main_text(page).split("\n") == ["Head", *lines(9, "a")]
+    page = f"<body>\n<font>\n<article>{nested}</article>\n</font>\n<div>{links}</div>\n</body>"
+    assert html_text.main_text(page).split("\n") == ["Head", *lines(10, "a"), "Closing."]
+    page = f"<body>First words.<div><h1>Head</h1><div>{links}</div></div><div>{ps(9, 'a')}</div>Last words.</body>"
+    assert html_text.main_text(page).split("\n") == ["First words.", "Head", *lines(9, "a"), "Last words."]
+
+
 def test_html_given_pages(spark):
     """The given pages hold one article element each; a plain cut of it must agree."""
     import html
