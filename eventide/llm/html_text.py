@@ -66,7 +66,10 @@ INLINE = frozenset(
 )
 
 TOKEN = re.compile(r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*>?|(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*)>?)""", re.S)
-ATTRIBUTE = re.compile(r"""(class|id|role|style|hidden|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+#: A stray quoted string, or a whole name with its value; a value is always consumed, so nothing is found inside one.
+ATTRIBUTE = re.compile(
+    r""""[^"]*"|'[^']*'|([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*))?)?"""
+)
 NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 

@@ -498,6 +498,18 @@ def test_html_keeps_all_parts_of_an_article():
     assert html_text.main_text(page).split("\n") == ["First words.", "Head", *lines(9, "a"), "Last words."]
 
 
+def test_html_noise_is_a_whole_attribute():
+    for kept in (
+        '<a href="hidden-valley.html">', '<b title="A hidden gem">', '<section data-hidden="false">', "<a href=/q?id=share-1>",
+        '<a href="/q?id=share-1">', '<p data-id="comment-3">', "<p title='class=\"ad\"'>", '<p data-role = "dialog" lang=en>',
+    ):
+        tag = kept[1:].split()[0]
+        page = f"<article><div>Some words and {kept}these ones</{tag}></div></article>"
+        assert " ".join(html_text.main_text(page).split()) == "Some words and these ones", kept
+    for noise in ("hidden", 'hidden=""', 'HIDDEN lang="en"', 'title="x" class=ad', "lang=en id = 'share'", 'a"b"class="ad"', "aria-hidden=true", 'style="x:y;display: none"', "/hidden"):
+        assert html_text.main_text(f"<article><p>Some words</p><div {noise}>and these</div></article>") == "Some words", noise
+
+
 def test_html_given_pages(spark):
     """The given pages hold one article element each; a plain cut of it must agree."""
     import html
