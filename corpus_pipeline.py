@@ -41,10 +41,10 @@ def drop_benchmark_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of each text and the costs of its four best segmentations."""
+    """Ids and costs of each text's four best segmentations, and whether decoding the best gives the text back."""
     prepare(spark)
-    found = docs.select("doc_id", nbest.encode("text", pieces.load(), n=4).alias("e"))
-    return found.select("doc_id", F.size("e.ids").cast("long").alias("n_pieces"), "e.ids", "e.costs")
+    found = docs.select("doc_id", nbest.encode("text", pieces.load(), n=4, check=True).alias("e"))
+    return found.select("doc_id", F.size("e.ids").cast("long").alias("n_pieces"), "e.*")
 
 
 STAGES = [
@@ -52,7 +52,7 @@ STAGES = [
     ("exact dedup", drop_copies),
     ("SimHash near-dedup", drop_near_copies),
     ("benchmark decontamination", drop_benchmark_text),
-    ("SentencePiece encoding", encode),
+    ("SentencePiece encoding and decoding", encode),
 ]
 
 #: The stages learn models and link texts by fingerprints, which SQL can not express.

@@ -26,16 +26,18 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import chain, product
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .arrays import code_points, slices
 from .pieces import COUNT_BITS, Lattice, Vocabulary, chunks, lattice
 
-ENCODED = "ids array<int>, costs array<long>"
+ENCODED = "ids array<int>, costs array<long>, next_ids array<array<int>>"
 CHECKED = ENCODED + ", restored boolean"
 
 
@@ -110,7 +112,7 @@ def n_best(text: str, pieces: Lattice, n: int) -> list[tuple[int, tuple[int, ...
 
 SHORT = 64  # chunks up to this length are solved together, as numpy lanes
 SLICE_CHARS = 1_500_000
-DETOURS_KEPT = 50_000
+DETOURS_KEPT, DETOUR_IDS_KEPT = 50_000, 5_000_000
 SHIFT = 16  # weights of short chunks: cost << SHIFT | pieces, within 64 bits
 FAR = np.int64(1) << np.int64(60)
 
@@ -293,16 +295,21 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary, n: int) -> None:
         self.vocabulary, self.n = vocabulary, n
-        self.detours: dict[str, list[int]] = {}
+        self.detours: dict[str, list[tuple[int, np.ndarray]]] = {}
+        self.held = 0  # ids in the detours
 
     def __call__(self, texts: list[str]) -> list[tuple[np.ndarray, list[int]]]:
         """Per text: ids of the best segmentation and the costs of the ``n`` best."""
-        out: list[tuple[np.ndarray, list[int]]] = []
+        return [(listed[0], costs) for listed, costs in self.n_best(texts)]
+
+    def n_best(self, texts: list[str]) -> list[tuple[list[np.ndarray], list[int]]]:
+        """Per text: ids and costs of the ``n`` best segmentations."""
+        out: list[tuple[list[np.ndarray], list[int]]] = []
         for a, b in slices(texts, SLICE_CHARS):
             out += self._slice(texts[a:b])
         return out
 
-    def _slice(self, texts: list[str]) -> list[tuple[np.ndarray, list[int]]]:
+    def _slice(self, texts: list[str]) -> list[tuple[list[np.ndarray], list[int]]]:
         split = [chunks(t) if t else [] for t in texts]
         distinct = list({c for cs in split for c in cs})
         solved = solve(distinct, self.vocabulary)
@@ -317,46 +324,90 @@ class Encoder:
         out = []
         for k, cs in enumerate(split):
             a, b = begin[k], begin[k + 1]
-            costs = self._costs(int(total[b] - total[a]), cs, gaps[a:b])
-            out.append((ids[upto[a] : upto[b]], costs))
+            cuts = upto[a : b + 1] - upto[a]
+            out.append(self._listed(int(total[b] - total[a]), cs, gaps[a:b], ids[upto[a] : upto[b]], cuts))
         return out
 
-    def _costs(self, least: int, found: list[str], gaps: np.ndarray) -> list[int]:
-        """Costs of the ``n`` best segmentations of a text."""
-        if len(self.detours) > DETOURS_KEPT:
+    def _listed(
+        self, least: int, found: list[str], gaps: np.ndarray, ids: np.ndarray, cuts: np.ndarray
+    ) -> tuple[list[np.ndarray], list[int]]:
+        """Ids and costs of the ``n`` best segmentations of a text; chunk k's best ids lie at ``cuts[k:k + 2]``."""
+        if len(self.detours) > DETOURS_KEPT or self.held > DETOUR_IDS_KEPT:
             self.detours.clear()
-        choices = []
-        for k in np.argsort(gaps, kind="stable")[: self.n - 1]:
-            if gaps[k] < FAR:
-                chunk = found[k]
-                if chunk not in self.detours:
-                    listed = n_best(chunk, lattice(self.vocabulary), self.n)
-                    self.detours[chunk] = [c - listed[0][0] for c, _ in listed]
-                choices.append(self.detours[chunk])
-        return [least + d for d in heapq.nsmallest(self.n, map(sum, product(*choices)))]
+            self.held = 0
+        near = np.argsort(gaps, kind="stable")[: self.n - 1]
+        near = np.sort(near[gaps[near] < FAR]).tolist()
+        choices = [self._detours(found[k]) for k in near]
+        ranked = heapq.nsmallest(
+            self.n,
+            ((least + sum(c[r][0] for c, r in zip(choices, ranks)), ranks) for ranks in _ranks(*map(len, choices))),
+            key=itemgetter(0),
+        )
+        listed = []
+        for _, ranks in ranked:
+            parts, at = [], 0
+            for k, choice, rank in zip(near, choices, ranks):
+                if rank:
+                    parts += [ids[at : cuts[k]], choice[rank][1]]
+                    at = cuts[k + 1]
+            listed.append(np.concatenate([*parts, ids[at:]]) if parts else ids)
+        return listed, [cost for cost, _ in ranked]
+
+    def _detours(self, chunk: str) -> list[tuple[int, np.ndarray]]:
+        """How much more than the best each of a chunk's ``n`` best costs, and its ids."""
+        if chunk not in self.detours:
+            listed = n_best(chunk, lattice(self.vocabulary), self.n)
+            self.detours[chunk] = [(c - listed[0][0], np.array(x, dtype=np.int32)) for c, x in listed]
+            self.held += sum(len(x) for _, x in listed)
+        return self.detours[chunk]
+
+
+@lru_cache(maxsize=1000)
+def _ranks(*sizes: int) -> list[tuple[int, ...]]:
+    """Ways to take one of each chunk's segmentations, those of equal cost in their order."""
+    return sorted(product(*map(range, sizes)), key=lambda r: (sum(map(bool, r)), [not x for x in r], r))
 
 
 def encode(text: Column | str, vocabulary: Vocabulary, n: int = 4, check: bool = False) -> Column:
-    """Struct column: ``ids`` of the best segmentation, ``costs`` of the ``n`` best in millionths.
+    """Struct column: ``ids`` of the best segmentation, ``costs`` of the ``n`` best in millionths, ``next_ids`` of the others.
 
     With ``check``, ``restored`` says whether decoding the ids gives the text back.
     """
 
-    @F.pandas_udf(CHECKED if check else ENCODED)
-    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(CHECKED if check else ENCODED)
+    def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(vocabulary, n)
-        for texts in batches:
-            rows = encoder([t or "" for t in texts])
-            ids = [None if t is None else r[0] for t, r in zip(texts, rows)]
-            costs = [[] if t is None else r[1] for t, r in zip(texts, rows)]
-            made = {"ids": pd.Series(ids, dtype=object), "costs": pd.Series(costs, dtype=object)}
+        for batch in batches:
+            texts = batch.to_pylist()
+            rows = encoder.n_best([t or "" for t in texts])
+            null = [t is None for t in texts]
+            made = {
+                "ids": _lists([listed[0] for listed, _ in rows], null),
+                "costs": _lists([[] if t is None else costs for t, (_, costs) in zip(texts, rows)], dtype=np.int64),
+                "next_ids": _lists_of_lists([[] if t is None else listed[1:] for t, (listed, _) in zip(texts, rows)]),
+            }
             if check:
-                made["restored"] = [spell(i, vocabulary) == t for i, t in zip(ids, texts)]
-            yield pd.DataFrame(made)
+                restored = [spell(None if t is None else listed[0], vocabulary) == t for t, (listed, _) in zip(texts, rows)]
+                made["restored"] = pa.array(restored, pa.bool_())
+            yield pa.StructArray.from_arrays(list(made.values()), names=list(made))
 
     return encoded(text)
 
 
+def _offsets(lists: list) -> pa.Array:
+    return pa.array(np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32))
+
+
+def _lists(lists: list, null: list[bool] | None = None, dtype: type = np.int32) -> pa.Array:
+    """Arrays as one column, without going through Python numbers; null where ``null`` says so."""
+    values = pa.array(np.concatenate([np.zeros(0, dtype=dtype), *(np.asarray(x, dtype=dtype) for x in lists)]))
+    return pa.ListArray.from_arrays(_offsets(lists), values, mask=None if null is None else pa.array(null, pa.bool_()))
+
+
+def _lists_of_lists(rows: list[list[np.ndarray]]) -> pa.Array:
+    return pa.ListArray.from_arrays(_offsets(rows), _lists([x for row in rows for x in row]))
+
+
 def spell(ids: np.ndarray | None, vocabulary: Vocabulary) -> str | None:
     """The text of an array of ids."""
     if ids is None:

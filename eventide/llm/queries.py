@@ -58,10 +58,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ids of the best segmentation, costs of the four best, and whether decoding gives the text back."""
+    """Ids and costs of the four best segmentations (``ids``: the best), and whether decoding gives the text back."""
     docs = read_table(spark, sf_dir, "documents")
     found = docs.select("doc_id", nbest.encode("text", pieces.load(), n=4, check=True).alias("e"))
-    return found.select("doc_id", F.size("e.ids").cast("long").alias("n_pieces"), "e.ids", "e.costs", "e.restored")
+    return found.select("doc_id", F.size("e.ids").cast("long").alias("n_pieces"), "e.*")
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

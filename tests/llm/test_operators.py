@@ -265,6 +265,33 @@ def test_pieces_against_enumeration(text):
         assert [c for c, _ in nbest.n_best(chunk, lat, 3)] == want
 
 
+@settings(max_examples=80, deadline=None)
+@given(st.text("abc é\n▁", max_size=9))
+def test_pieces_lists_the_segmentations_themselves(text):
+    vocabulary = toy()
+    lat = pieces.lattice(vocabulary)
+    cost = {ids: w >> pieces.COUNT_BITS for w, ids in all_ways(" " + text, lat)} if text else {(): 0}
+    (listed, costs), = nbest.Encoder(vocabulary, 4).n_best([text])
+    got = [tuple(ids.tolist()) for ids in listed]
+    assert len(set(got)) == len(got) == min(4, len(cost))
+    assert [cost[ids] for ids in got] == costs == sorted(cost.values())[:4]
+    assert all(nbest.spell(ids, vocabulary) == text for ids in listed)
+
+
+def test_pieces_columns_and_pipeline_stage(spark, odd):
+    from eventide.llm.common import prepare
+
+    prepare(spark)
+    name, stage = corpus_pipeline.STAGES[-1]
+    assert name == "SentencePiece encoding and decoding"
+    vocabulary = pieces.load()
+    for r in stage(spark, odd.where("doc_id < 7"), SF0001).join(odd.select("doc_id", "text").distinct(), "doc_id").collect():
+        assert r["restored"] == (True if r["text"] is not None else r["restored"])
+        assert len(r["next_ids"]) == max(len(r["costs"]) - 1, 0)
+        assert len({tuple(x) for x in [r["ids"] or [], *r["next_ids"]]}) == max(len(r["costs"]), 1)
+        assert all(nbest.spell(np.array(x), vocabulary) == r["text"] for x in r["next_ids"])
+
+
 def test_pieces_many_equal_ways_end():
     lat = pieces.lattice(toy())
     assert len(nbest.n_best("a" * 3000, lat, 4)) == 1  # one way only: a is in no pair with itself
