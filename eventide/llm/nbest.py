@@ -85,26 +85,29 @@ def best_and_gap(text: str, pieces: Lattice) -> tuple[tuple[int, ...], int, int
 def n_best(text: str, pieces: Lattice, n: int) -> list[tuple[int, tuple[int, ...]]]:
     """The ``n`` cheapest segmentations of a chunk as (cost, ids), by backward A*.
 
-    A place is left at most ``n`` times: a later way from it to the end can only
-    be part of segmentations that come after ``n`` others.
+    The heuristic is exact, so each queued end of a segmentation stands for a
+    complete one of just that cost, and no two for the same: only as many as
+    are still to be found need stay.  They are held in the order of their
+    starts from the end of the text, which is the order of ties; what an end
+    grows into takes its place.  Ends share their cells.
     """
     best, _ = forward(text, pieces)
-    end = len(text)
-    queue = [(best[end], (), end, 0)]
-    left = [0] * (end + 1)
+    queue: list[tuple[int, int, int, tuple]] = [(best[-1], len(text), 0, (len(text), None))]
     found: list[tuple[int, tuple[int, ...]]] = []
     while queue and len(found) < n:
-        _, starts, j, behind = heapq.heappop(queue)
-        if left[j] == n:
-            continue
-        left[j] += 1
+        at = min(range(len(queue)), key=lambda k: queue[k][0])
+        _, j, behind, cell = queue.pop(at)
         if not j:
-            cuts = (*reversed(starts), end)
-            ids = tuple(x for a, b in zip(cuts, cuts[1:]) for x in pieces.ids(text[a:b]))
-            found.append((behind >> COUNT_BITS, ids))
+            ids: list[int] = []
+            while cell[1]:
+                ids += pieces.ids(text[cell[0] : cell[1][0]])
+                cell = cell[1]
+            found.append((behind >> COUNT_BITS, tuple(ids)))
             continue
-        for i, w in pieces.edges(text, j):
-            heapq.heappush(queue, (best[i] + behind + w, (*starts, i), i, behind + w))
+        queue[at:at] = [(best[i] + behind + w, i, behind + w, (i, cell)) for i, w in reversed(pieces.edges(text, j))]
+        if len(queue) > n - len(found):
+            kept = sorted(range(len(queue)), key=lambda k: queue[k][0])[: n - len(found)]
+            queue = [queue[k] for k in sorted(kept)]
     return found
 
 

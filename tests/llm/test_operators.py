@@ -298,6 +298,35 @@ def test_pieces_many_equal_ways_end():
     assert len(nbest.n_best("abc" * 1000, lat, 4)) == 4
 
 
+@settings(max_examples=80, deadline=None)
+@given(st.text("abc", max_size=9))
+def test_pieces_ties_in_a_chunk(text):
+    lat = pieces.lattice(toy())
+
+    def ways(j):
+        if not j:
+            return [(0, (), ())]
+        return [(v + w, (i, *starts), ids + lat.ids(text[i:j])) for i, w in lat.edges(text, j) for v, starts, ids in ways(i)]
+
+    assert nbest.n_best(text, lat, 4) == [(w >> pieces.COUNT_BITS, ids) for w, _, ids in sorted(ways(len(text)))[:4]]
+
+
+def test_pieces_one_unbroken_text_in_bounded_memory():
+    import tracemalloc
+
+    vocabulary = pieces.load()
+    rng = random.Random(6)
+    text = "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=300_000))
+    nbest.trie(vocabulary)
+    tracemalloc.start()
+    (listed, costs), = nbest.Encoder(vocabulary, 4).n_best([text])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(listed) == len(costs) == len({x.tobytes() for x in listed}) == 4
+    assert all(nbest.spell(x, vocabulary) == text for x in listed)
+    assert peak < 500 << 20
+
+
 def test_pieces_lanes_equal_one_by_one():
     vocabulary = pieces.load()
     lat = pieces.lattice(vocabulary)
