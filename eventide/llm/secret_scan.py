@@ -1,19 +1,20 @@
 """Secret scan with a recursive decoding worklist.
 
-Three kinds of secrets are searched in the whole text (the base spans).  Then
-every encoded token of the text (URL escapes, Unicode escapes or character
-references, base64) starts a worklist: a token is unwrapped into a layer, the
-layer is scanned for the same kinds and searched for further encoded tokens,
-until nothing new comes up.  Base64 layers that hold a gzip, zlib, bzip2 or xz
-stream are decompressed first.  A layer whose text was seen before at the same
+Three kinds of secrets are searched in the whole text (the base spans).  Then a
+worklist starts: all URL escapes of a text are put in plain as one layer, so are
+all Unicode escapes and character references, and each base64 token, also one
+wrapped over lines of equal width, is a layer of its bytes, whatever they are.
+Each layer is scanned for the same kinds and unwrapped further, until nothing
+new comes up.  Bytes that start a gzip, zlib, bzip2 or xz stream also give their
+content, all members of it.  A layer whose text was seen before at the same
 place of the document is not unwrapped again, so cycles end; the same token at
-another place is unwrapped there too.  Each layer carries, for each of
-its characters, the range of the document's characters it came from (a
-decompressed layer: the whole blob), so spans found inside map back to the text.
+another place is unwrapped there too.  Each layer carries, for each of its
+characters, the range of the document's characters it came from (a decompressed
+layer: the whole blob), so spans found inside map back to the text.
 
-A stream is decompressed up to ``MAX_LAYER`` bytes, a guard against
-decompression bombs; it bounds what is unwrapped, never what is scanned of the
-text itself.
+A stream is read whole, in windows that end at a line end no token crosses.
+Where ``HELD`` characters have none, windows overlap by ``OVERLAP``: only a
+compressed token of more than that inside a decompressed stream is not unwrapped.
 
 Defined results: null and empty texts have no spans; spans are in code points,
 end exclusive, ordered by start, then kind, then end; a span that several
@@ -25,6 +26,7 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
+import hashlib
 import html
 import lzma
 import re
@@ -32,11 +34,13 @@ import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MAX_LAYER = 64 << 20
+WINDOW, HELD, OVERLAP = 4 << 20, 16 << 20, 8 << 20
+STEP = 1 << 20
 
 #: The kinds in their order, what to look for, and how long a hit must be.
 KINDS = ("assign", "access", "hex")
@@ -47,9 +51,11 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # runs are maximal, so the length can be part of the pattern
 ASSIGN_CHARS, ACCESS_CHARS = 6, 20
 
-URL = re.compile(r"[^\s]*%[0-9A-Fa-f]{2}[^\s]*")
-UNICODE = re.compile(r"[^\s]*(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|&#[xX]?[0-9A-Fa-f]+;)[^\s]*")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
+LINE_END = re.compile(r"[ \t]*\r?\n[ \t]*")
+TAIL = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+WRAPPED_CHARS = 60  # one line and a shorter one are a wrapped token from this width on
 URL_UNIT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE_UNIT = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\x[0-9A-Fa-f]{2}|&#[xX]?[0-9A-Fa-f]+;")
 
@@ -58,8 +64,8 @@ SPANS = "array<struct<kind:string,start:int,end:int,base:boolean>>"
 
 class Layer(NamedTuple):
     text: str
-    low: list[int]  # per character, where its source starts in the document
-    high: list[int]  # and where it ends
+    low: np.ndarray  # per character, where its source starts in the document
+    high: np.ndarray  # and where it ends
 
 
 def scan(text: str) -> list[tuple[str, int, int]]:
@@ -83,42 +89,71 @@ def secrets(text: str | None) -> list[dict]:
     text = text or ""
     base = scan(text)
     added: set[tuple[str, int, int]] = set()
-    seen: set[tuple[str, int, int]] = set()  # a layer's text and its place: the same token elsewhere is another layer
-    work = [
-        Layer(text[a:b], list(range(a, b)), list(range(a + 1, b + 1))) for a, b in _tokens(text)
-    ]
+    seen: set[tuple[bytes, int, int]] = set()  # a layer's text and its place: the same token elsewhere is another layer
+    tried: set[tuple[bytes, int, int]] = set()  # the same of base64 tokens
+    places = np.arange(len(text) + 1, dtype=np.int32)
+    work: list[Layer | Iterator[Layer]] = _unwrapped(Layer(text, places[:-1], places[1:]), tried)
     while work:
-        token = work.pop()
-        for layer in _unwrapped(token):
-            if not layer.text or (place := (layer.text, layer.low[0], layer.high[-1])) in seen:
+        layer = work.pop()
+        if not isinstance(layer, Layer):
+            window = next(layer, None)
+            if window is None:
                 continue
-            seen.add(place)
-            for kind, a, b in scan(layer.text):
-                added.add((kind, layer.low[a], layer.high[b - 1]))
-            work += [Layer(layer.text[a:b], layer.low[a:b], layer.high[a:b]) for a, b in _tokens(layer.text)]
+            work.append(layer)
+            layer = window
+        if not layer.text or not _new(layer, seen):
+            continue
+        for kind, a, b in scan(layer.text):
+            added.add((kind, int(layer.low[a]), int(layer.high[b - 1])))
+        work += _unwrapped(layer, tried)
     spans = [(a, KINDS.index(k), b, True) for k, a, b in base]
     spans += [(a, KINDS.index(k), b, False) for k, a, b in added - set(base)]
     return [{"kind": KINDS[k], "start": a, "end": b, "base": own} for a, k, b, own in sorted(spans)]
 
 
-def _tokens(text: str) -> list[tuple[int, int]]:
-    """Where encoded tokens may lie; a token that may be encoded in two ways is listed for each."""
-    patterns = [BASE64]
-    if "%" in text:
-        patterns.append(URL)
-    if "\\" in text or "&#" in text:
-        patterns.append(UNICODE)
-    return sorted({m.span() for p in patterns for m in p.finditer(text)})
+def _new(layer: Layer, seen: set[tuple[bytes, int, int]]) -> bool:
+    digest = hashlib.blake2b(layer.text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+    place = (digest, int(layer.low[0]), int(layer.high[-1]))
+    if place in seen:
+        return False
+    seen.add(place)
+    return True
 
 
-def _unwrapped(token: Layer) -> Iterator[Layer]:
+def _unwrapped(layer: Layer, tried: set[tuple[bytes, int, int]]) -> list[Layer | Iterator[Layer]]:
     """The layers that one step of decoding gives."""
-    if "%" in token.text:
-        yield from _replaced(token, URL_UNIT, lambda u: bytes.fromhex(u.replace("%", "")).decode("utf-8", "replace"))
-    if "\\" in token.text or "&#" in token.text:
-        yield from _replaced(token, UNICODE_UNIT, _unicode)
-    if BASE64.fullmatch(token.text):
-        yield from _base64(token)
+    out: list[Layer | Iterator[Layer]] = []
+    if "%" in layer.text:
+        out += _replaced(layer, URL_UNIT, lambda u: bytes.fromhex(u.replace("%", "")).decode("utf-8", "replace"))
+    if "\\" in layer.text or "&#" in layer.text:
+        out += _replaced(layer, UNICODE_UNIT, _unicode)
+    for spans in _tokens(layer.text):
+        token = Layer(
+            "".join(layer.text[a:b] for a, b in spans),
+            np.concatenate([layer.low[a:b] for a, b in spans]), np.concatenate([layer.high[a:b] for a, b in spans]),
+        )
+        if _new(token, tried):
+            out += _base64(token)
+    return out
+
+
+def _tokens(text: str) -> Iterator[list[tuple[int, int]]]:
+    """Where base64 tokens may lie: single runs, and runs of equal width on lines that follow each other."""
+    block: list[tuple[int, int]] = []
+    for m in BASE64.finditer(text):
+        a, b = m.span()
+        yield [(a, b)]
+        block.append((a, b))
+        line_end = LINE_END.match(text, b) if text[b - 1] != "=" else None
+        tail = TAIL.match(text, line_end.end()) if line_end else None
+        if tail and len(tail[0]) == b - a:
+            continue  # the next token, of the same width
+        ends = [tail.span()] if tail and len(tail[0]) < b - a and (len(block) > 1 or b - a >= WRAPPED_CHARS) else []
+        if ends:
+            yield block + ends
+        if len(block) > 1 and not (ends and tail[0][-1] == "="):
+            yield block
+        block = []
 
 
 def _unicode(unit: str) -> str:
@@ -130,21 +165,24 @@ def _unicode(unit: str) -> str:
     return units.decode("utf-16-be", "replace")
 
 
-def _replaced(token: Layer, unit: re.Pattern, plain) -> Iterator[Layer]:
-    """The token with each escaped unit put in plain; its characters come from the whole unit."""
+def _replaced(layer: Layer, unit: re.Pattern, plain) -> Iterator[Layer]:
+    """The layer with each escaped unit put in plain; its characters come from the whole unit."""
     parts, low, high, at = [], [], [], 0
-    for m in unit.finditer(token.text):
+    for m in unit.finditer(layer.text):
         a, b = m.span()
         put = plain(m[0])
-        parts += [token.text[at:a], put]
-        low += token.low[at:a] + [token.low[a]] * len(put)
-        high += token.high[at:a] + [token.high[b - 1]] * len(put)
+        parts += [layer.text[at:a], put]
+        low += [layer.low[at:a], np.broadcast_to(layer.low[a], len(put))]
+        high += [layer.high[at:a], np.broadcast_to(layer.high[b - 1], len(put))]
         at = b
     if at:
-        yield Layer("".join(parts) + token.text[at:], low + token.low[at:], high + token.high[at:])
+        yield Layer(
+            "".join(parts) + layer.text[at:], np.concatenate([*low, layer.low[at:]]), np.concatenate([*high, layer.high[at:]])
+        )
 
 
-def _base64(token: Layer) -> Iterator[Layer]:
+def _base64(token: Layer) -> Iterator[Layer | Iterator[Layer]]:
+    """The bytes of a token, one character each, and what they hold if they are a compressed stream."""
     body = token.text.rstrip("=").replace("-", "+").replace("_", "/")
     if len(body) % 4 == 1:
         return
@@ -152,45 +190,75 @@ def _base64(token: Layer) -> Iterator[Layer]:
         raw = base64.b64decode(body + "=" * (-len(body) % 4))
     except binascii.Error:
         return
-    packed = _decompressed(raw)
-    text = _readable(raw if packed is None else packed)
-    if not text:
-        return
-    if packed is not None:
-        yield Layer(text, [token.low[0]] * len(text), [token.high[-1]] * len(text))
-        return
-    low, high, at = [], [], 0
-    for c in text:  # bytes at..end came from the characters that share their bits
-        end = at + len(c.encode())
-        low.append(token.low[at * 4 // 3])
-        high.append(token.high[min(-(-end * 4 // 3), len(body)) - 1])
-        at = end
-    yield Layer(text, low, high)
-
-
-def _decompressed(raw: bytes) -> bytes | None:
-    """The stream's content if ``raw`` is a compressed stream, else None."""
-    try:
-        if raw[:2] == b"\x1f\x8b":
-            return zlib.decompressobj(31).decompress(raw, MAX_LAYER)
-        if raw[:1] == b"\x78" and len(raw) > 2 and (raw[0] << 8 | raw[1]) % 31 == 0:
-            return zlib.decompressobj().decompress(raw, MAX_LAYER)
-        if raw[:3] == b"BZh":
-            return bz2.BZ2Decompressor().decompress(raw, MAX_LAYER)
-        if raw[:6] == b"\xfd7zXZ\x00":
-            return lzma.LZMADecompressor().decompress(raw, MAX_LAYER)
-    except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
-        return None
+    at = np.arange(len(raw))  # a byte came from the characters that share its bits
+    high = np.minimum(-(-(at + 1) * 4 // 3), len(body)) - 1
+    layer = Layer(raw.decode("latin-1"), token.low[at * 4 // 3], token.high[high])
+    yield layer if _decompressor(raw) is None else _inflated(raw, layer, token)
+
+
+def _inflated(raw: bytes, blob: Layer, token: Layer) -> Iterator[Layer]:
+    """Windows over the content of a compressed stream, and its bytes as they are if they are no whole stream."""
+    held, low, high = "", token.low[0], token.high[-1]
+    for part in _content(raw):
+        if part is None:
+            yield blob
+            break
+        held += part.decode("latin-1")
+        if len(held) < WINDOW:
+            continue
+        cut = keep = _line_cut(held)
+        if not cut:
+            if len(held) < HELD:
+                continue
+            run = len(held.rstrip(LETTERS))  # a token that goes on is cut between groups of four
+            cut, keep = len(held), len(held) - OVERLAP
+            keep -= (keep - run) % 4 if keep > run else 0
+        yield Layer(held[:cut], np.broadcast_to(low, cut), np.broadcast_to(high, cut))
+        held = held[keep:]
+    yield Layer(held, np.broadcast_to(low, len(held)), np.broadcast_to(high, len(held)))
+
+
+def _line_cut(text: str) -> int:
+    """After the last line end that no token crosses, 0 if there is none."""
+    end = text.rfind("\n")
+    while end > 0:
+        before = text[max(end - 2, 0) : end].rstrip("\r")
+        if before and before[-1] not in LETTERS and not before[-1].isspace():
+            return end + 1
+        end = text.rfind("\n", 0, end)
+    return 0
+
+
+def _decompressor(raw: bytes):
+    if raw[:2] == b"\x1f\x8b":
+        return zlib.decompressobj(31)
+    if raw[:1] == b"\x78" and len(raw) > 2 and (raw[0] << 8 | raw[1]) % 31 == 0:
+        return zlib.decompressobj()
+    if raw[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if raw[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor()
     return None
 
 
-def _readable(raw: bytes) -> str:
-    """The text that ``raw`` spells, or an empty string if it is no text."""
-    try:
-        text = raw.decode("utf-8")
-    except UnicodeDecodeError:
-        return ""
-    return text if all(c.isprintable() or c in "\t\r\n" for c in text) else ""
+def _content(raw: bytes) -> Iterator[bytes | None]:
+    """What the members of a compressed stream hold, and what follows them; None where one can not be read on."""
+    while (member := _decompressor(raw)) is not None:
+        left = raw
+        try:
+            while not member.eof:
+                part = member.decompress(left, STEP)
+                left = getattr(member, "unconsumed_tail", b"")
+                if part:
+                    yield part
+                elif not left and not member.eof:
+                    yield None  # cut off
+                    return
+        except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
+            yield None
+            return
+        raw = member.unused_data
+    yield raw
 
 
 def find_secrets(text: Column | str) -> Column:

@@ -1,8 +1,10 @@
 """Operators of the subpackage against brute force, round trips and held-out accuracy, on small tables."""
 
 import base64
+import bz2
 import gzip
 import hashlib
+import lzma
 import random
 import zlib
 
@@ -473,6 +475,32 @@ def test_secrets_of_equal_tokens_at_every_place():
     assert secret_scan.secrets("&#abc;&#x1;") == []  # stays as it is, or spells nothing
 
 
+def _added(text):
+    return [(s["kind"], s["start"], s["end"]) for s in secret_scan.secrets(text) if not s["base"]]
+
+
+def test_secrets_layers_are_whole(monkeypatch):
+    for hit in ("password%3A hunter22x", "token&#61; abcdef123", "token: abc%64efgh"):
+        assert _added(f"so {hit}, and") == [("assign", 3, 3 + len(hit))]
+    plain = b"".join(b"%d," % i for i in range(40)) + b" password=hunter22x"
+    for raw in (plain, b"\x00\xff\x01" + plain + b"\xfe", zlib.compress(plain, 0) * 2, gzip.compress(b"x" * 90) + gzip.compress(plain)):
+        for width in (64, 76):
+            token = base64.b64encode(raw).decode()
+            for end in ("\n", "\r\n"):
+                lines = end.join(token[i : i + width] for i in range(0, len(token), width))
+                found = _added(f"-----BEGIN-----{end}{lines}{end}-----END-----")
+                assert "assign" in {k for k, _, _ in found}
+                assert all(15 <= a < b <= 15 + 2 * len(end) + len(lines) for _, a, b in found)
+    monkeypatch.setattr(secret_scan, "WINDOW", 1000)
+    monkeypatch.setattr(secret_scan, "HELD", 4000)
+    monkeypatch.setattr(secret_scan, "OVERLAP", 1000)
+    monkeypatch.setattr(secret_scan, "STEP", 100)
+    for before in ("é, line.\n" * 3000, "z" * 9001 + " ", "no end " * 3001):
+        for pack in (gzip.compress, zlib.compress, bz2.compress, lzma.compress):
+            token = base64.b64encode(pack((before + "password=hunter22x").encode())).decode()
+            assert _added(f"a {token} b") == [("assign", 2, 2 + len(token))]
+
+
 def test_secrets_decoding_ends():
     assert secret_scan.secrets("%2525252525252541" * 50) == []
     assert secret_scan.secrets("A" * 5000) == []
