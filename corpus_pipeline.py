@@ -41,10 +41,11 @@ def drop_benchmark_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids and costs of each text's four best segmentations, and whether decoding the best gives the text back."""
+    """Piece ids of each text and the costs of its four best segmentations; ids that do not decode to the text are an error."""
     prepare(spark)
     found = docs.select("doc_id", nbest.encode("text", pieces.load(), n=4, check=True).alias("e"))
-    return found.select("doc_id", F.size("e.ids").cast("long").alias("n_pieces"), "e.*")
+    ids = F.when(F.col("e.restored"), F.col("e.ids")).otherwise(F.raise_error(F.lit("ids do not decode to the text")))
+    return found.select("doc_id", F.size("e.ids").cast("long").alias("n_pieces"), ids.alias("ids"), "e.costs")
 
 
 STAGES = [

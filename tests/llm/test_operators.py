@@ -284,11 +284,12 @@ def test_pieces_columns_and_pipeline_stage(spark, odd):
     from eventide.llm.common import prepare
 
     prepare(spark)
-    name, stage = corpus_pipeline.STAGES[-1]
-    assert name == "SentencePiece encoding and decoding"
+    assert corpus_pipeline.STAGES[-1] == ("SentencePiece encoding and decoding", corpus_pipeline.encode)
+    plan = corpus_pipeline.encode(spark, odd, SF0001)._jdf.queryExecution().optimizedPlan().toString()
+    assert "restored" in plan and "raise_error" in plan
     vocabulary = pieces.load()
-    for r in stage(spark, odd.where("doc_id < 7"), SF0001).join(odd.select("doc_id", "text").distinct(), "doc_id").collect():
-        assert r["restored"] == (True if r["text"] is not None else r["restored"])
+    for r in odd.select("text", nbest.encode("text", vocabulary, check=True).alias("e")).select("text", "e.*").collect():
+        assert r["restored"]
         assert len(r["next_ids"]) == max(len(r["costs"]) - 1, 0)
         assert len({tuple(x) for x in [r["ids"] or [], *r["next_ids"]]}) == max(len(r["costs"]), 1)
         assert all(nbest.spell(np.array(x), vocabulary) == r["text"] for x in r["next_ids"])
