@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import tables
 from . import (
-    chat, decontaminate, exact_dedup, html_text, language_id, nbest, pieces, secret_scan, simhash, token_counts, toxicity,
+    chat, decontaminate, exact_dedup, html_text, language_id, licenses, nbest, periodic, pieces, secret_scan, simhash,
+    token_counts, toxicity, variants,
 )
 from .common import held_out, prepare
 
@@ -94,6 +95,76 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(docs, read_table(spark, sf_dir, "benchmark"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrases by their exact places, and the notices whose blocks hold four fifths of their words."""
+    found = licenses.scan(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", F.col("n_places").alias("n_base"), "first_word", "last_word",
+        F.array_join("place_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score",
+    )
+
+
+def crc32_of(value: Column) -> Column:
+    """Unsigned CRC-32 of a string's UTF-8 bytes."""
+    return F.crc32(value.cast("binary"))
+
+
+def with_planted_tails(text: Column, doc_id: Column) -> Column:
+    """By a fixed rule on the id, the words of a tenth of the texts repeat from a place on."""
+    words = F.array_remove(F.split(text, periodic.WHITE_SPACE), "")
+    h = crc32_of(doc_id.cast("string"))
+    g = F.floor(h / 10).cast("long")
+
+    def planted(w: Column) -> Column:
+        n = F.size(w)
+        a = F.pmod(g, n)
+        p = 1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))
+        return F.array_join(F.transform(w, lambda x, i: F.when(i < a, x).otherwise(
+            F.element_at(w, (a + F.pmod(i - a, p) + 1).cast("int"))
+        )), " ")
+
+    whole = F.element_at(F.transform(F.array(words), lambda w: F.when(F.size(w) > 0, planted(w))), 1)
+    return F.when(F.pmod(h, F.lit(10)) == 0, F.coalesce(whole, text)).otherwise(text)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The explode keeps the texts' higher-order functions out of the Python function's argument.
+    docs = read_table(spark, sf_dir, "documents").select(
+        "doc_id", F.explode(F.array(with_planted_tails(F.col("text"), F.col("doc_id")))).alias("text")
+    )
+    found = docs.select("doc_id", periodic.periodic_runs("text").alias("r"))
+    runs = F.arrays_zip("r.starts", "r.lengths", "r.periods")
+    spelled = F.transform(runs, lambda r: F.concat_ws(",", r["starts"], r["lengths"], r["periods"]))
+    ended = F.transform(spelled, lambda line: F.concat(line, F.lit("\n")))
+    pick = lambda values: F.get(values, F.col("r.strongest").cast("int"))
+    found = found.select(
+        "doc_id", F.size("r.starts").cast("long").alias("n_runs"), pick(F.col("r.starts")).alias("start"),
+        pick(F.col("r.lengths")).alias("length"), pick(F.col("r.periods")).alias("period"),
+        F.sha2(F.array_join(ended, ""), 256).alias("runs_sha256"), F.sha2("r.collapsed", 256).alias("collapsed_sha256"),
+    )
+    milli = F.floor(F.col("length") * 1000 / F.col("period")).cast("long")
+    return found.select(
+        "doc_id", "n_runs", "start", "length", "period", milli.alias("exponent_milli"), "runs_sha256", "collapsed_sha256"
+    )
+
+
+def with_planted_slips(docs: DataFrame) -> DataFrame:
+    """``word``: every letter run of the texts; by a fixed rule on id and run, one in 97 loses a code point."""
+    runs = docs.select(
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"),
+        F.explode(variants.letter_runs(F.col("text"))).alias("run"),
+    ).where(F.length("run") > 0)
+    h = crc32_of(F.concat("_id", F.lit(":"), "run"))
+    at = F.pmod(h, F.length("run")).cast("int")
+    shorter = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.length("run")))
+    return runs.select(F.when(F.pmod(h, F.lit(97)) == 0, shorter).otherwise(F.col("run")).alias("word"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = with_planted_slips(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return variants.group_variants(variants.frequent_words(words, least_chars=5, least_count=3))
+
+
 REGISTRY = {
     "op1_language_id": op1_language_id,
     "op2_chat_format": op2_chat_format,
@@ -105,4 +176,7 @@ REGISTRY = {
     "op8_secret_scan": op8_secret_scan,
     "op9_html_text": op9_html_text,
     "op10_decontaminate": op10_decontaminate,
+    "op11_license_scan": op11_license_scan,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_spelling_variants": op13_spelling_variants,
 }
