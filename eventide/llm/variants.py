@@ -51,6 +51,16 @@ def frequent_words(words: DataFrame, word: str = "word", least_chars: int = 5, l
     return long_enough.groupBy(F.col(word).alias("word")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_count)
 
 
+def _parities(word: Column) -> Column:
+    """For each code point, hashed to one of 64 bits, whether the word holds it an odd number of times.
+
+    An inserted or deleted code point turns one bit, a replaced one two or none,
+    so near words differ in two bits at most; most other candidates do not.
+    """
+    bits = F.transform(F.split(word, ""), lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.ascii(c), F.lit(64))))
+    return F.aggregate(bits, F.lit(0).cast("long"), lambda a, b: a.bitwiseXOR(b))
+
+
 def _chunks(counts: DataFrame) -> DataFrame:
     """Both halves of each word, for partners as long as the word and one longer."""
     size, half = F.length("word"), F.floor(F.length("word") / 2).cast("int")
@@ -59,7 +69,7 @@ def _chunks(counts: DataFrame) -> DataFrame:
     )
     first, second = F.substring("word", F.lit(1), half), F.substring("word", half + 1, size)
     keys = F.array(*[key(part, shift, text) for shift in (0, 1) for part, text in ((0, first), (1, second))])
-    return counts.select("word", "n", F.explode(keys).alias("key"))
+    return counts.select("word", "n", "bits", F.explode(keys).alias("key"))
 
 
 def _grams(counts: DataFrame) -> DataFrame:
@@ -70,25 +80,30 @@ def _grams(counts: DataFrame) -> DataFrame:
         half = F.floor(size / 2).cast("int")
         for part, text in ((0, F.substring("word", F.lit(1), half)), (1, F.substring("word", half + 1 + shift, size))):
             keys.append(F.struct(size.alias("size"), F.lit(part).alias("part"), F.lit(shift).alias("shift"), text.alias("text")))
-    return counts.select(F.col("word").alias("other"), F.col("n").alias("other_n"), F.explode(F.array(*keys)).alias("key"))
+    return counts.select(
+        F.col("word").alias("other"), F.col("n").alias("other_n"), F.col("bits").alias("other_bits"),
+        F.explode(F.array(*keys)).alias("key"),
+    )
 
 
 def near_pairs(counts: DataFrame, part_grams: int = PART_GRAMS) -> DataFrame:
     """``word, n, other, other_n``: each pair of near words once, from a table of distinct ``word, n``."""
+    counts = cut_lineage(counts.select("word", "n", _parities(F.col("word")).alias("bits")))
     chunks, grams = _chunks(counts), _grams(counts)
     hot = grams.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > part_grams).select(
         "key", F.ceil(F.col("_n") / part_grams).cast("int").alias("_parts")
     )
     parts = F.coalesce("_parts", F.lit(1))
     chunks = chunks.join(hot, "key", "left").select(
-        "key", "word", "n", F.explode(F.sequence(F.lit(0), parts - 1)).alias("_part")
+        "key", "word", "n", "bits", F.explode(F.sequence(F.lit(0), parts - 1)).alias("_part")
     )
     grams = grams.join(hot, "key", "left").select(
-        "key", "other", "other_n", F.pmod(F.xxhash64("other"), parts).cast("int").alias("_part")
+        "key", "other", "other_n", "other_bits", F.pmod(F.xxhash64("other"), parts).cast("int").alias("_part")
     )
     half = F.floor(F.length("word") / 2).cast("int")
     met_before = (F.col("key.part") == 1) & (F.substring("word", F.lit(1), half) == F.substring("other", F.lit(1), half))
-    met = chunks.join(grams, ["key", "_part"]).where((F.col("key.shift") == 1) | (F.col("word") < F.col("other")))
+    alike = F.bit_count(F.col("bits").bitwiseXOR(F.col("other_bits"))) <= 2
+    met = chunks.join(grams, ["key", "_part"]).where(alike & ((F.col("key.shift") == 1) | (F.col("word") < F.col("other"))))
     return met.where(~met_before & (F.levenshtein("word", "other", 1) == 1)).select("word", "n", "other", "other_n")
 
 
