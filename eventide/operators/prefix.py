@@ -5,6 +5,9 @@ key to one task; for a key holding a large share of the data, or for an
 un-keyed running value, that is a single-task bottleneck.  Here the order axis
 is cut into buckets: the window runs per (key, bucket) and each bucket gets a
 carry-in computed from a small per-bucket table (one row per key and bucket).
+An un-keyed running value has one such row per bucket of the whole history, so
+its table is scanned the same way once more: buckets within spans of
+``SPAN_BUCKETS`` (a day of minutes), then spans.
 """
 
 from __future__ import annotations
@@ -14,6 +17,9 @@ from pyspark.sql import functions as F
 
 _AGGS = {"sum": F.sum, "max": F.max, "min": F.min}
 
+#: Buckets that one span of the upper level holds.
+SPAN_BUCKETS = 1440
+
 
 def _combine(kind: str, carry: Column, inner: Column) -> Column:
     if kind == "sum":
@@ -28,6 +34,30 @@ def key_struct(keys: list[str]) -> Column:
     return F.struct(*[F.col(k) for k in keys])
 
 
+def _carry_in(per_bucket: DataFrame, kcols: list[str], bucket: str, kind: str, spans: bool) -> DataFrame:
+    """Per (key, bucket), ``kind`` over ``_bucket_val`` of the key's earlier buckets as ``_carry``.
+
+    With ``spans`` the buckets are scanned within spans and the spans' totals
+    carried in, so a task orders one span's buckets, or one row per span.
+    """
+    agg = _AGGS[kind]
+
+    def earlier(value: str, by: list[str], order: str) -> Column:
+        window = Window.partitionBy(*by).orderBy(order)
+        return agg(value).over(window.rowsBetween(Window.unboundedPreceding, -1))
+
+    if not spans:
+        return per_bucket.select(*kcols, bucket, earlier("_bucket_val", kcols, bucket).alias("_carry"))
+    by_span = [*kcols, "_span"]
+    in_spans = per_bucket.select(
+        *kcols, bucket, "_bucket_val", F.floor(F.col(bucket) / F.lit(SPAN_BUCKETS)).alias("_span")
+    ).repartition(*by_span)
+    totals = in_spans.groupBy(*by_span).agg(agg("_bucket_val").alias("_span_val"))
+    before = totals.select(*by_span, earlier("_span_val", kcols, "_span").alias("_span_carry"))
+    carry = _combine(kind, F.col("_span_carry"), earlier("_bucket_val", by_span, bucket))
+    return in_spans.join(before.hint("shuffle_hash"), by_span).select(*kcols, bucket, carry.alias("_carry"))
+
+
 def _bucketed(df: DataFrame, keys: list[str], bucket: str) -> tuple[DataFrame, str]:
     """``df`` with its key struct and a bucket that is never null (rows without one get the lowest)."""
     src = df.withColumn("_pbucket", F.coalesce(F.col(bucket), F.lit(-(1 << 63))))
@@ -43,6 +73,7 @@ def bucketed_running(
     out: str,
     kind: str = "sum",
     inclusive: bool = True,
+    spans: bool | None = None,
 ) -> DataFrame:
     """Add ``out`` = running ``kind`` of ``value`` over ``order`` within ``keys``.
 
@@ -52,6 +83,7 @@ def bucketed_running(
     row-level window reuses that partitioning; the small per-bucket table is
     aggregated from the input with a map-side combine (a narrow second read,
     not a second shuffle of the rows), windowed per key, and hash-joined.
+    ``spans`` adds a level to that table (default: only without keys).
     """
     agg = _AGGS[kind]
     kcols = ["_pkey"] if keys else []
@@ -60,14 +92,7 @@ def bucketed_running(
     # combine, only the needed columns), not from the repartitioned rows.
     per_bucket = src.groupBy(*kcols, bucket).agg(agg(value).alias("_bucket_val"))
     src = src.repartition(*kcols, bucket)
-    w_keys = Window.partitionBy(*kcols).orderBy(bucket)
-    carry = per_bucket.select(
-        *kcols,
-        bucket,
-        agg("_bucket_val")
-        .over(w_keys.rowsBetween(Window.unboundedPreceding, -1))
-        .alias("_carry"),
-    )
+    carry = _carry_in(per_bucket, kcols, bucket, kind, not keys if spans is None else spans)
     # Hash the small per-bucket table per partition of ``src``; never broadcast ``src``.
     joined = src.join(carry.hint("shuffle_hash"), [*kcols, bucket], "inner")
     frame_end = 0 if inclusive else -1

@@ -12,12 +12,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import contains, equals, exclude_static_assets, not_equals, split_words
 from ..functions.time import duration_ms, format_bound
-from ..operators import aggregates, gate, late, rank, rising, routing, sequence, windows
+from ..operators import aggregates, gate, late, rank, rising, routing, runs, sequence, windows
 from ..sources import connectors, tables, text
 
 HOUR = "1 hour"
@@ -88,6 +88,14 @@ def hot_urls_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank.ranked_report(_ranked_urls(spark, sf_dir), "window_end", "url", "cnt", labels=rank.URL_LABELS)
 
 
+def hot_urls_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """hot_urls without loss in run form: stretches of window ends in which a url holds a rank with one count."""
+    size, slide = duration_ms("10 minutes"), duration_ms("5 seconds")
+    counts = windows.deltas_to_runs(hot_url_deltas(spark, sf_dir), ["url"], size, slide, bucket=HOUR)
+    ranked = runs.top_n_runs(counts, "url", 5)
+    return ranked.select(*_run_bounds(slide), "rnk", "url", "cnt")
+
+
 # ------------------------------------------------------------------ visitors
 
 
@@ -108,6 +116,13 @@ def unique_visitors_running(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def unique_visitors_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 -> P3 -> W2 1h/5s -> A5: exact distinct users per sliding window."""
+    size, slide = duration_ms(HOUR), duration_ms("5 seconds")
+    deltas = runs.distinct_deltas(_views(spark, sf_dir), [], "user_id", "ts_ms", size, slide)
+    return windows.deltas_to_counts(deltas, [], size, slide, out="uv")
+
+
 # ------------------------------------------------------------------ marketing / ads
 
 
@@ -143,22 +158,19 @@ def marketing_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P4 -> W2 1h/1s -> A3 without loss in run form: each (channel, behaviour)'s
     stretches of consecutive window ends with one count, as first and last end.
 
-    Runs are cut at bucket borders inside the operator; here stretches that
-    meet with equal counts are joined again.
+    Runs are cut at bucket borders inside the operator; stretches that meet
+    with equal counts are joined again, within buckets first.
     """
     size, slide = duration_ms("1 hour"), duration_ms("1 second")
     keys = ["channel", "behavior"]
     deltas = windows.window_deltas(_marketing(spark, sf_dir), keys, "ts_ms", size, slide)
-    runs = windows.deltas_to_runs(deltas, keys, size, slide)
-    order = Window.partitionBy(*keys).orderBy("start")
-    opens = F.coalesce(
-        (F.lag("stop").over(order) != F.col("start")) | (F.lag("cnt").over(order) != F.col("cnt")), F.lit(True)
-    )
-    marked = runs.select(*keys, "start", "stop", "cnt", opens.cast("int").alias("_opens"))
-    numbered = marked.withColumn("_run", F.sum("_opens").over(order))
-    return numbered.groupBy(*keys, "_run", "cnt").agg(
-        F.min("start").alias("first_end"), (F.max("stop") - F.lit(slide)).alias("last_end")
-    ).select("first_end", "last_end", *keys, "cnt")
+    merged = runs.merge_runs(windows.deltas_to_runs(deltas, keys, size, slide), keys, ["cnt"])
+    return merged.select(*_run_bounds(slide), *keys, "cnt")
+
+
+def _run_bounds(slide_ms: int) -> list[Column]:
+    """First and last window end of a stretch ``[start, stop)``."""
+    return [F.col("start").alias("first_end"), (F.col("stop") - F.lit(slide_ms)).alias("last_end")]
 
 
 def marketing_total(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -282,6 +294,19 @@ def sensor_minmax(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.min_max(_sensors(spark, sf_dir), ["id"], "ts", "temperature", SENSOR_WINDOW)
 
 
+STATIONS = 16  # sensors of one station; a single sensor reads once in hours
+
+
+def station_minmax_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A8 on W2 1h/1s in run form: stretches of window ends with one min and max temperature per station."""
+    size, slide = duration_ms(HOUR), duration_ms("1 second")
+    ev = tables.events(spark, sf_dir)
+    readings = ev.select((F.col("user_id") % STATIONS).alias("station"), "ts_ms", F.col("value").alias("temperature"))
+    extremes = runs.extreme_runs(readings, ["station"], "ts_ms", "temperature", size, slide)
+    values = ["min_temperature", "max_temperature"]
+    return runs.merge_runs(extremes, ["station"], values).select("station", *_run_bounds(slide), *values)
+
+
 def sensor_early(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running min/max at every pane of each sensor window, last one final."""
     return late.early_results(
@@ -522,4 +547,7 @@ REGISTRY = {
     "ad_limited_per_ad": ad_limited_per_ad,
     "ad_blacklist_per_ad": ad_blacklist_per_ad,
     "cool_alarm": cool_alarm,
+    "hot_urls_runs": hot_urls_runs,
+    "unique_visitors_sliding": unique_visitors_sliding,
+    "station_minmax_runs": station_minmax_runs,
 }

@@ -351,6 +351,32 @@ COOL_ALARM = _with(EV, SENSORS) + """
 SELECT id, ts_ms, seq, '温度小于32度' AS msg FROM sensors WHERE temperature < 100.0
 """
 
+def islands(rows: str, by: str, slide_ms: int, keep: str) -> str:
+    """Stretches of window ends with equal ``by`` columns, by gaps and islands over every window end."""
+    return f"""
+, islands AS (
+  SELECT *, window_end - {slide_ms} * row_number() OVER (PARTITION BY {by} ORDER BY window_end) AS island FROM {rows})
+SELECT min(window_end) AS first_end, max(window_end) AS last_end, {keep} FROM islands GROUP BY {by}, island
+"""
+
+
+HOT_URLS_RUNS = _with(EV, HOT_URL_COUNTS) + """
+, top AS (SELECT * FROM ranked WHERE rnk <= 5)""" + islands("top", "rnk, url, cnt", 5_000, "rnk, url, cnt")
+
+UNIQUE_VISITORS_SLIDING = _with(EV) + f"""
+SELECT window_end, count(DISTINCT user_id) AS uv
+FROM (SELECT user_id, unnest({sliding_ends('ts_ms', 3_600_000, 5_000)}) AS window_end FROM ev WHERE event_type = 'view')
+GROUP BY window_end
+"""
+
+STATION_MINMAX_RUNS = _with(EV) + f"""
+, seen AS (
+  SELECT station, window_end, min(value) AS min_temperature, max(value) AS max_temperature
+  FROM (SELECT user_id % 16 AS station, value, unnest({sliding_ends('ts_ms', 3_600_000, 1_000)}) AS window_end FROM ev)
+  GROUP BY station, window_end)""" + islands(
+    "seen", "station, min_temperature, max_temperature", 1_000, "station, min_temperature, max_temperature"
+)
+
 # A result of 22.9 M rows at sf0.01; tests compare it with whole-table
 # fingerprints, and row by row in the run form (``marketing_runs``).
 FINGERPRINT_ONLY = {"marketing_by_channel": MARKETING_BY_CHANNEL}
@@ -391,4 +417,7 @@ def oracle_sql() -> dict[str, str]:
         "ad_limited_per_ad": AD_LIMITED_PER_AD,
         "ad_blacklist_per_ad": AD_BLACKLIST_PER_AD,
         "cool_alarm": COOL_ALARM,
+        "hot_urls_runs": HOT_URLS_RUNS,
+        "unique_visitors_sliding": UNIQUE_VISITORS_SLIDING,
+        "station_minmax_runs": STATION_MINMAX_RUNS,
     }
