@@ -219,5 +219,5 @@ def top_n_runs(
         F.slice("_points", first, last - first).alias("start"), F.slice("_points", first + 1, last - first).alias("stop")
     )
     pieces = met.select(key, score, "_b", F.explode(cut).alias("_c")).select(key, score, "_b", "_c.*")
-    ranked = top_n(pieces, ["_b", "start", "stop"], score, key, n, rank_col)
+    ranked = top_n(pieces, ["start"], score, key, n, rank_col)  # intervals of a bucket share no start
     return merge_runs(ranked, [rank_col], [key, score]).select(rank_col, "start", "stop", key, score)
