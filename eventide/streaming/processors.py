@@ -22,6 +22,7 @@ from ..functions.time import duration_ms, floor_to, to_ms, watermark_delay
 from ..operators.rising import ALERT_PREFIX, ALERT_SUFFIX
 from ..operators.routing import CLICK_WARNING, DAY_MS
 from ..session import ship_package
+from .gate import gate_join
 
 
 def _chunks(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -384,13 +385,26 @@ class GateProcessor(StatefulProcessor):
 
     Rows wait until the watermark passes them, so controls and readings are
     folded in time order (controls first on ties) whatever order they arrive in.
+    A key has one timer, at its earliest waiting row; when it fires, all rows up to
+    the watermark are folded, so the waiting rows are read once per micro-batch.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.until = handle.getValueState("until", "until bigint")
+        self.due = handle.getValueState("due", "due bigint")
         self.waiting = handle.getListState("waiting", "t bigint, kind int, open_to bigint, row string")
 
+    def _wake_at(self, t: int) -> None:
+        """One timer, at the earliest time asked for."""
+        if self.due.exists():
+            due = int(self.due.get()[0])
+            if due <= t:
+                return
+            self.handle.deleteTimer(due)
+        self.handle.registerTimer(t)
+        self.due.update((t,))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         for chunk in _chunks(rows):
             values = [
@@ -398,28 +412,31 @@ class GateProcessor(StatefulProcessor):
                 for t, k, e, r in chunk[["gate_t", "gate_kind", "gate_open_to", "gate_row"]].itertuples(index=False)
             ]
             self.waiting.appendList(values)
-            for t in {v[0] for v in values}:
-                self.handle.registerTimer(t)
+            self._wake_at(min(v[0] for v in values))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
+        self.due.clear()
+        now = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
         until = int(self.until.get()[0]) if self.until.exists() else -(1 << 62)
         held = [tuple(v) for v in self.waiting.get()] if self.waiting.exists() else []
-        passed = []
-        for t, kind, open_to, row in sorted(v for v in held if v[0] <= now):
-            if kind == 0:
+        passed, rest = [], []
+        for v in sorted(held):
+            t, kind, open_to, row = v
+            if t > now:
+                rest.append(v)
+            elif kind == 0:
                 until = max(until, open_to)
             elif t < until:
                 passed.append(row)
-        rest = [v for v in held if v[0] > now]
         if rest:
             self.waiting.put(rest)
+            self._wake_at(rest[0][0])
         elif held:
             self.waiting.clear()
         if until > now:
             self.until.update((until,))
-            self.handle.registerTimer(until)
+            self._wake_at(until)
         elif self.until.exists():
             self.until.clear()
         if passed:
@@ -429,16 +446,27 @@ class GateProcessor(StatefulProcessor):
         pass
 
 
+#: Times in the waiting rows' JSON keep their microseconds.
+EXACT_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def gate_stream(
     readings: DataFrame, controls: DataFrame, key: str, ts: str, control_key: str, control_ts: str,
-    duration_ms_col: str, delay="0 seconds",
+    duration_ms_col: str, delay="0 seconds", max_duration=None,
 ) -> DataFrame:
-    """J1 stream: readings whose key is open at their time, whatever the controls' durations."""
+    """J1 stream: readings whose key is open at their time.
+
+    With ``max_duration``, which bounds the controls' durations, this is Spark's
+    interval join (``gate.gate_join``).  Without it a stateful processor folds both
+    inputs, whatever the controls' durations.
+    """
+    if max_duration is not None:
+        return gate_join(readings, controls, key, ts, control_key, control_ts, duration_ms_col, max_duration, delay)
     ship_package(readings.sparkSession)
     schema = readings.schema
     r = readings.select(
         F.col(key).alias("gate_key"), F.col(ts).alias("gate_ts"), to_ms(F.col(ts)).alias("gate_t"), F.lit(1).alias("gate_kind"),
-        F.lit(None).cast("bigint").alias("gate_open_to"), F.to_json(F.struct(*readings.columns)).alias("gate_row"),
+        F.lit(None).cast("bigint").alias("gate_open_to"), F.to_json(F.struct(*readings.columns), EXACT_TIMES).alias("gate_row"),
     )
     c = controls.select(
         F.col(control_key).alias("gate_key"), F.col(control_ts).alias("gate_ts"), to_ms(F.col(control_ts)).alias("gate_t"),
@@ -449,7 +477,7 @@ def gate_stream(
     passed = both.groupBy("gate_key").transformWithStateInPandas(
         statefulProcessor=GateProcessor(), outputStructType="gate_row string", outputMode="Append", timeMode="EventTime",
     )
-    return passed.select(F.from_json("gate_row", schema).alias("r")).select("r.*")
+    return passed.select(F.from_json("gate_row", schema, EXACT_TIMES).alias("r")).select("r.*")
 
 
 # ------------------------------------------------------------------ L5

@@ -6,6 +6,7 @@ watermark past every real window.
 """
 
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -116,7 +117,69 @@ def test_gate_stream_equals_batch_with_long_openings(spark, source, scratch):
     assert sorted(r[0] for r in got.select("event_id").collect()) == ids and len(ids) > 300
 
 
-def _feed(spark, scratch, name, rows, schema, cuts):
+@pytest.mark.parametrize("max_duration", [None, "3 days"])
+def test_gate_stream_keeps_microseconds_and_overlaps(spark, scratch, max_duration):
+    """Overlapping controls, rows out of order within the delay, and times with microseconds."""
+    rng = random.Random(4)
+    base, rows = 1_600_000_000_000_000, []
+    for i in range(240):
+        at = base + i * 500_000_000 + rng.randrange(900_000_000)
+        kind = rng.choice(["c", "r", "r"])
+        rows.append((i, rng.choice(["a", "b"]), kind, at, rng.choice([1, 2_000_000, 7_000_000]) if kind == "c" else None))
+    rows.append((999, "z", "r", base + 10**13, None))  # moves the watermark past every row
+    rows.append((998, "z", "c", base + 10**13, 1))
+    schema = "n long, k string, kind string, us long, dur long"
+    cuts = [0, 80, 160, 240, 241, 242]
+    s = _feed(spark, scratch, f"us{max_duration}".replace(" ", ""), rows, schema, cuts, ts=F.timestamp_micros("us"))
+    ctl = s.where("kind = 'c'").select(F.col("k").alias("ck"), F.col("ts").alias("cts"), "dur")
+    rd = s.where("kind = 'r'").select("n", "k", "ts", "us")
+    name = "gate_us_" + ("join" if max_duration else "fold")
+    got = _run(processors.gate_stream(rd, ctl, "k", "ts", "ck", "cts", "dur", "1 hour", max_duration), name, scratch).collect()
+    want = set()
+    for n, k, kind, us, _ in rows:
+        opened = [r for r in rows if r[2] == "c" and r[1] == k]
+        if kind == "r" and any(c[3] <= us < c[3] + c[4] * 1000 for c in opened):
+            want.add(n)
+    near = {n for n, k, kind, us, _ in rows if any(c[1] == k and abs(c[3] - us) < 1000 for c in rows if c[2] == "c")}
+    assert {r["n"] for r in got} - near == want - near and len(got) == len({r["n"] for r in got}) > 60
+    by_n = {r[0]: r[3] for r in rows}
+    assert all(r["us"] == by_n[r["n"]] for r in got)
+    stamped = spark.createDataFrame([(r["n"], r["ts"]) for r in got], "n long, ts timestamp").select("n", F.unix_micros("ts"))
+    assert all(us == by_n[n] for n, us in stamped.collect())
+
+
+def test_gate_join_equals_batch_and_drops_state(spark, source, scratch):
+    s = _stream(spark, source)
+    ctl = s.where("event_type in ('signup', 'sentinel')").select(
+        F.col("user_id").alias("cid"), F.col("ts").alias("cts"), F.lit(86_400_000).cast("bigint").alias("dur"))
+    rd = s.where("event_type != 'signup'").select(F.col("user_id").alias("id"), "ts", "event_id")
+    df = processors.gate_stream(rd, ctl, "id", "ts", "cid", "cts", "dur", max_duration="1 day")
+    q = (df.writeStream.format("memory").queryName("gate_join").outputMode("append")
+         .option("checkpointLocation", os.path.join(scratch, "gate_join")).start())
+    q.processAllAvailable()
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
+    q.stop()
+    assert max(held) > 100 and held[-1] < 10  # all state of the real rows is gone once the watermark has passed them
+    b = source["batch"]
+    bctl = b.where("event_type = 'signup'").select(
+        F.col("user_id").alias("cid"), F.col("ts_ms").alias("cts"), F.lit(86_400_000).cast("bigint").alias("dur"))
+    brd = b.where("event_type != 'signup'").select(F.col("user_id").alias("id"), "ts_ms", "event_id")
+    want = gate.timed_gate(brd, bctl, "id", "ts_ms", "cid", "cts", "dur", seq="event_id")
+    got = sorted(r["event_id"] for r in spark.table("gate_join").where("id >= 0").collect())
+    assert got == sorted(r["event_id"] for r in want.collect()) and len(got) > 50
+
+
+def test_gate_join_refuses_longer_openings(spark, scratch):
+    schema = "k string, ts_ms long, dur long"
+    s = _feed(spark, scratch, "toolong", [("a", 1_000, 5_000)], schema, [0, 1])
+    joined = processors.gate_stream(
+        s.select("k", "ts"), s.select(F.col("k").alias("ck"), F.col("ts").alias("cts"), "dur"),
+        "k", "ts", "ck", "cts", "dur", max_duration=4_000)
+    with pytest.raises(Exception, match="opens for more than"):
+        _run(joined, "toolong", scratch)
+
+
+def _feed(spark, scratch, name, rows, schema, cuts, ts=None):
     """A stream over ``rows`` with one micro-batch per cut."""
     root = os.path.join(scratch, name)
     for i, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
@@ -128,7 +191,7 @@ def _feed(spark, scratch, name, rows, schema, cuts):
             if f.endswith(".parquet"):
                 os.link(os.path.join(root, f"p{i}", f), os.path.join(flat, f"{i:03d}-{f}"))
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(flat)
-    return stream.withColumn("ts", F.timestamp_millis("ts_ms"))
+    return stream.withColumn("ts", F.timestamp_millis("ts_ms") if ts is None else ts)
 
 
 def test_limiter_stream_with_late_rows_across_midnight(spark, scratch):
