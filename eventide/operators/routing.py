@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 DAY_MS = 86_400_000
@@ -65,3 +65,43 @@ def limiter_outputs(routed: DataFrame, keys: list[str], max_count: int, route: s
         F.lit(CLICK_WARNING.format(n=max_count)).alias("msg"),
     )
     return main, side
+
+
+def limiter_counts(df: DataFrame, keys: list[str], ts_ms: str, max_count: int, inclusive_quirk: bool = True) -> DataFrame:
+    """``route, n``: how many clicks the limiter passes, warns of and drops, from one scan.
+
+    Only the number of a key's clicks in a day matters, so rows are counted with a
+    map-side combine and never ranked.
+    """
+    passing = max_count + 1 if inclusive_quirk else max_count
+    day = F.floor(F.col(ts_ms) / F.lit(DAY_MS)).cast("bigint")
+    per_day = df.groupBy(*keys, day.alias("_day")).agg(F.count(F.lit(1)).alias("_n"))
+    passed, over = F.least("_n", F.lit(passing)), F.greatest(F.col("_n") - F.lit(passing), F.lit(0))
+    warned = F.least(over, F.lit(1))
+    total = per_day.agg(*[
+        F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias(name)
+        for name, n in (("pass", passed), ("warn", warned), ("drop", over - warned))
+    ])
+    return total.unpivot([], ["pass", "warn", "drop"], "route", "n")
+
+
+def write_routes(
+    routed: DataFrame, folder: str, routes: list[str], route: str = "route"
+) -> tuple[dict[str, DataFrame], dict[str, int]]:
+    """T2 in one pass: every route's rows written by one job, partitioned by route, and counted on the way.
+
+    Returns each route's rows, read back from its part of ``folder``, and their
+    numbers.  The counts come with the write (``observe``), so no output is
+    computed or read a second time for them.  Rows of a route that is not in
+    ``routes`` are an error.
+    """
+    known = F.when(F.col(route).isin(routes), F.col(route)).otherwise(
+        F.raise_error(F.concat(F.lit("unknown route: "), F.coalesce(F.col(route), F.lit("null"))))
+    )
+    checked = routed.withColumn(route, known)
+    counted = Observation()
+    each = [F.count(F.when(F.col(route) == r, True)).alias(r) for r in routes]
+    checked.observe(counted, *each).write.mode("overwrite").partitionBy(route).parquet(folder)
+    spark = routed.sparkSession
+    written = spark.read.schema(routed.schema).parquet(folder)
+    return {r: written.where(F.col(route) == r).drop(route) for r in routes}, dict(counted.get)

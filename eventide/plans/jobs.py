@@ -10,13 +10,11 @@ reference's own sizes.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import contains, equals, exclude_static_assets, not_equals, split_words
-from ..functions.time import duration_ms, format_bound
+from ..functions.text import equals, exclude_static_assets, is_static_asset, not_equals, split_words
+from ..functions.time import duration_ms, floor_to, format_bound
 from ..operators import aggregates, gate, late, rank, rising, routing, runs, sequence, windows
 from ..sources import connectors, tables, text
 
@@ -253,6 +251,11 @@ def ad_blacklist_per_ad(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _limited_per_ad(spark, sf_dir)[1]
 
 
+def ad_route_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 -> T1: how many clicks the limiter passes, warns of and drops, from one scan."""
+    return routing.limiter_counts(_clicks(spark, sf_dir), LIMIT_KEYS, "ts_ms", LIMIT_MAX)
+
+
 # ------------------------------------------------------------------ sequences, sensors
 
 SEQUENCE_SPAN = "3 days"  # reference: 10 seconds, on data ~10^4 times denser
@@ -400,7 +403,8 @@ def late_revision(spark: SparkSession, sf_dir: str) -> DataFrame:
 def action_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S6 -> S1: every event encoded as a ``user,item,category,behavior,seconds``
     message and parsed back by the delimited-line parser."""
-    parsed, _ = text.user_actions(connectors.user_action_messages(_actions(spark, sf_dir))[0])
+    sent = connectors.with_messages(_actions(spark, sf_dir)).where("_sendable")
+    parsed, _ = text.user_actions(sent)
     return parsed.select("user_id", "item_id", "category_id", "behavior", "ts_s", "ts_ms")
 
 
@@ -431,15 +435,29 @@ def action_line_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("item_id") % 6).cast("string").alias("category_id"), behavior.alias("behavior"),
         F.floor(F.col("ts_ms") / 1000).cast("bigint").alias("ts_s"),
     )
-    sent, unsent = connectors.user_action_messages(actions)
-    good, bad = text.user_actions(sent)
-    return _counted(sent=sent, unsent=unsent, accepted=good, rejected=bad)
-
-
-def _counted(**outputs: DataFrame) -> DataFrame:
-    """``output, n``: the number of rows of each named DataFrame."""
-    each = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("output"), "n") for name, df in outputs.items()]
-    return reduce(DataFrame.unionByName, each)
+    encoded = connectors.with_messages(actions)
+    # A row that is not sent has no line.
+    lines = encoded.select(F.when(F.col("_sendable"), F.col("value")).alias("value"))
+    seen = F.col("_raw").isNotNull()
+    outputs = {"sent": seen, "unsent": ~seen, "accepted": seen & F.col("_valid"), "rejected": seen & ~F.col("_valid")}
+    total = text.parsed_user_actions(lines).agg(*[F.count(F.when(test, True)).alias(name) for name, test in outputs.items()])
+    return total.unpivot([], list(outputs), "output", "n")
+
+
+def _counts_with_rejects(parsed: DataFrame, key: str, size, counted: Column | None = None) -> DataFrame:
+    """``key, window_end, cnt`` of the good lines that are ``counted``, and of the bad ones as ``rejected``: one scan, one parse."""
+    size_ms = duration_ms(size)
+    counted = F.lit(True) if counted is None else counted
+    rejects = parsed.sparkSession.range(1).select(
+        F.lit("rejected").alias(key), F.lit(0).cast("bigint").alias("window_end"), F.lit(0).cast("bigint").alias("_one")
+    )
+    good = F.col("_valid")
+    label = F.when(~good, F.lit("rejected")).when(counted, F.col(key))
+    end = F.when(good, floor_to(F.col("ts_ms"), size_ms) + F.lit(size_ms)).otherwise(F.lit(0))
+    rows = parsed.where(~good | counted).select(
+        label.alias(key), end.cast("bigint").alias("window_end"), F.lit(1).cast("bigint").alias("_one")
+    )
+    return rows.unionByName(rejects).groupBy(key, "window_end").agg(F.sum("_one").alias("cnt"))
 
 
 def _ad_click_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -456,12 +474,7 @@ def _ad_click_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ad_click_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S2 -> W1: clicks per province and hour, parsed from text lines; lines that do not parse under 'rejected'."""
-    good, bad = text.ad_clicks(_ad_click_texts(spark, sf_dir))
-    clicks = windows.tumbling_count(good, ["province"], "ts", HOUR).select("province", "window_end", "cnt")
-    rejects = bad.agg(F.count(F.lit(1)).alias("cnt")).select(
-        F.lit("rejected").alias("province"), F.lit(0).cast("bigint").alias("window_end"), "cnt"
-    )
-    return clicks.unionByName(rejects)
+    return _counts_with_rejects(text.parsed_ad_clicks(_ad_click_texts(spark, sf_dir)), "province", HOUR)
 
 
 def access_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -484,13 +497,8 @@ def access_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_id") % 17 == 0, F.lit("unknown")).otherwise(F.date_format("ts", "dd/MM/yyyy:HH:mm:ss")),
         F.lit("+0000"), F.lit("GET"), F.concat(folder, F.col("item_id").cast("string"), suffix),
     )
-    good, bad = text.access_log(ev.select(line.alias("value")))
-    pages = exclude_static_assets(contains(good, "url", "/p"))
-    hits = windows.tumbling_count(pages, ["url"], "ts", "1 day").select("url", "window_end", "cnt")
-    rejects = bad.agg(F.count(F.lit(1)).alias("cnt")).select(
-        F.lit("rejected").alias("url"), F.lit(0).cast("bigint").alias("window_end"), "cnt"
-    )
-    return hits.unionByName(rejects)
+    asked = F.col("url").contains("/p") & ~is_static_asset("url")
+    return _counts_with_rejects(text.parsed_access_log(ev.select(line.alias("value"))), "url", "1 day", asked)
 
 
 def keyed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -499,12 +507,7 @@ def keyed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.concat_ws(
         " ", "event_type", F.when(F.col("event_id") % 9 != 0, F.floor(F.col("ts_ms") / 1000).cast("string"))
     )
-    good, bad = text.keyed_lines(ev.select(line.alias("value")))
-    counts = windows.tumbling_count(good, ["key"], "ts", HOUR).select("key", "window_end", "cnt")
-    rejects = bad.agg(F.count(F.lit(1)).alias("cnt")).select(
-        F.lit("rejected").alias("key"), F.lit(0).cast("bigint").alias("window_end"), "cnt"
-    )
-    return counts.unionByName(rejects)
+    return _counts_with_rejects(text.parsed_keyed_lines(ev.select(line.alias("value"))), "key", HOUR)
 
 
 def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -550,4 +553,5 @@ REGISTRY = {
     "hot_urls_runs": hot_urls_runs,
     "unique_visitors_sliding": unique_visitors_sliding,
     "station_minmax_runs": station_minmax_runs,
+    "ad_route_counts": ad_route_counts,
 }

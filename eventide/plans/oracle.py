@@ -377,6 +377,13 @@ STATION_MINMAX_RUNS = _with(EV) + f"""
     "seen", "station, min_temperature, max_temperature", 1_000, "station, min_temperature, max_temperature"
 )
 
+AD_ROUTE_COUNTS = _with(EV, LIMITED) + """
+SELECT route, count(rn) AS n
+FROM (VALUES ('pass'), ('warn'), ('drop')) r(route)
+LEFT JOIN limited ON route = CASE WHEN rn <= 2 THEN 'pass' WHEN rn = 3 THEN 'warn' ELSE 'drop' END
+GROUP BY route
+"""
+
 # A result of 22.9 M rows at sf0.01; tests compare it with whole-table
 # fingerprints, and row by row in the run form (``marketing_runs``).
 FINGERPRINT_ONLY = {"marketing_by_channel": MARKETING_BY_CHANNEL}
@@ -420,4 +427,5 @@ def oracle_sql() -> dict[str, str]:
         "hot_urls_runs": HOT_URLS_RUNS,
         "unique_visitors_sliding": UNIQUE_VISITORS_SLIDING,
         "station_minmax_runs": STATION_MINMAX_RUNS,
+        "ad_route_counts": AD_ROUTE_COUNTS,
     }

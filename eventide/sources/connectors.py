@@ -74,9 +74,15 @@ def user_action_messages(actions: DataFrame) -> tuple[DataFrame, DataFrame]:
     The line format has no quoting, so a row with the separator or a line break
     in a field is rejected, not sent as a line that reads back as another row.
     """
+    encoded = with_messages(actions)
+    unsent = encoded.where(~F.col("_sendable")).select(*actions.columns)
+    return encoded.where(F.col("_sendable")).select("value"), unsent
+
+
+def with_messages(actions: DataFrame) -> DataFrame:
+    """S6 encoder in one DataFrame: adds ``value``, the S1 line, and ``_sendable``."""
     cols = [n for n, _ in USER_ACTION_FIELDS]
-    fine = encodable(cols)
-    return actions.where(fine).select(encode_delimited(actions, cols).alias("value")), actions.where(~fine)
+    return actions.withColumns({"value": encode_delimited(actions, cols), "_sendable": encodable(cols)})
 
 
 def publish(messages: DataFrame, servers: str, topic: str) -> None:

@@ -44,18 +44,28 @@ def parse_delimited(
     """Split ``value`` on the literal ``sep`` and cast into ``fields``.
 
     Adds ``_valid`` (enough fields and every cast succeeded; fields after the
-    last one are ignored) and keeps the raw line as ``_raw``.  Casts use ``try_cast`` so ANSI mode never fails the
-    job on a bad row.
+    last one are ignored) and keeps the raw line as ``_raw``.  Casts use
+    ``try_cast`` so ANSI mode never fails the job on a bad row.  A line is split
+    once, whatever reads its fields (see ``_split_once``).
     """
-    parts = F.split(F.col(value), _regex_literal(sep), -1)
-    cols = []
-    ok = F.size(parts) >= F.lit(len(fields))
+    cols, ok = [], F.size("_parts") >= F.lit(len(fields))
     for i, (name, typ) in enumerate(fields):
-        raw = F.trim(F.get(parts, i)) if typ != "string" else F.get(parts, i)
-        c = raw if typ == "string" else raw.try_cast(typ)
+        part = F.get("_parts", F.lit(i))
+        c = part if typ == "string" else F.trim(part).try_cast(typ)
         cols.append(c.alias(name))
-        ok = ok & F.get(parts, i).isNotNull() & c.isNotNull()
-    return lines.select(*cols, F.coalesce(ok, F.lit(False)).alias("_valid"), F.col(value).alias("_raw"))
+        ok = ok & c.isNotNull()
+    return _split_once(lines, sep, value).select(*cols, F.coalesce(ok, F.lit(False)).alias("_valid"), "_raw")
+
+
+def _split_once(lines: DataFrame, sep: str, value: str) -> DataFrame:
+    """``_parts`` and ``_raw`` of each line.
+
+    The array comes out of a generator, which Catalyst does not fold into the
+    expressions above it; as a plain column it would be split anew for each
+    field, test and filter.
+    """
+    split = F.split(F.col(value), _regex_literal(sep), -1)
+    return lines.select(F.explode(F.array(split)).alias("_parts"), F.col(value).alias("_raw"))
 
 
 def _regex_literal(sep: str) -> str:
@@ -75,45 +85,55 @@ def with_event_time(df: DataFrame, seconds: str = "ts_s") -> DataFrame:
     return df.withColumn("ts", ts).withColumn("ts_ms", to_ms(ts))
 
 
+def parsed_user_actions(lines: DataFrame, value: str = "value") -> DataFrame:
+    """``user,item,category,behavior,seconds`` lines with ``_valid`` and ``_raw``: good and bad ones in one DataFrame."""
+    return with_event_time(parse_delimited(lines, USER_ACTION_FIELDS, ",", value))
+
+
 def user_actions(lines: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
-    """``user,item,category,behavior,seconds`` lines."""
-    good, bad = split_valid(parse_delimited(lines, USER_ACTION_FIELDS, ",", value))
-    return with_event_time(good), bad
+    """S1 as two DataFrames: user actions and rejected lines."""
+    return split_valid(parsed_user_actions(lines, value))
 
 
-def ad_clicks(lines: DataFrame, value: str = "value", ids_as_string: bool = False):
-    """``user,ad,province,city,seconds`` lines (ids as bigint or string)."""
+def parsed_ad_clicks(lines: DataFrame, value: str = "value", ids_as_string: bool = False) -> DataFrame:
+    """``user,ad,province,city,seconds`` lines (ids as bigint or string) with ``_valid`` and ``_raw``."""
     fields = AD_CLICK_FIELDS
     if ids_as_string:
         fields = [(n, "string" if n in ("user_id", "ad_id") else t) for n, t in fields]
-    good, bad = split_valid(parse_delimited(lines, fields, ",", value))
-    return with_event_time(good), bad
+    return with_event_time(parse_delimited(lines, fields, ",", value))
+
+
+def ad_clicks(lines: DataFrame, value: str = "value", ids_as_string: bool = False):
+    """S2 as two DataFrames: clicks and rejected lines."""
+    return split_valid(parsed_ad_clicks(lines, value, ids_as_string))
+
+
+def parsed_keyed_lines(lines: DataFrame, value: str = "value") -> DataFrame:
+    """``key seconds`` lines, one space between, with ``_valid`` and ``_raw``."""
+    return with_event_time(parse_delimited(lines, KEYED_LINE_FIELDS, " ", value))
 
 
 def keyed_lines(lines: DataFrame, value: str = "value"):
-    """``key seconds`` lines, one space between."""
-    good, bad = split_valid(parse_delimited(lines, KEYED_LINE_FIELDS, " ", value))
-    return with_event_time(good), bad
+    """S4 as two DataFrames: rows and rejected lines."""
+    return split_valid(parsed_keyed_lines(lines, value))
 
 
-def access_log(lines: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
-    """S3: space-split log line; ip=f0, user=f2, time=f3, method=f5, url=f6.
+def parsed_access_log(lines: DataFrame, value: str = "value") -> DataFrame:
+    """S3: space-split log line with ``_valid`` and ``_raw``; ip=f0, user=f2, time=f3, method=f5, url=f6.
 
     The time is ``dd/MM/yyyy:HH:mm:ss`` read in the session zone (UTC).
     """
-    parts = F.split(F.col(value), " ", -1)
-    ts = F.try_to_timestamp(F.get(parts, 3), F.lit(ACCESS_LOG_TIME_FORMAT))
-    parsed = lines.select(
-        F.get(parts, 0).alias("ip"),
-        F.get(parts, 2).alias("user_id"),
-        ts.alias("ts"),
-        F.get(parts, 5).alias("method"),
-        F.get(parts, 6).alias("url"),
-        (F.coalesce((F.size(parts) >= 7) & ts.isNotNull(), F.lit(False))).alias("_valid"),
-        F.col(value).alias("_raw"),
-    )
-    good, bad = split_valid(parsed)
-    return good.withColumn("ts_ms", to_ms(F.col("ts"))), bad
+    part = lambda i: F.get("_parts", F.lit(i))
+    ts = F.try_to_timestamp(part(3), F.lit(ACCESS_LOG_TIME_FORMAT))
+    return _split_once(lines, " ", value).select(
+        part(0).alias("ip"), part(2).alias("user_id"), ts.alias("ts"), part(5).alias("method"), part(6).alias("url"),
+        F.coalesce((F.size("_parts") >= 7) & ts.isNotNull(), F.lit(False)).alias("_valid"), "_raw",
+    ).withColumn("ts_ms", to_ms(F.col("ts")))
+
+
+def access_log(lines: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """S3 as two DataFrames: requests and rejected lines."""
+    return split_valid(parsed_access_log(lines, value))
 
 
 def read_lines(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:

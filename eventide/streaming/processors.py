@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.time import duration_ms, floor_to, to_ms, watermark_delay
 from ..operators.rising import ALERT_PREFIX, ALERT_SUFFIX
-from ..operators.routing import CLICK_WARNING, DAY_MS
+from ..operators.routing import CLICK_WARNING, DAY_MS, write_routes
 from ..session import ship_package
 from .gate import gate_join
 
@@ -377,6 +377,22 @@ def routed_outputs(
     return run
 
 
+def routed_folder(folder: str, routes: list[str], counted: Callable[[dict[str, int], int], None] | None = None):
+    """T2 stream in one pass: a ``foreachBatch`` body that writes a routed micro-batch
+    once, partitioned by route, into ``folder/batch=<id>``.
+
+    A replayed batch replaces its own folder.  ``counted`` is told the number of
+    rows of each route, taken by the write itself.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        _, counts = write_routes(batch, f"{folder}/batch={batch_id}", routes)
+        if counted is not None:
+            counted(counts, batch_id)
+
+    return run
+
+
 # ------------------------------------------------------------------ J1
 
 

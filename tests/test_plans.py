@@ -60,3 +60,14 @@ def test_carry_join_is_not_broadcast(spark):
     plan = _plan(jobs.marketing_by_channel(spark, SF0001))
     assert "ShuffledHashJoin" in plan
     assert "BroadcastHashJoin" not in plan
+
+
+def test_a_line_is_split_once_and_scanned_once(spark):
+    for job in (jobs.ad_click_lines, jobs.action_lines, jobs.action_line_counts, jobs.access_log_lines, jobs.keyed_lines):
+        plan = _plan(job(spark, SF0001))
+        assert plan.count("split(") == 1 and plan.count("FileScan") == 1, job.__name__
+
+
+def test_limiter_counts_do_not_rank(spark):
+    plan = _plan(jobs.ad_route_counts(spark, SF0001))
+    assert "Window" not in plan and plan.count("FileScan") == 1

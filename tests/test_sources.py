@@ -118,3 +118,13 @@ def test_document_and_print_sinks(spark, scratch):
     q.stop()
     printed = sorted(r[0] for r in spark.read.text(printed_to).collect())
     assert printed == ['black list> {"value":"a"}', 'black list> {"value":"b"}']
+
+
+def test_parsed_lines_keep_rejects_and_null_lines(spark):
+    lines = _lines(spark, ["1,2,p,c,5", None, "", "1,2,p,c, 7 ,more", "x,2,p,c,5", "1,2,p,c,"])
+    rows = text.parsed_ad_clicks(lines).collect()
+    assert [r["_valid"] for r in rows] == [True, False, False, True, False, False]
+    assert [r["ts_s"] for r in rows if r["_valid"]] == [5, 7]
+    good, bad = text.ad_clicks(lines)
+    assert good.columns == ["user_id", "ad_id", "province", "city", "ts_s", "ts", "ts_ms"] and good.count() == 2
+    assert sorted((r["line"] for r in bad.collect()), key=str) == ["", "1,2,p,c,", None, "x,2,p,c,5"]

@@ -1,6 +1,9 @@
 """Limiter, sequence, gate, rising run, alarms: edge fixtures and hand goldens."""
 
 
+import pytest
+from pyspark.sql import functions as F
+
 from eventide.operators import gate, late, rising, routing, sequence
 from eventide.sources import literals
 
@@ -190,3 +193,29 @@ def test_late_split_keeps_rows_without_arrival_time(spark):
     df = spark.createDataFrame(rows, "seq long, ts_ms long, arrival_ms long")
     got = {r["seq"]: r["is_late"] for r in late.late_split(df, "ts_ms", "arrival_ms", "seq", "1 second").collect()}
     assert got == {1: True, 2: False, 3: True}  # no arrival time: taken as the first to arrive
+
+
+def test_limiter_counts_equal_the_ranked_routes(spark):
+    rows = [(u, 1, "p", DAY * d + i, i) for u in range(6) for d in (0, 1) for i in range(u * (d + 1))]
+    clicks = _clicks(spark, rows)
+    for quirk in (True, False):
+        routed = routing.daily_limit(clicks, ["user_id"], "ts_ms", "seq", 2, quirk)
+        want = {r["route"]: r["count"] for r in routed.groupBy("route").count().collect()}
+        got = {r["route"]: r["n"] for r in routing.limiter_counts(clicks, ["user_id"], "ts_ms", 2, quirk).collect()}
+        assert got == {**want, "drop": len(rows) - sum(want.values())}
+    empty = routing.limiter_counts(clicks.where("false"), ["user_id"], "ts_ms", 2).collect()
+    assert {r["route"]: r["n"] for r in empty} == {"pass": 0, "warn": 0, "drop": 0}
+
+
+def test_routes_are_written_and_counted_in_one_job(spark, scratch):
+    rows = [(u, 1, "p", 100 + i, i) for u in range(5) for i in range(u)]
+    routed = routing.daily_limit(_clicks(spark, rows), ["user_id"], "ts_ms", "seq", 1)
+    seen = spark.sparkContext.accumulator(0)
+    counting = routed.rdd.map(lambda r: (seen.add(1), r)[1])  # rows computed, whatever reads them
+    written, counts = routing.write_routes(spark.createDataFrame(counting, routed.schema), scratch, ["pass", "warn", "none"])
+    assert counts == {"pass": 7, "warn": 2, "none": 0} and seen.value == 9
+    for name, df in written.items():
+        assert df.columns == [c for c in routed.columns if c != "route"]
+        assert sorted(df.collect()) == sorted(routed.where(F.col("route") == name).drop("route").collect())
+    with pytest.raises(Exception, match="unknown route"):
+        routing.write_routes(routed, scratch, ["pass"])

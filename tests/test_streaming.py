@@ -206,6 +206,22 @@ def test_limiter_stream_with_late_rows_across_midnight(spark, scratch):
     assert routes == {0: "pass", 1: "pass", 2: "warn", 3: "pass", 7: "pass", 8: "warn", 10: "pass"}
 
 
+def test_routed_folder_writes_each_batch_once(spark, scratch):
+    schema = "user_id long, ts_ms long, seq long"
+    rows = [(1, 1_000 + i, i) for i in range(5)]
+    s = _feed(spark, scratch, "routes", rows, schema, [0, 2, 5]).withWatermark("ts", "1 day")
+    counts = {}
+    out = os.path.join(scratch, "routes-out")
+    body = processors.routed_folder(out, ["pass", "warn"], lambda n, batch: counts.update({batch: n}))
+    q = (processors.daily_limit_stream(s, ["user_id"], "ts_ms", "seq", 1).writeStream.foreachBatch(body)
+         .option("checkpointLocation", os.path.join(scratch, "routes-cp")).start())
+    q.processAllAvailable()
+    q.stop()
+    assert counts[0] == {"pass": 2, "warn": 0} and counts[1] == {"pass": 0, "warn": 1}
+    written = spark.read.parquet(out)
+    assert sorted((r["batch"], r["route"], r["seq"]) for r in written.collect()) == [(0, "pass", 0), (0, "pass", 1), (1, "warn", 2)]
+
+
 def test_revisions_stream_equals_batch(spark, scratch):
     hour = 3_600_000
     times = [10, 20, hour + 5, 30, 2 * hour + 7, 40, hour + 9, 3 * hour + 1, 50, 3 * hour + 2, hour + 11, 6 * hour, 2 * hour + 8]
