@@ -38,19 +38,49 @@ def bitmap_distinct_users(
     map is built as Spark bitmaps per (window, 32768-bit bucket) and bit counts
     are summed, so only distinct positions are sorted for the bitmaps.
     """
+    return bitmap_counts(window_bitmaps(df, user, ts_ms, size), out)
+
+
+def window_bitmaps(df: DataFrame, user: str, ts_ms: str, size) -> DataFrame:
+    """A6's state as a table: ``window_end, bucket, bitmap`` of each tumbling window.
+
+    Only buckets with a set bit have a row.  Keep it (``write.parquet``) and roll it
+    up to longer windows with ``roll_up_bitmaps`` without reading events again.
+    """
     size_ms = duration_ms(size)
     positions = df.select(
         _window_end(ts_ms, size_ms).alias("window_end"), poly_hash(F.col(user).cast("string")).alias("_h")
     ).groupBy("window_end", "_h").agg(F.count(F.lit(1)).alias("_n"))
     keyed = positions.select(
         "window_end",
-        F.bitmap_bucket_number("_h").alias("_bucket"),
+        F.bitmap_bucket_number("_h").alias("bucket"),
         F.bitmap_bit_position("_h").alias("_pos"),
     )
-    maps = keyed.groupBy("window_end", "_bucket").agg(
-        F.bitmap_construct_agg("_pos").alias("_bm")
-    )
-    return maps.groupBy("window_end").agg(F.sum(F.bitmap_count("_bm")).alias(out))
+    return keyed.groupBy("window_end", "bucket").agg(F.bitmap_construct_agg("_pos").alias("bitmap"))
+
+
+def roll_up_bitmaps(maps: DataFrame, base, size, slide=None) -> DataFrame:
+    """Bitmaps of windows of ``size`` sliding by ``slide`` (default: tumbling) from those of tumbling windows of ``base``.
+
+    Both must be multiples of ``base``.  Bitmaps are combined by ``bitmap_or_agg``
+    with a map-side combine; each goes to the ``size / slide`` windows that hold it.
+    """
+    base_ms, size_ms = duration_ms(base), duration_ms(size)
+    slide_ms = duration_ms(slide) if slide is not None else size_ms
+    if size_ms % base_ms or slide_ms % base_ms:
+        raise ValueError("size and slide must be multiples of the base window")
+    start = F.col("window_end") - F.lit(base_ms)
+    first = floor_to(start - F.lit(size_ms), slide_ms) + F.lit(slide_ms + size_ms)
+    last = floor_to(start, slide_ms) + F.lit(size_ms)
+    # A base window between two windows (slide over size) is in none.
+    ends = F.when(first <= last, F.sequence(first, last, F.lit(slide_ms).cast("bigint")))
+    spread = maps.select(F.explode(ends).alias("window_end"), "bucket", "bitmap")
+    return spread.groupBy("window_end", "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+
+
+def bitmap_counts(maps: DataFrame, out: str = "uv_bitmap") -> DataFrame:
+    """``window_end, out``: the set bits of each window's bitmaps."""
+    return maps.groupBy("window_end").agg(F.sum(F.bitmap_count("bitmap")).alias(out))
 
 
 def approx_distinct_users(df: DataFrame, user: str, ts: str, size, out: str = "uv_approx") -> DataFrame:

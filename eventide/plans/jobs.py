@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import equals, exclude_static_assets, is_static_asset, not_equals, split_words
 from ..functions.time import duration_ms, floor_to, format_bound
-from ..operators import aggregates, gate, late, rank, rising, routing, runs, sequence, windows
+from ..operators import aggregates, gate, late, mergeable, rank, rising, routing, runs, sequence, windows
 from ..sources import connectors, tables, text
 
 HOUR = "1 hour"
@@ -107,6 +107,20 @@ def unique_visitors_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.bitmap_distinct_users(_views(spark, sf_dir), "user_id", "ts_ms", HOUR)
 
 
+def _hourly_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregates.window_bitmaps(_views(spark, sf_dir), "user_id", "ts_ms", HOUR)
+
+
+def unique_visitors_bitmap_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A6 rolled up: distinct bit positions per day from the hourly bitmaps."""
+    return aggregates.bitmap_counts(aggregates.roll_up_bitmaps(_hourly_bitmaps(spark, sf_dir), HOUR, "1 day"))
+
+
+def unique_visitors_bitmap_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A6 rolled up: distinct bit positions per 6h/1h sliding window from the hourly bitmaps."""
+    return aggregates.bitmap_counts(aggregates.roll_up_bitmaps(_hourly_bitmaps(spark, sf_dir), HOUR, "6 hours", HOUR))
+
+
 def unique_visitors_running(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 -> P3 -> W1 60m -> A7 running distinct count at each first sighting."""
     return aggregates.running_distinct_users(
@@ -310,6 +324,14 @@ def station_minmax_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.merge_runs(extremes, ["station"], values).select("station", *_run_bounds(slide), *values)
 
 
+def value_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per event type and day, the bins (5 wide) of the median and the 95th percentile, by a user-defined aggregate."""
+    ev = tables.events(spark, sf_dir).withColumn("day", F.floor(F.col("ts_ms") / routing.DAY_MS).cast("bigint"))
+    sketch = mergeable.histogram_quantiles(5.0, [0.5, 0.95])
+    found = mergeable.aggregate(ev, ["event_type", "day"], ["value"], sketch, "bins")
+    return found.select("event_type", "day", F.get("bins", F.lit(0)).alias("median_bin"), F.get("bins", F.lit(1)).alias("p95_bin"))
+
+
 def sensor_early(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running min/max at every pane of each sensor window, last one final."""
     return late.early_results(
@@ -516,6 +538,17 @@ def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
 
 
+def windowed_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P7 -> W1 10s -> A10: words per ten-second window, over a line of words per event."""
+    ev = tables.events(spark, sf_dir)
+    line = F.concat_ws(
+        " ", "event_type", F.concat(F.lit("item"), (F.col("item_id") % 6).cast("string")),
+        F.when(F.col("event_id") % 3 == 0, F.lit("\tnew  item0")),
+    )
+    words = split_words(ev.select("ts", line.alias("line")), "line", "word")
+    return windows.tumbling_count(words, ["word"], "ts", "10 seconds").select("word", "window_end", "cnt")
+
+
 REGISTRY = {
     "page_views": page_views,
     "hot_items": hot_items,
@@ -554,4 +587,8 @@ REGISTRY = {
     "unique_visitors_sliding": unique_visitors_sliding,
     "station_minmax_runs": station_minmax_runs,
     "ad_route_counts": ad_route_counts,
+    "unique_visitors_bitmap_daily": unique_visitors_bitmap_daily,
+    "unique_visitors_bitmap_sliding": unique_visitors_bitmap_sliding,
+    "value_quantiles": value_quantiles,
+    "windowed_word_count": windowed_word_count,
 }

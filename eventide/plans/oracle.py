@@ -384,6 +384,35 @@ LEFT JOIN limited ON route = CASE WHEN rn <= 2 THEN 'pass' WHEN rn = 3 THEN 'war
 GROUP BY route
 """
 
+UNIQUE_VISITORS_BITMAP_DAILY = _with(EV) + f"""
+SELECT (ts_ms // 86400000) * 86400000 + 86400000 AS window_end, CAST(count(DISTINCT {POLY_HASH}) AS BIGINT) AS uv_bitmap
+FROM ev WHERE event_type = 'view' GROUP BY 1
+"""
+
+UNIQUE_VISITORS_BITMAP_SLIDING = _with(EV) + f"""
+SELECT window_end, CAST(count(DISTINCT h) AS BIGINT) AS uv_bitmap
+FROM (SELECT {POLY_HASH} AS h, unnest({sliding_ends('ts_ms', 21_600_000, 3_600_000)}) AS window_end
+      FROM ev WHERE event_type = 'view')
+GROUP BY 1
+"""
+
+VALUE_QUANTILES = _with(EV) + """
+, binned AS (
+  SELECT event_type, ts_ms // 86400000 AS day, CAST(floor(value / 5.0) AS BIGINT) AS bin,
+         row_number() OVER (PARTITION BY event_type, ts_ms // 86400000 ORDER BY value) AS k,
+         count(*) OVER (PARTITION BY event_type, ts_ms // 86400000) AS n
+  FROM ev WHERE value IS NOT NULL)
+SELECT event_type, day, max(bin) FILTER (k = ceil(0.5 * n)) AS median_bin, max(bin) FILTER (k = ceil(0.95 * n)) AS p95_bin
+FROM binned GROUP BY event_type, day
+"""
+
+WINDOWED_WORD_COUNT = _with(EV) + r"""
+SELECT word, (ts_ms // 10000) * 10000 + 10000 AS window_end, count(*) AS cnt
+FROM (SELECT ts_ms, unnest([event_type, 'item' || (item_id % 6)]
+        || CASE WHEN event_id % 3 = 0 THEN ['new', 'item0'] ELSE [] END) AS word FROM ev)
+GROUP BY 1, 2
+"""
+
 # A result of 22.9 M rows at sf0.01; tests compare it with whole-table
 # fingerprints, and row by row in the run form (``marketing_runs``).
 FINGERPRINT_ONLY = {"marketing_by_channel": MARKETING_BY_CHANNEL}
@@ -428,4 +457,8 @@ def oracle_sql() -> dict[str, str]:
         "unique_visitors_sliding": UNIQUE_VISITORS_SLIDING,
         "station_minmax_runs": STATION_MINMAX_RUNS,
         "ad_route_counts": AD_ROUTE_COUNTS,
+        "unique_visitors_bitmap_daily": UNIQUE_VISITORS_BITMAP_DAILY,
+        "unique_visitors_bitmap_sliding": UNIQUE_VISITORS_BITMAP_SLIDING,
+        "value_quantiles": VALUE_QUANTILES,
+        "windowed_word_count": WINDOWED_WORD_COUNT,
     }
