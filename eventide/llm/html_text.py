@@ -1,9 +1,20 @@
 """Main text of a web page by composite text density.
 
 The page becomes a tree of elements; end tags that authors leave out are
-implied.  What can not be article text is pruned first: scripts, styles, forms
-and the like, and elements whose tag, role, class or id says menu, header,
-footer, sidebar, notice, advert or comments.
+implied.  What can not be article text is pruned first:
+
+* scripts, styles, forms, menus, asides, footers and the like by their tag, and
+  what is hidden or has such a role;
+* elements with a class or id that is, as a whole name, one of such furniture
+  (``sidebar``, ``site-footer``, ``ad-box``): every part of the name must be a
+  word of furniture or of layout, so ``related-work`` is none.  Headings and
+  inline elements are never told by names, nor sections of an article with
+  an article's paragraphs;
+* reader comments, by name, role or microdata in any mark-up, articles within
+  them included, and what follows a heading that says no more than "Comments".
+
+Furniture that holds an article, main element or h1 stays only if the page has
+none elsewhere and most of its text is in it; a page header stays for the only h1.
 
 Every remaining block element gets its number of characters and tags, and of
 those inside links; inline mark-up counts as the text of its block.  Its composite density is the characters per tag, damped by a
@@ -15,14 +26,19 @@ all above it do, the element below with the largest sum is marked.  Content is,
 for each child of the body, the whole container of its marked elements: the
 article they stand in, else the main element, else the least one that also has
 a headline, else the least one.  Text directly in the body is content unless it
-is mostly links, and so is a headline outside when no container has one.
+is mostly links.  When no container has a headline, one outside is content, and
+so are the blocks of the body behind it that are mostly plain text and no
+copyright line.
 
 Text: character references are decoded, each block is one line (``br`` ends a
 block), white space inside a block is one space, empty blocks are left out.
 
 Defined results: null, empty and text-less pages give an empty string; a page
 without a body element is all body; an unclosed comment or script runs to the
-end of the page.
+end of the page; pages of any length are worked on whole, in time in proportion;
+of elements with equal density sums the one that begins first counts as the
+largest; equal rows get equal texts; an empty table gives no rows, and other
+columns are not touched.
 """
 
 from __future__ import annotations
@@ -52,24 +68,47 @@ LIMITS = {
     "li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"),
     "th": ("tr", "table"), "option": ("select",),
 }
-NOISE_WORDS = frozenset(
-    "ad ads advert advertisement advertising adverts banner breadcrumb breadcrumbs comment comments consent cookie "
-    "cookies disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices popup "
-    "promo promoted promotion related respond share sharing sidebar social sponsor sponsored subscribe subscription "
-    "toolbar widget".split()
+FURNITURE = frozenset(
+    "ad ads advert advertisement advertising adverts breadcrumb breadcrumbs consent cookie cookies footer gdpr menu modal "
+    "nav navbar navigation newsletter notice notices popup promo promoted promotion related share sharing sidebar social "
+    "sponsor sponsored subscribe subscription toolbar widget widgets".split()
+)
+PAGE_HEADER = frozenset("banner header masthead".split())
+COMMENT_WORDS = frozenset(
+    "comment comments commentlist disqus pingback pingbacks replies reply respond responses trackback trackbacks".split()
+)
+LAYOUT = frozenset(
+    "area bar block bottom box buttons col column container fixed global group inner items item left links list main outer "
+    "overlay panel primary right row secondary section site slot sticky top unit wrap wrapper".split()
+)
+COMMENT_PARTS = LAYOUT | frozenset(
+    "article author body content entry form header meta page post posts reader readers story text thread title user users view".split()
 )
+COMMENT_HEADING = re.compile(
+    r"\W*\d*\s*(?:(?:reader|user|your)s?\W+)?(?:comments?|replies|responses|leave a (?:comment|reply)|kommentare?|"
+    r"commentaires?|comentarios?)\s*(?:\(\s*\d+\s*\))?\W*\d*\W*", re.I
+)
+COPYRIGHT = re.compile(r"\s*(?:©|&copy;|\(c\)\s|copyright\b)|.*\ball rights reserved\b", re.I | re.S)
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 CORE = frozenset(("article", "main"))
+#: Characters that the text of a section of an article has at least.
+ARTICLE_CHARS = 140
 INLINE = frozenset(
     "abbr acronym b bdi bdo big br cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike "
     "strong sub sup time tt u var wbr".split()
 )
 
-TOKEN = re.compile(r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*>?|(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*)>?)""", re.S)
+#: A value is quoted only where a quote follows the equals sign; other quotes are plain characters.
+TOKEN = re.compile(
+    r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*>?|(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:"[^"]*"|'[^']*'|[^\s"'>][^\s>]*)|[^>])*+)>?)""", re.S
+)
 #: A stray quoted string, or a whole name with its value; a value is always consumed, so nothing is found inside one.
 ATTRIBUTE = re.compile(
     r""""[^"]*"|'[^']*'|([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*))?)?"""
 )
+#: A slash at the end of an unquoted value is part of it and closes nothing.
+UNQUOTED_END = re.compile(r"""=\s*[^\s"'>][^\s>]*\Z|=\s*/\Z""")
 NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
@@ -79,29 +118,43 @@ class Element:
 
     def __init__(self, tag: str, parent: "Element | None", attributes: str = "") -> None:
         self.tag, self.parent, self.parts = tag, parent, []
-        self.core = False  # holds an article, main or h1
-        self.noise = tag in DROPPED or bool(attributes.strip()) and _noisy(attributes)
+        self.noise = "tag" if tag in DROPPED else _noise(attributes) if attributes.strip() else ""
 
 
-def _noisy(attributes: str) -> bool:
+def _noise(attributes: str) -> str:
+    """What an element's attributes say: hidden, role, comments, furniture, header, or nothing."""
+    said = ""
     for name, a, b, c in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), a or b or c
-        if name in ("class", "id"):
-            if not NOISE_WORDS.isdisjoint(w.lower() for w in NAME_WORD.findall(value)):
-                return True
-        elif name == "role" and value.lower() in NOISE_ROLES:
-            return True
-        elif name == "style" and re.search(r"display\s*:\s*none", value, re.I):
-            return True
-        elif name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
-    return False
+        if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
+            return "hidden"
+        if name == "style" and re.search(r"display\s*:\s*none", value, re.I):
+            return "hidden"
+        if name == "role" and value.lower() in NOISE_ROLES:
+            said = "role"
+        elif name in ("class", "id", "aria-label", "itemprop"):
+            said = said or _name_noise(value)
+        elif name == "itemtype" and value.rstrip("/").lower().endswith("/comment"):
+            said = said or "comments"
+    return said
+
+
+def _name_noise(value: str) -> str:
+    for name in value.split():
+        words = {w.lower() for w in NAME_WORD.findall(name) if not w.isdigit()}
+        if words & COMMENT_WORDS and words <= COMMENT_WORDS | COMMENT_PARTS | FURNITURE:
+            return "comments"
+        if words & FURNITURE and words <= FURNITURE | PAGE_HEADER | LAYOUT:
+            return "furniture"
+        if words & PAGE_HEADER and words <= PAGE_HEADER | LAYOUT:
+            return "header"
+    return ""
 
 
 def parse(page: str) -> Element:
     """The tree under an element that stands for the whole page."""
     top = here = Element("html", None)
-    at = 0
+    at, has_body = 0, False
     while (m := TOKEN.search(page, at)) is not None:
         if m.start() > at:
             here.parts.append(page[at : m.start()])
@@ -109,18 +162,20 @@ def parse(page: str) -> Element:
         if m[2] is None:
             continue
         tag = m[2].lower()
+        # A page has one body, and what comes behind its end tag still belongs to it.
+        if tag == "html" or tag == "body" and (m[1] or has_body):
+            continue
         if m[1]:
             here = _closed(here, tag)
             continue
-        if tag == "html":
-            continue
+        has_body = has_body or tag == "body"
         here = _opened(here, tag)
         child = Element(tag, here, m[3])
         here.parts.append(child)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(page, at)
             at = end.end() if end else len(page)
-        elif tag not in VOID and not m[3].endswith("/"):
+        elif tag not in VOID and (not m[3].endswith("/") or UNQUOTED_END.search(m[3])):
             here = child
     here.parts.append(page[at:])
     return top
@@ -149,27 +204,83 @@ def _opened(here: Element, tag: str) -> Element:
     return here
 
 
-def _prune(node: Element) -> None:
-    """Notes which elements hold the article's core, and takes the noise out."""
-    stack, order = [node], []
+def _prune(top: Element) -> None:
+    """Takes the noise out, and notes which elements hold the article's core."""
+    order = _in_order(top)
+    for x in reversed(order):
+        below = [p for p in x.parts if isinstance(p, Element)]
+        x.core = x.tag in CORE or x.tag == "h1" or any(p.core for p in below)
+        if x.tag in RAW:
+            x.chars = x.links = 0
+            continue
+        x.chars = sum(len(p.strip()) for p in x.parts if isinstance(p, str)) + sum(p.chars for p in below)
+        x.links = x.chars if x.tag == "a" else sum(p.links for p in below)
+    inside: dict[Element, bool] = {}  # within an article or main element that is no noise
+    clean: dict[Element, bool] = {}  # not within noise
+    cores = heads = False  # whether an article or main element, or an h1, stands outside all noise
+    for x in order:
+        above = x.parent is None or clean[x.parent]
+        named = x.parent is not None and inside[x.parent]
+        x.noise = _told(x, named)
+        clean[x] = above and not x.noise
+        inside[x] = named or x.tag in CORE and clean[x]
+        cores = cores or clean[x] and x.tag in CORE and x.chars > x.links
+        heads = heads or clean[x] and x.tag == "h1" and x.chars > 0
+    for x in order:
+        spared = x.noise not in ("tag", "hidden") and x.core and not cores and (
+            x.noise == "header" and not heads or x.chars - x.links > (top.chars - top.links) / 2
+        )
+        if spared:
+            x.noise = ""
+        x.parts = _without_comments(x.parts)
+    for x in order:
+        x.parts = [p for p in x.parts if not isinstance(p, Element) or not p.noise]
+        x.core = False
+    for x in reversed(_in_order(top)):
+        x.core = x.tag in CORE or x.tag == "h1" or any(isinstance(p, Element) and p.core for p in x.parts)
+
+
+def _in_order(top: Element) -> list[Element]:
+    """All elements in page order, parents before children."""
+    order, stack = [], [top]
     while stack:
         x = stack.pop()
         order.append(x)
-        stack += [p for p in x.parts if isinstance(p, Element)]
-    for x in reversed(order):
-        x.core = x.tag in CORE or x.tag == "h1" or any(isinstance(p, Element) and p.core for p in x.parts)
-        x.parts = [p for p in x.parts if not isinstance(p, Element) or not _is_noise(p)]
+        stack += [p for p in reversed(x.parts) if isinstance(p, Element)]
+    return order
 
 
-def _is_noise(x: Element) -> bool:
-    if x.tag in DROPPED and x.tag != "form":
-        return True
+def _told(x: Element, in_article: bool) -> str:
+    """The noise that counts for an element at its place."""
+    if x.tag == "body" or not x.noise and x.tag != "header":
+        return ""
     if x.tag == "header":
-        node = x.parent
-        while node is not None and node.tag not in CORE:
-            node = node.parent
-        return node is None
-    return x.noise and not x.core and x.tag != "body"
+        return x.noise if x.noise == "hidden" else "" if in_article else "header"
+    if x.noise == "tag":
+        # A form around an article or a headline is the page's own, not one to fill in.
+        return "" if x.tag == "form" and x.core else "tag"
+    if x.noise in ("hidden", "role"):
+        return x.noise
+    if x.tag in HEADINGS or x.tag in INLINE or x.tag == "a":
+        return ""
+    article_like = x.tag in ("section", "article", "main") and x.chars >= ARTICLE_CHARS and 3 * x.links < x.chars
+    if in_article and x.noise != "comments" and article_like:
+        return ""
+    return x.noise
+
+
+def _without_comments(parts: list) -> list:
+    """The parts of an element without a heading of reader comments and what it heads."""
+    kept, skip = [], ""
+    for p in parts:
+        if isinstance(p, Element) and p.tag in HEADINGS:
+            if skip and p.tag <= skip:
+                skip = ""
+            if not skip and p.tag != "h1" and p.chars < 60 and COMMENT_HEADING.fullmatch(" ".join(_blocks([p]))):
+                skip = p.tag
+        if not skip:
+            kept.append(p)
+    return kept
 
 
 def _measure(top: Element) -> list[Element]:
@@ -233,15 +344,31 @@ def _content(body: Element) -> list[Element]:
             found.append((None, run))
         run = _run()
         if part is not None:
-            found.append((part, _container(part) if part.held else None))
+            held = _container(part) if part.held else None
+            # A container of links, or a copyright line, is furniture unless the core is in it.
+            if held is not None and core not in _in_order(part) and (held.chars <= 2 * held.links or _is_copyright(held)):
+                held = None
+            found.append((part, held))
     kept = [x for _, x in found if x is not None]
     if any(_holds(x, "h1") for x in kept):
         return kept
     headlines = {x for x in order if x.tag == "h1" and x.chars > 2 * x.links}
-    kept = [y for part, x in found for y in ([x] if part is None else _first(part, headlines | {x}))]
+    kept, headed = [], False
+    for part, x in found:
+        if part is None:
+            kept.append(x)
+        elif x is None and headed and part.chars > 2 * part.links and not _is_copyright(part):
+            kept.append(part)
+        else:
+            kept += _first(part, headlines | {x})
+        headed = headed or part is not None and not headlines.isdisjoint(_in_order(part))
     return kept or [core]
 
 
+def _is_copyright(x: Element) -> bool:
+    return x.chars < 300 and COPYRIGHT.match(" ".join(_blocks([x]))) is not None
+
+
 def _run() -> Element:
     """A block that stands for text and inline mark-up directly in the body."""
     return Element("p", None)
