@@ -493,8 +493,6 @@ def test_secrets_layers_are_whole(monkeypatch):
                 assert "assign" in {k for k, _, _ in found}
                 assert all(15 <= a < b <= 15 + 2 * len(end) + len(lines) for _, a, b in found)
     monkeypatch.setattr(secret_scan, "WINDOW", 1000)
-    monkeypatch.setattr(secret_scan, "HELD", 4000)
-    monkeypatch.setattr(secret_scan, "OVERLAP", 1000)
     monkeypatch.setattr(secret_scan, "STEP", 100)
     for before in ("é, line.\n" * 3000, "z" * 9001 + " ", "no end " * 3001):
         for pack in (gzip.compress, zlib.compress, bz2.compress, lzma.compress):
