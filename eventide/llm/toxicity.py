@@ -1,10 +1,14 @@
 """Toxicity scores after noisy-channel deobfuscation.
 
 A writer's plain word is seen through a channel that swaps letters for digits
-and signs, spaces a word out, or repeats letters.  Each suspicious span of a
-text is turned into a lattice of what its characters may stand for, and a
-Viterbi search under a character trigram model finds the likeliest plain
-spelling.  The trigram counts come from all documents (``count_trigrams``, a
+and signs, spaces a word out, or repeats letters, in any mixture.  Each
+suspicious span of a text (letters with signs before, in or after them; three
+or more symbols or short groups set apart; unusual doubled and all tripled
+letters) is turned into a lattice of what its characters may stand for: a sign
+for a letter, nothing or itself; a separator for nothing or the end of a word, which
+costs what the character model asks for a word's edge; a doubled letter for one or
+two.  A Viterbi search under a character trigram model finds the likeliest plain
+spelling, which may be the one written.  The trigram counts come from all documents (``count_trigrams``, a
 distributed sum), mixed with the words of the learned lexicon.
 
 The restored text is scored by rules over the words it holds.  A rule is a word
@@ -22,7 +26,9 @@ texts of each class, those with the smallest text hashes.  Class sizes are
 counted over all labelled rows.  Scoring reads every whole text.
 
 Defined results: null and empty texts have no evidence and get the curve's
-value at 0 (below one half); without a labelled toxic and a labelled clean text
+value at 0 (below one half); of equally likely spellings the one found first
+counts, in the order of the options; rows that repeat a text are one training text
+and get equal scores; an empty table gives no rows; without a labelled toxic and a labelled clean text
 every score is 0.
 """
 
@@ -51,13 +57,26 @@ STANDS_FOR = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t",
 }
 SIGNS = "".join(re.escape(c) for c in STANDS_FOR)
-SWAPPED = re.compile(rf"(?<![\w@$!|+])[a-z]*[{SIGNS}]+[a-z][a-z{SIGNS}]*")
-SPACED = re.compile(r"(?<!\w)[a-z](?:[ .*_-]{1,2}[a-z]){3,}(?!\w)")
-REPEATED = re.compile(r"[a-z]*([a-z])\1\1[a-z]*")
+SYMBOL = f"[a-z{SIGNS}]"
+NOT_BEFORE = rf"(?<![\w{re.escape('@$!|+')}])"
+#: An exclamation mark or a bar behind a word is punctuation, not a part of it.
+SWAPPED = re.compile(rf"{NOT_BEFORE}{SYMBOL}*[a-z0-9@$+]")
+SPACED = re.compile(
+    rf"{NOT_BEFORE}{SYMBOL}(?:[ .*_-]{{1,2}}{SYMBOL}){{2,}}(?![\w@$+])|"
+    rf"{NOT_BEFORE}(?:[a-z]{{1,3}}|{SYMBOL})(?:[.*_-]{{1,2}}(?:[a-z]{{1,2}}|{SYMBOL})){{2,}}(?![\w@$+])"
+)
+#: Fixed value: letters that are hardly ever doubled within a word; at its start, none but l is.
+RARELY_DOUBLED = "ahijkquvwxy"
+REPEATED = re.compile(
+    rf"(?<![^\W\d_])([a-km-z])\1[a-z]+|[a-z]*(?:([a-z])\2\2|{'|'.join(c + c for c in RARELY_DOUBLED)})[a-z]*"
+)
+ANY_SIGN = re.compile(f"[{SIGNS}]")
+SINGLE = re.compile(rf"(?<![a-z{SIGNS}]){SYMBOL}(?![a-z{SIGNS}])")
 WORD = re.compile(r"[^\W\d_]+")
 
 #: Costs (natural log) of what the channel did.
-SWAP, DROP, DOUBLE = 0.5, 0.1, 1.5
+SWAP, DROP, DOUBLE, KEEP = 0.5, 0.1, 1.5, 2.0
+HALVE = 3.0  # a doubled letter is mostly meant
 SYMBOLS = 28  # edge of a word, a-z, any other letter
 STARTS = range(3, 9)  # lengths of word starts that are features
 TOP = 3
@@ -132,20 +151,19 @@ def _log_probabilities(counts: np.ndarray, lexicon: Iterable[str]) -> np.ndarray
 
 
 def _options(span: str) -> list[list[tuple[str, float]]]:
-    """For each place of the lattice, the plain spellings and their channel costs."""
-    spaced = SPACED.fullmatch(span) is not None
+    """For each place of the lattice, the plain spellings and their channel costs.
+
+    A spelling that is no letter ends a word.
+    """
     places: list[list[tuple[str, float]]] = []
     for run in re.finditer(r"(.)\1*", span, re.S):
         c, n = run[1], len(run[0])
         if c.isalpha():
-            if n < 3:
-                places += [[(c, 0.0)]] * n
-            else:
-                places.append([(c, 0.0), (c + c, DOUBLE)])
-        elif spaced and c not in STANDS_FOR:
-            places.append([("", DROP)])
+            places.append([(c, 0.0)] if n == 1 else [(c + c, 0.0), (c, HALVE)] if n == 2 else [(c, 0.0), (c + c, DOUBLE)])
+        elif c in STANDS_FOR:
+            places += [[(x, SWAP) for x in STANDS_FOR[c]] + [("", SWAP + 4.0), (c, KEEP)]] * n
         else:
-            places += [[(x, SWAP) for x in STANDS_FOR[c]] + [("", SWAP + 4.0)]] * n
+            places.append([("", DROP), (" ", 0.0)])
     return places
 
 
@@ -159,12 +177,17 @@ def decode(span: str, logp: np.ndarray) -> str:
                 (a, b), s, path = state, score - cost, spelled
                 for x in letters:
                     c = _symbol(x)
-                    s += float(logp[a, b, c])
-                    a, b, path = b, c, (path, x)
+                    if c:
+                        s += float(logp[a, b, c])
+                        a, b = b, c
+                    else:  # a word ends, and the next one begins as at the start of a text
+                        s += float(logp[a, b, 0]) if b else 0.0
+                        a = b = 0
+                    path = (path, x)
                 if (a, b) not in ahead or ahead[a, b][0] < s:
                     ahead[a, b] = (s, path)
         paths = ahead
-    _, path = max(((s + float(logp[a, b, 0]), p) for (a, b), (s, p) in paths.items()), key=lambda x: x[0])
+    _, path = max(((s + (float(logp[a, b, 0]) if b else 0.0), p) for (a, b), (s, p) in paths.items()), key=lambda x: x[0])
     out = []
     while path:
         path, x = path
@@ -185,16 +208,27 @@ def _tables(model: Model):
 
 def suspicious(texts: list[str]) -> np.ndarray:
     """Which texts can hold a span to decode: a cheap test on symbol arrays."""
-    codes, starts = code_points([t + "\n\n" for t in texts])
+    codes, starts = code_points([t + "\n\n\n" for t in texts])
     letter = _symbol_table()[codes] > 0
     sign = np.zeros(0x110000, dtype=bool)
     sign[[ord(c) for c in STANDS_FOR]] = True
+    behind = sign.copy()
+    behind[[ord("!"), ord("|")]] = False
+    rare = np.zeros(0x110000, dtype=bool)
+    rare[[ord(c) for c in RARELY_DOUBLED]] = True
     marked = np.zeros(len(codes), dtype=bool)
-    marked[:-1] |= sign[codes[:-1]] & letter[1:]
-    marked[:-2] |= letter[:-2] & (codes[:-2] == codes[1:-1]) & (codes[:-2] == codes[2:])
-    alone = letter.copy()
-    alone[1:] &= ~letter[:-1]
-    alone[:-1] &= ~letter[1:]
+    symbol = letter | sign[codes]
+    marked[:-1] |= sign[codes[:-1]] & letter[1:] | letter[:-1] & behind[codes[1:]]
+    marked[:-2] |= letter[:-2] & sign[codes[1:-1]] & symbol[2:]
+    twice = np.zeros(len(codes), dtype=bool)
+    twice[:-1] = letter[:-1] & (codes[:-1] == codes[1:])
+    begins = letter.copy()
+    begins[1:] &= ~letter[:-1]
+    marked |= twice & (rare[codes] | begins)
+    marked[:-1] |= twice[:-1] & twice[1:]
+    alone = symbol.copy()
+    alone[1:] &= ~symbol[:-1]
+    alone[:-1] &= ~symbol[1:]
     marked[:-3] |= alone[:-3] & (alone[2:-1] | alone[3:])
     upto = np.concatenate([[0], np.cumsum(marked)])
     return upto[starts[1:]] > upto[starts[:-1]]
@@ -202,9 +236,21 @@ def suspicious(texts: list[str]) -> np.ndarray:
 
 def restore(text: str, plain) -> str:
     """``text`` (in lower case) with each suspicious span replaced by its plain spelling."""
-    for pattern in (SPACED, SWAPPED, REPEATED):
-        text = pattern.sub(lambda m: plain(m[0]), text)
-    return text
+
+    def spaced(m: re.Match) -> str:
+        span = m[0]
+        # Two letters at least, and more than one symbol on its own: no list of numbers, no hyphened word.
+        known = sum(c.isalpha() for c in span) >= 2 and len(SINGLE.findall(span)) >= 2
+        return plain(span) if known else span
+
+    def swapped(m: re.Match) -> str:
+        span = m[0]
+        return plain(span) if ANY_SIGN.search(span) and any(c.isalpha() for c in span) else span
+
+    text = SPACED.sub(spaced, text)
+    if ANY_SIGN.search(text):
+        text = SWAPPED.sub(swapped, text)
+    return REPEATED.sub(lambda m: plain(m[0]), text)
 
 
 # --- the classifier -------------------------------------------------------

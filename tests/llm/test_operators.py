@@ -182,9 +182,8 @@ def test_toxicity_restores_obfuscated_words():
     counts = toxicity._trigram_counts(["the idiot said a stupid thing and the loser left " * 20])
     model = toxicity.Model(toxicity._log_probabilities(counts, ["idiot", "stupid", "loser"]).tobytes(), (), 0.0, 0.0)
     plain, _ = toxicity._tables(model)
-    for seen, meant in [("1d10t", "idiot"), ("i d i o t", "idiot"), ("st.u.p.i.d", None), ("$tup1d", "stupid"), ("looooser", "loser")]:
-        restored = toxicity.restore(seen, plain)
-        assert meant is None or restored == meant
+    for seen, meant in [("1d10t", "idiot"), ("i d i o t", "idiot"), ("st.u.p.i.d", "stupid"), ("$tup1d", "stupid"), ("looooser", "loser")]:
+        assert toxicity.restore(seen, plain) == meant
     assert toxicity.restore("the plain text, no. 7", plain) == "the plain text, no. 7"
     assert toxicity.suspicious(["1d10t", "a b c d", "looo", "plain words here."]).tolist() == [True, True, True, False]
 
@@ -194,12 +193,14 @@ def test_toxicity_decoding_is_the_best_path():
     logp = toxicity._log_probabilities(counts, [])
 
     def cost(letters):
-        s = [0, 0, *map(toxicity._symbol, letters), 0]
-        return sum(float(logp[a, b, c]) for a, b, c in zip(s, s[1:], s[2:]))
+        """Of each word by itself: what is no letter ends one."""
+        words = "".join(x if toxicity._symbol(x) else " " for x in letters).split()
+        padded = [[0, 0, *map(toxicity._symbol, w), 0] for w in words]
+        return sum(float(logp[a, b, c]) for s in padded for a, b, c in zip(s, s[1:], s[2:]))
 
     from itertools import product
 
-    for span in ("1t", "w0rd", "m0r3", "p1a1n", "t3xttt"):
+    for span in ("1t", "w0rd", "m0r3", "p1a1n", "t3xttt", "w 0 r d", "m.0.r.3.0.f", "t e x t o f", "ttext5", "1", "o.f.!.i.t"):
         options = toxicity._options(span)
         best = max(cost("".join(x for x, _ in way)) - sum(c for _, c in way) for way in product(*options))
         got = toxicity.decode(span, logp)
