@@ -60,7 +60,7 @@ SIGNS = "".join(re.escape(c) for c in STANDS_FOR)
 SYMBOL = f"[a-z{SIGNS}]"
 NOT_BEFORE = rf"(?<![\w{re.escape('@$!|+')}])"
 #: An exclamation mark or a bar behind a word is punctuation, not a part of it.
-SWAPPED = re.compile(rf"{NOT_BEFORE}{SYMBOL}*[a-z0-9@$+]")
+SWAPPED = re.compile(rf"{NOT_BEFORE}(?=[a-z]*[{SIGNS}])(?=[{SIGNS}]*[a-z]){SYMBOL}*[a-z0-9@$+]")
 SPACED = re.compile(
     rf"{NOT_BEFORE}{SYMBOL}(?:[ .*_-]{{1,2}}{SYMBOL}){{2,}}(?![\w@$+])|"
     rf"{NOT_BEFORE}(?:[a-z]{{1,3}}|{SYMBOL})(?:[.*_-]{{1,2}}(?:[a-z]{{1,2}}|{SYMBOL})){{2,}}(?![\w@$+])"
@@ -68,7 +68,7 @@ SPACED = re.compile(
 #: Fixed value: letters that are hardly ever doubled within a word; at its start, none but l is.
 RARELY_DOUBLED = "ahijkquvwxy"
 REPEATED = re.compile(
-    rf"(?<![^\W\d_])([a-km-z])\1[a-z]+|[a-z]*(?:([a-z])\2\2|{'|'.join(c + c for c in RARELY_DOUBLED)})[a-z]*"
+    rf"(?<![^\W\d_])([a-km-z])\1[a-z]+|(?<![a-z])[a-z]*?(?:([a-z])\2\2|([{RARELY_DOUBLED}])\3)[a-z]*"
 )
 ANY_SIGN = re.compile(f"[{SIGNS}]")
 SINGLE = re.compile(rf"(?<![a-z{SIGNS}]){SYMBOL}(?![a-z{SIGNS}])")
@@ -206,36 +206,56 @@ def _tables(model: Model):
     return plain, rule_of
 
 
-def suspicious(texts: list[str]) -> np.ndarray:
-    """Which texts can hold a span to decode: a cheap test on symbol arrays."""
+SPACED_SPAN, SWAPPED_SPAN, REPEATED_SPAN = 1, 2, 4
+
+
+def span_kinds(texts: list[str]) -> np.ndarray:
+    """Which kinds of spans to decode each text can hold: a cheap test on symbol arrays."""
     codes, starts = code_points([t + "\n\n\n" for t in texts])
     letter = _symbol_table()[codes] > 0
-    sign = np.zeros(0x110000, dtype=bool)
-    sign[[ord(c) for c in STANDS_FOR]] = True
-    behind = sign.copy()
-    behind[[ord("!"), ord("|")]] = False
-    rare = np.zeros(0x110000, dtype=bool)
-    rare[[ord(c) for c in RARELY_DOUBLED]] = True
-    marked = np.zeros(len(codes), dtype=bool)
-    symbol = letter | sign[codes]
-    marked[:-1] |= sign[codes[:-1]] & letter[1:] | letter[:-1] & behind[codes[1:]]
-    marked[:-2] |= letter[:-2] & sign[codes[1:-1]] & symbol[2:]
+    sign = _members("".join(STANDS_FOR))[codes]
+    behind = sign & ~_members("!|")[codes]
+    symbol = letter | sign
+
+    swapped = np.zeros(len(codes), dtype=bool)
+    swapped[:-1] |= sign[:-1] & letter[1:] | letter[:-1] & behind[1:]
+    swapped[:-2] |= letter[:-2] & sign[1:-1] & symbol[2:]
+
     twice = np.zeros(len(codes), dtype=bool)
     twice[:-1] = letter[:-1] & (codes[:-1] == codes[1:])
-    begins = letter.copy()
+    begins = letter & (codes != ord("l"))
     begins[1:] &= ~letter[:-1]
-    marked |= twice & (rare[codes] | begins)
-    marked[:-1] |= twice[:-1] & twice[1:]
+    repeated = twice & (_members(RARELY_DOUBLED)[codes] | begins)
+    repeated[:-1] |= twice[:-1] & twice[1:]
+
     alone = symbol.copy()
     alone[1:] &= ~symbol[:-1]
     alone[:-1] &= ~symbol[1:]
-    marked[:-3] |= alone[:-3] & (alone[2:-1] | alone[3:])
-    upto = np.concatenate([[0], np.cumsum(marked)])
-    return upto[starts[1:]] > upto[starts[:-1]]
+    spaced = np.zeros(len(codes), dtype=bool)
+    spaced[:-3] |= alone[:-3] & (alone[2:-1] | alone[3:])
+
+    kinds = np.zeros(len(texts), dtype=np.int8)
+    for kind, marked in ((SPACED_SPAN, spaced), (SWAPPED_SPAN, swapped), (REPEATED_SPAN, repeated)):
+        upto = np.concatenate([[0], np.cumsum(marked)])
+        kinds += kind * (upto[starts[1:]] > upto[starts[:-1]]).astype(np.int8)
+    return kinds
+
+
+@lru_cache(maxsize=8)
+def _members(chars: str) -> np.ndarray:
+    """For each code point, whether it is one of ``chars``."""
+    table = np.zeros(0x110000, dtype=bool)
+    table[[ord(c) for c in chars]] = True
+    return table
+
+
+def suspicious(texts: list[str]) -> np.ndarray:
+    """Which texts can hold a span to decode."""
+    return span_kinds(texts) > 0
 
 
-def restore(text: str, plain) -> str:
-    """``text`` (in lower case) with each suspicious span replaced by its plain spelling."""
+def restore(text: str, plain, kinds: int = SPACED_SPAN | SWAPPED_SPAN | REPEATED_SPAN) -> str:
+    """``text`` (in lower case) with each suspicious span of the ``kinds`` it can hold replaced by its plain spelling."""
 
     def spaced(m: re.Match) -> str:
         span = m[0]
@@ -245,12 +265,15 @@ def restore(text: str, plain) -> str:
 
     def swapped(m: re.Match) -> str:
         span = m[0]
-        return plain(span) if ANY_SIGN.search(span) and any(c.isalpha() for c in span) else span
+        return plain(span) if ANY_SIGN.search(span) else span
 
-    text = SPACED.sub(spaced, text)
-    if ANY_SIGN.search(text):
+    if kinds & SPACED_SPAN:
+        text = SPACED.sub(spaced, text)
+    if kinds & SWAPPED_SPAN:
         text = SWAPPED.sub(swapped, text)
-    return REPEATED.sub(lambda m: plain(m[0]), text)
+    if kinds & REPEATED_SPAN:
+        text = REPEATED.sub(lambda m: plain(m[0]), text)
+    return text
 
 
 # --- the classifier -------------------------------------------------------
@@ -263,8 +286,8 @@ def features(word: str) -> list[str]:
 def words_of(texts: list[str | None], plain) -> Iterator[set[str]]:
     lower = [(t or "").lower() for t in texts]
     for a, b in slices(lower):
-        for text, check in zip(lower[a:b], suspicious(lower[a:b])):
-            yield set(WORD.findall(restore(text, plain) if check else text))
+        for text, kinds in zip(lower[a:b], span_kinds(lower[a:b]).tolist()):
+            yield set(WORD.findall(restore(text, plain, kinds) if kinds else text))
 
 
 def learn(
