@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import ship_package
@@ -60,9 +60,26 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def use_checkpoint_dir(spark: SparkSession) -> None:
-    """The folder of ``spark.checkpoint.dir``; one of our own only where that is unset (tests)."""
+    """The folder of ``spark.checkpoint.dir``; one of our own only where that is unset and Spark is local (tests)."""
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(
-            spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="eventide-ckpt-")
-        )
+    if sc.getCheckpointDir() is not None:
+        return
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = tempfile.mkdtemp(prefix="eventide-ckpt-")
+    sc.setCheckpointDir(folder)
+
+
+def least_hashes(rows: DataFrame, by: str, hashed: str, most: int, buckets: int = 16) -> DataFrame:
+    """Of each ``by``, the ``most`` rows with the least ``hashed``, in two steps.
+
+    The first keeps as many per (``by``, hash bucket), so the task that has all of
+    a ``by`` reads at most ``buckets`` times ``most`` rows, whatever their number.
+    """
+    def cut(df: DataFrame, *keys: Column | str) -> DataFrame:
+        ranked = df.withColumn("_k", F.row_number().over(Window.partitionBy(*keys).orderBy(hashed)))
+        return ranked.where(F.col("_k") <= most).drop("_k")
+
+    return cut(cut(rows, by, F.pmod(F.col(hashed), F.lit(buckets))), by)

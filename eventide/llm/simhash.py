@@ -16,12 +16,14 @@ joins what it links into stars, so a key with m fingerprints gives fewer than m
 links, and the links of all tables go through connected components.
 
 Only fingerprints (8 bytes) take part in the search; copies and texts with the
-same fingerprint are one row there, whatever their number.  A key's distinct
-fingerprints are compared in one task in blocks of bounded size.
+same fingerprint are one row there, whatever their number.  A key of more than
+``BLOCK_PRINTS`` distinct fingerprints is dealt into blocks, and each pair of
+blocks is a cell of its own, so no task compares more than two blocks of a key.
 
 Defined results: null text has no words; texts without words have fingerprint
-zero and link like any other; a null id is never the smallest unless a component
-has no other.
+zero and link like any other; texts of any length are read whole; rows with one
+text have one fingerprint; a null id is never the smallest unless a component
+has no other; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -114,8 +116,11 @@ def near(queries: np.ndarray, planes: np.ndarray, radius: int) -> np.ndarray | N
     return ~over
 
 
-def link(prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Star links (member, centre) that join all of ``prints`` within the radius of each other."""
+def link(prints: np.ndarray, radius: int, others: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Star links (member, centre) that join all of ``prints`` within the radius of each other.
+
+    With ``others``, only the first ``others`` prints are compared with the rest.
+    """
     root = np.arange(len(prints))
 
     def find(i: int) -> int:
@@ -124,11 +129,12 @@ def link(prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
             i = root[i]
         return i
 
-    for a in range(0, len(prints), CANDIDATES):
+    for a in range(others, len(prints), CANDIDATES):
         planes = bit_planes(prints[a : a + CANDIDATES])
         size = min(CANDIDATES, len(prints) - a)
-        for q in range(0, min(a + size, len(prints)), QUERIES):
-            mask = near(prints[q : q + QUERIES], planes, radius)
+        last = others or a + size
+        for q in range(0, last, QUERIES):
+            mask = near(prints[q : min(q + QUERIES, last)], planes, radius)
             if mask is None:
                 continue
             hits = np.unpackbits(mask.view(np.uint8), axis=1, bitorder="little")[:, :size]
@@ -146,30 +152,33 @@ def link(prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _links(radius: int):
-    """Links within the runs of equal (table, key) of a sorted partition, many small runs to a block."""
+    """Links within the cells of a sorted partition, many small ones to a block."""
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         for batch in batches:
-            part = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in range(3)], axis=1)
-            rows = np.concatenate([*held, part])
-            if not len(rows):
+            part = np.stack([c.to_numpy().astype(np.int64) for c in batch.columns], axis=1)
+            if not len(part):
                 continue
-            same = (rows[1:, :2] == rows[:-1, :2]).all(axis=1)
+            if held and (part[-1, :CELL] == held[0][0, :CELL]).all():
+                held.append(part)  # one cell so far
+                continue
+            rows = np.concatenate([*held, part])
+            same = (rows[1:, :CELL] == rows[:-1, :CELL]).all(axis=1)
             last = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
             held = [rows[last:]]
             if last:
-                yield from _emit(rows[:last, 2], same[: last - 1], radius)
-        for rows in held:
-            if len(rows):
-                yield from _emit(rows[:, 2], np.ones(len(rows) - 1, dtype=bool), radius)
+                yield from _emit(rows[:last], same[: last - 1], radius)
+        if held:
+            rows = np.concatenate(held)
+            yield from _emit(rows, np.ones(len(rows) - 1, dtype=bool), radius)
 
     return linked
 
 
-def _emit(prints: np.ndarray, same: np.ndarray, radius: int) -> Iterator[pa.RecordBatch]:
-    """Compares runs (``same``: a row has the key of the row before); short runs share a block."""
-    prints = prints.view(np.uint64)
+def _emit(rows: np.ndarray, same: np.ndarray, radius: int) -> Iterator[pa.RecordBatch]:
+    """Compares the prints of each cell (``same``: a row is of the cell of the row before); short ones share a block."""
+    side, prints = rows[:, CELL], np.ascontiguousarray(rows[:, CELL + 1]).view(np.uint64)
     starts = np.flatnonzero(np.concatenate([[True], ~same]))
     sizes = np.diff(np.concatenate([starts, [len(prints)]]))
     block: list[np.ndarray] = []
@@ -182,20 +191,36 @@ def _emit(prints: np.ndarray, same: np.ndarray, radius: int) -> Iterator[pa.Reco
 
     for k in np.flatnonzero(sizes > 1):
         run = prints[starts[k] : starts[k] + sizes[k]]
-        if len(run) >= QUERIES:
+        first = int((side[starts[k] : starts[k] + sizes[k]] == 0).sum())  # a cell's sides come in order
+        if first < len(run):
+            if first:
+                found.append(link(run, radius, first))
+        elif len(run) >= QUERIES:
             found.append(link(run, radius))
-            continue
-        block.append(run)
-        if sum(map(len, block)) >= QUERIES:
-            flush()
+        else:
+            block.append(run)
+            if sum(map(len, block)) >= QUERIES:
+                flush()
     flush()
     for a, b in found:
         if len(a):
             yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
 
-def near_links(prints: DataFrame, radius: int = 3) -> DataFrame:
-    """Links ``a, b`` among distinct fingerprints (long column ``fp``) that join all within the radius."""
+#: Columns that tell a cell: table, key and the two blocks of its prints.
+CELL = 4
+#: Prints of one key that one block holds.
+BLOCK_PRINTS = 20_000
+
+
+def cells(prints: DataFrame, radius: int = 3, block_prints: int = BLOCK_PRINTS) -> DataFrame:
+    """``t, key, i, j, side, fp``: the prints (long column ``fp``) of each cell, in which all pairs are compared.
+
+    A key of a table of band pairs is one cell.  A key with more than ``block_prints``
+    prints is dealt into blocks by hash, and each pair of blocks is a cell of its own, with
+    the first block's prints on side 0 and the second's on side 1 (a block with itself:
+    all on side 0).  So a hot key is many tasks' work, and each pair of prints still meets.
+    """
     masks = band_masks(radius)
     rows = prints.select(
         "fp",
@@ -204,9 +229,25 @@ def near_links(prints: DataFrame, radius: int = 3) -> DataFrame:
                 F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for t, m in enumerate(masks)
             ])
         ).alias("k"),
+    ).select("k.t", "k.key", "fp")
+    hot = rows.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block_prints).select(
+        "t", "key", F.ceil(F.col("n") / block_prints).cast("int").alias("blocks")
+    )
+    own = F.pmod(F.xxhash64("fp"), F.coalesce("blocks", F.lit(1))).cast("int")
+    dealt = rows.join(hot, ["t", "key"], "left").select(
+        "t", "key", "fp", own.alias("b"), F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)).alias("with")
+    )
+    return dealt.select(
+        "t", "key", F.least("b", "with").alias("i"), F.greatest("b", "with").alias("j"),
+        (F.col("b") > F.col("with")).cast("int").alias("side"), "fp",
     )
+
+
+def near_links(prints: DataFrame, radius: int = 3, block_prints: int = BLOCK_PRINTS) -> DataFrame:
+    """Links ``a, b`` among distinct fingerprints (long column ``fp``) that join all within the radius."""
+    cell = ["t", "key", "i", "j"]
     return (
-        rows.select("k.t", "k.key", "fp").repartition("t", "key").sortWithinPartitions("t", "key", "fp")
+        cells(prints, radius, block_prints).repartition(*cell).sortWithinPartitions(*cell, "side", "fp")
         .mapInArrow(_links(radius), "a long, b long")
     )
 
