@@ -72,14 +72,14 @@ def use_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(folder)
 
 
-def least_hashes(rows: DataFrame, by: str, hashed: str, most: int, buckets: int = 16) -> DataFrame:
-    """Of each ``by``, the ``most`` rows with the least ``hashed``, in two steps.
+def least(rows: DataFrame, by: str, order: str, most: int, spread: str, buckets: int = 16) -> DataFrame:
+    """Of each ``by``, the ``most`` first rows by ``order``, in two steps.
 
-    The first keeps as many per (``by``, hash bucket), so the task that has all of
-    a ``by`` reads at most ``buckets`` times ``most`` rows, whatever their number.
+    The first keeps as many per (``by``, bucket of the hash column ``spread``), so the task
+    that has all of a ``by`` reads at most ``buckets`` times ``most`` rows, whatever their number.
     """
     def cut(df: DataFrame, *keys: Column | str) -> DataFrame:
-        ranked = df.withColumn("_k", F.row_number().over(Window.partitionBy(*keys).orderBy(hashed)))
+        ranked = df.withColumn("_k", F.row_number().over(Window.partitionBy(*keys).orderBy(order)))
         return ranked.where(F.col("_k") <= most).drop("_k")
 
-    return cut(cut(rows, by, F.pmod(F.col(hashed), F.lit(buckets))), by)
+    return cut(cut(rows, by, F.pmod(F.col(spread), F.lit(buckets))), by)

@@ -15,7 +15,8 @@ texts that merely collide in one digest stay apart.
 
 Defined results: null text counts as empty; a null id stays only if its group
 has no other; rows that repeat one id with equal text are counted one by one
-and share their decision (``n_keep`` counts the rows under the id that stays).
+and share their decision (``n_keep`` counts the rows under the id that stays); texts
+of any length are digested whole; an empty table gives no rows.
 """
 
 from __future__ import annotations

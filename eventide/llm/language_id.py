@@ -1,27 +1,30 @@
 """Language identification by cross-parsing against suffix automata.
 
-A bounded, documented sample of labelled text per language (``sample_docs``
-texts, ``sample_chars // sample_docs`` characters of each, half from either
-end, picked by the smallest hash of the text among the rows that may be learnt
-from) becomes one suffix
-automaton per language.  Walking a text through an automaton yields the longest
-match from each phrase start; where no transition exists a phrase ends and the
-next one starts.  The number of phrases times log2 of the sample's length is
-the text's cost in bits under that language (the normalisation: a longer sample
-gives longer matches but needs longer references).  The cheapest language wins;
-the score is its share of the summed likelihoods 2^-bits.
+A bounded, documented sample of labelled text per language becomes one suffix
+automaton per language: whole texts, at most ``sample_docs`` of them and as many
+as ``sample_chars`` characters hold (one at least), picked by the smallest hash of
+the text among the rows that may be learnt from.  Texts of more than an eighth of
+``sample_chars`` come last, the shorter ones first.  Walking a text through an
+automaton yields the longest match from each phrase start; where no transition
+exists a phrase ends and the next one starts.  The number of phrases times log2 of
+the sample's length is the text's cost in bits under that language (the
+normalisation: a longer sample gives longer matches but needs longer references).
+The cheapest language wins; the score is its share of the summed likelihoods 2^-bits.
 
 Only letters count: text is lower-cased and each run of other characters is one
-space.  Every text is parsed whole, in blocks of ``BLOCK`` symbols that all
-languages share; a block border ends a phrase.  All blocks of a batch walk the
-automata in step, one symbol at a time, as numpy lanes.
+space.  Every text is parsed whole.  All blocks of ``BLOCK`` symbols of a batch walk
+the automata in step, one symbol at a time, as numpy lanes, each as if a phrase began
+with it; then each block is walked again from the state in which the one before it
+ended, until both walks are in the same state, and its count is set right.  So
+phrases run over block borders, and ``BLOCK`` changes the time only.
 
 The sample, not the automata, travels to the tasks: each Python worker builds
 the tables once.
 
 Defined results: ``und`` with score 0 for null text, for text without a letter,
 and for every text if nothing could be learnt.  Equal costs go to the language
-that sorts first.
+that sorts first; rows that repeat a text are one sample text and get equal results;
+an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -36,7 +39,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .arrays import code_points, letter_table, slices
-from .common import packed
+from .common import least, packed
 
 UNDETERMINED = "und"
 BLOCK = 4096
@@ -56,21 +59,20 @@ def learn(
     sample_docs: int = 64, sample_chars: int = 24_000,
 ) -> Profile:
     """A profile from at most ``sample_docs`` labelled texts per language."""
-    half = sample_chars // sample_docs // 2
-    ends = F.concat_ws(" ", F.substring("text", 1, half), F.substring("text", -half, half))
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
     if usable is not None:
         rows = rows.where(usable)
-    keyed = rows.select(F.col(lang_col).alias("lang"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
-    first = Window.partitionBy("lang").orderBy("h")
-    picked = (
-        keyed.select("lang", "h").distinct().withColumn("k", F.row_number().over(first))
-        .where(F.col("k") <= sample_docs).select("lang", "h")
-    )
-    sample = (
-        keyed.join(F.broadcast(picked), ["lang", "h"]).groupBy("lang", "h")
-        .agg(F.min(ends).alias("text"))
+    rank = F.struct(F.greatest(F.length(text_col), F.lit(sample_chars // 8)).alias("chars"), F.xxhash64(text_col).alias("h"))
+    keyed = rows.select(
+        F.col(lang_col).alias("lang"), F.xxhash64(text_col).alias("h"), rank.alias("rank"), F.length(text_col).alias("n"),
+        F.col(text_col).alias("text"),
     )
+    picked = least(keyed.select("lang", "h", "rank", "n").distinct(), "lang", "rank", sample_docs, "h")
+    upto = Window.partitionBy("lang").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
+    picked = picked.withColumn("upto", F.sum("n").over(upto)).where(
+        (F.col("upto") <= sample_chars) | (F.col("upto") == F.col("n"))
+    ).select("lang", "h")
+    sample = keyed.join(F.broadcast(picked), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text"))
     texts: dict[str, list[str]] = {}
     for row in sample.orderBy("lang", "h").collect():
         texts.setdefault(row["lang"], []).append(row["text"])
@@ -148,22 +150,64 @@ def _phrases(symbols: np.ndarray, starts: np.ndarray, machine: "_Machine") -> np
     begin = starts[owner] + nth * BLOCK
     length = np.minimum(sizes[owner] - nth * BLOCK, BLOCK)
     order = np.argsort(-length, kind="stable")
-    owner, begin, length = owner[order], begin[order], length[order]
+    sorted_begin, sorted_length = begin[order], length[order]
     state = np.repeat(machine.roots[:, None], len(owner), axis=1)
     ended = np.zeros(state.shape, dtype=np.int32)
-    longest = int(length[0]) if len(length) else 0
-    active = len(length) - np.searchsorted(length[::-1], np.arange(longest), side="right")
+    longest = int(sorted_length[0]) if len(length) else 0
+    active = len(length) - np.searchsorted(sorted_length[::-1], np.arange(longest), side="right")
     for t in range(longest):
         k = active[t]
-        step = machine.table.take(state[:, :k] + symbols[begin[:k] + t])
+        step = machine.table.take(state[:, :k] + symbols[sorted_begin[:k] + t])
         state[:, :k] = step >> 2
         ended[:, :k] += step & 3
-    ended += state != machine.roots[:, None]
+    back = np.empty(len(order), dtype=np.int64)
+    back[order] = np.arange(len(order))
+    state, ended = state[:, back], ended[:, back]
+    if len(owner) and int(nth.max()) > 0:
+        ended, state = _continued(symbols, begin, length, nth, state, ended, machine)
+    last = np.append(owner[1:] != owner[:-1], True) if len(owner) else np.zeros(0, dtype=bool)
     total = np.zeros((len(sizes), len(machine.roots)))
     np.add.at(total, owner, ended.T)
+    np.add.at(total, owner[last], (state[:, last] != machine.roots[:, None]).T)
     return total
 
 
+def _continued(
+    symbols: np.ndarray, begin: np.ndarray, length: np.ndarray, nth: np.ndarray, state: np.ndarray, ended: np.ndarray,
+    machine: "_Machine",
+) -> tuple[np.ndarray, np.ndarray]:
+    """Phrase ends and end states of blocks that go on from the block before them.
+
+    A block's walk from the true state and that from the root meet after a few
+    phrases.  A block in which they do not meet ends in another state than was assumed,
+    so the next one is walked again.
+    """
+    ends, right = state.copy(), np.zeros_like(ended)
+    again = (nth[None, 1:] > 0) & (state[:, :-1] != machine.roots[:, None])
+    lang, block = np.nonzero(again)
+    block = block + 1
+    while len(block):
+        true, assumed = ends[lang, block - 1], machine.roots[lang].copy()
+        off = np.zeros(len(block), dtype=np.int32)
+        before = ends[lang, block].copy()
+        live, t = np.arange(len(block)), 0
+        while len(live):
+            at = symbols[begin[block[live]] + t]
+            a, b = machine.table.take(true[live] + at), machine.table.take(assumed[live] + at)
+            true[live], assumed[live] = a >> 2, b >> 2
+            off[live] += (a & 3) - (b & 3)
+            t += 1
+            live = live[(true[live] != assumed[live]) & (t < length[block[live]])]
+        met = true == assumed
+        right[lang, block] = off
+        ends[lang, block] = np.where(met, state[lang, block], true)
+        changed = (ends[lang, block] != before) & (block + 1 < len(nth))
+        lang, block = lang[changed], block[changed] + 1
+        inside = nth[block] > 0
+        lang, block = lang[inside], block[inside]
+    return ended + right, ends
+
+
 @dataclass(frozen=True)
 class _Machine:
     """``table[state + symbol]`` is four times the next state, plus the phrases that end by that step.

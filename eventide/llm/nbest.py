@@ -16,7 +16,8 @@ pieces are longer; in a text, the detour in the earlier chunk.
 
 Defined results: null gives null ids and an empty list of costs; empty text
 gives no ids, with the one cost 0; a text with fewer than ``n`` segmentations
-lists all it has.  ``decode(encode(text)) == text`` for every text.
+lists all it has; texts and chunks of any length are encoded whole; equal rows get
+equal results; an empty table gives no rows.  ``decode(encode(text)) == text`` for every text.
 """
 
 from __future__ import annotations

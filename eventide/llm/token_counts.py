@@ -8,7 +8,9 @@ a text's count is the sum over its chunks.  The trie is walked in the order of
 the sorted chunks, so only the path to the current node is held.
 
 Defined results: null and empty texts have the one chunk of the extra space
-only and count 0 tokens.
+only and count 0 tokens; a text of any length is split and counted whole, with its
+chunks held at once; of pieces with equal cost the fewer count; equal rows get equal
+counts; an empty table gives no rows.
 """
 
 from __future__ import annotations

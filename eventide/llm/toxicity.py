@@ -49,7 +49,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import code_points, letter_table, slices
-from .common import least_hashes, row_key
+from .common import least, row_key
 
 #: The letters that a sign may stand for.
 STANDS_FOR = {
@@ -304,7 +304,7 @@ def learn(
     sizes = {r["y"]: r["n"] for r in train.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes.get(0) or not sizes.get(1):
         return Model(_log_probabilities(counts, []).tobytes(), (), -math.inf, 0.0)
-    picked = least_hashes(train, "y", "_h", per_class)
+    picked = least(train, "y", "_h", per_class, "_h")
     sample = (
         docs.select(F.xxhash64(text_col).alias("_h"), F.col(text_col).alias("text"))
         .join(F.broadcast(picked.select("_h", "y")), "_h")

@@ -105,6 +105,30 @@ def test_language_blocks_cut_long_texts():
     assert bits[0, 0] / np.log2(len(profile.samples[0])) <= whole + 2 * blocks
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text("abc é", max_size=60), min_size=1, max_size=5), st.text("ab cé", min_size=3, max_size=60), st.integers(1, 9))
+def test_language_phrases_run_over_block_borders(texts, sample, block):
+    if not any(c.isalpha() for c in sample):
+        return
+    profile = language_id.Profile(("xx", "yy"), (sample, sample[::-1]))
+    whole, _ = language_id.parse_costs(texts, profile)
+    held, language_id.BLOCK = language_id.BLOCK, block
+    try:
+        cut, _ = language_id.parse_costs(texts, profile)
+    finally:
+        language_id.BLOCK = held
+    assert np.array_equal(whole, cut)
+
+
+def test_language_learns_from_whole_texts(spark):
+    rows = [("en", "the " * 100 + f"end{i}") for i in range(9)] + [("de", "lang " * 20_000), ("de", "kurz " * 8_000), ("fr", "le mot")]
+    docs = spark.createDataFrame([(t, lang) for lang, t in rows * 2], "text string, lang string")
+    got = language_id.learn(docs, sample_docs=5, sample_chars=1_700)
+    assert got.languages == ("de", "en", "fr") and got.samples[2] == "le mot"
+    assert got.samples[0] == "kurz " * 8_000  # the shortest one, whole, where all are long
+    assert got.samples[1].count("end") == 4 and len(got.samples[1]) <= 1_700 + 4
+
+
 def test_language_held_out_accuracy(spark):
     got = queries.op1_language_id(spark, SF001)
     docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "lang")
