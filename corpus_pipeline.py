@@ -2,7 +2,8 @@
 
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir)
 and returns what it keeps.  ``run`` applies them to ``documents`` with every
-stage's result written as Parquet and read again.
+stage's result written as Parquet and read again; a stage's files go once the
+next stage's are written.
 """
 
 from __future__ import annotations
@@ -67,4 +68,12 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
+        if k:
+            _remove(spark, f"{folder}/{k - 1}")  # its successor is written: nothing reads it again
     return docs
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    """Deletes a stage's files, on whatever file system they are."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
