@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import poly_hash
-from ..functions.time import duration_ms, floor_to
+from ..functions.time import duration_ms, floor_to, to_ms
 from .prefix import bucketed_running
-from .windows import windowed_agg
+from .runs import extreme_runs
+from .windows import DELTA_RATIO_THRESHOLD, expand_runs, windowed_agg
 
 
 SEQ_DIGITS = 19  # decimal digits of a non-negative bigint sequence number
@@ -123,13 +124,18 @@ def running_distinct_users(
 
 
 def min_max(df: DataFrame, keys: list[str], ts: str, value: str, size, slide=None) -> DataFrame:
-    """(keys, min, max, window_end) per window; true minimum and maximum."""
-    res = windowed_agg(
-        df, keys, ts, size,
-        [F.min(value).alias(f"min_{value}"), F.max(value).alias(f"max_{value}")],
-        slide,
-    )
-    return res.select(*keys, f"min_{value}", f"max_{value}", "window_end")
+    """(keys, min, max, window_end) per window; true minimum and maximum.
+
+    Windows that overlap more than ``DELTA_RATIO_THRESHOLD`` times are computed in
+    run form (``runs.min_max_runs``) and expanded at the end; the rows are the same.
+    """
+    low, high = f"min_{value}", f"max_{value}"
+    if _overlap(size, slide) > DELTA_RATIO_THRESHOLD:
+        # Windows whose values are all null have a row, as they have in a grouping.
+        found = _from_runs(df, keys, ts, {low: ("min", value), high: ("max", value), "_seen": ("min", "_ms")}, size, slide)
+        return found.select(*keys, low, high, "window_end")
+    res = windowed_agg(df, keys, ts, size, [F.min(value).alias(low), F.max(value).alias(high)], slide)
+    return res.select(*keys, low, high, "window_end")
 
 
 def first_with_min(
@@ -138,14 +144,27 @@ def first_with_min(
     """A9 reduce: the window's first row keeps its time, value = min.
 
     The first row's time is the least time, whichever row of it came first
-    (``seq`` orders rows of equal time and so can not change it).
+    (``seq`` orders rows of equal time and so can not change it).  Windows that
+    overlap often are computed in run form, as in ``min_max``.
     """
-    res = windowed_agg(
-        df, keys, ts, size,
-        [F.min(ts_ms).alias("first_ts"), F.min(value).alias(f"min_{value}")],
-        slide,
-    )
-    return res.select(*keys, "window_end", "first_ts", f"min_{value}")
+    low = f"min_{value}"
+    if _overlap(size, slide) > DELTA_RATIO_THRESHOLD:
+        found = _from_runs(df, keys, ts, {"first_ts": ("min", ts_ms), low: ("min", value)}, size, slide)
+        return found.select(*keys, "window_end", "first_ts", low)
+    res = windowed_agg(df, keys, ts, size, [F.min(ts_ms).alias("first_ts"), F.min(value).alias(low)], slide)
+    return res.select(*keys, "window_end", "first_ts", low)
+
+
+def _overlap(size, slide) -> int:
+    return 1 if slide is None else duration_ms(size) // duration_ms(slide)
+
+
+def _from_runs(df: DataFrame, keys: list[str], ts: str, extremes: dict[str, tuple[str, str]], size, slide) -> DataFrame:
+    """``keys, window_end`` and the extremes, one row per window, from their runs."""
+    rows = df.withColumn("_ms", to_ms(F.col(ts)))
+    found = extreme_runs(rows, keys, "_ms", extremes, size, slide)
+    packed = found.select(*keys, "start", "stop", F.struct(*extremes).alias("_x"))
+    return expand_runs(packed, keys, slide, "_x").select(*keys, "window_end", "_x.*")
 
 
 def hll_sketches(df: DataFrame, user: str, ts_ms: str, size, lg_k: int = 12) -> DataFrame:

@@ -5,7 +5,7 @@ them equal to the one before.  The operators here compute the change points
 only, and give rows ``start`` to ``stop`` (the first window end, and the first
 one after the last) with the result that holds there:
 
-* ``extreme_runs``: minimum and maximum per key and sliding window (A8 on W2);
+* ``extreme_runs``: minima and maxima per key and sliding window (A8, A9 on W2);
 * ``distinct_deltas``: exact distinct users per sliding window (A5 on W2), as
   deltas for ``windows.deltas_to_runs`` / ``deltas_to_counts``;
 * ``top_n_runs``: rankings per sliding window (K1 on W2) from runs of counts;
@@ -19,6 +19,7 @@ result is one task's work.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -73,13 +74,13 @@ def _joined(runs: DataFrame, by: list[str], values: list[str]) -> DataFrame:
 # ------------------------------------------------------------------ minimum and maximum
 
 
-def extreme_runs(
-    df: DataFrame, keys: list[str], ts_ms: str, value: str, size, slide, low: str | None = None, high: str | None = None
-) -> DataFrame:
-    """A8 on W2: runs of the minimum and maximum per key over sliding windows.
+def extreme_runs(df: DataFrame, keys: list[str], ts_ms: str, extremes: dict[str, tuple[str, str]], size, slide) -> DataFrame:
+    """A8, A9 on W2: runs of extremes per key over sliding windows.
 
-    Returns ``keys, _b, start, stop, min_<value>, max_<value>``, cut at bucket
-    borders (``merge_runs`` joins them); windows without a value are left out.
+    ``extremes`` maps an output name to ``("min" or "max", column)``.  Returns
+    ``keys, _b, start, stop`` and the outputs, cut at bucket borders (``merge_runs``
+    joins them).  Rows in which all the columns are null do not count; windows
+    without another row are left out.
 
     Extremes can not be undone, so deltas do not help.  Time is cut into blocks
     as long as the window: a window lies in two neighbouring blocks, and its
@@ -91,10 +92,14 @@ def extreme_runs(
     prefix scan and the order of the change points.
     """
     size_ms, slide_ms = duration_ms(size), duration_ms(slide)
-    low, high = low or f"min_{value}", high or f"max_{value}"
+    fold = {out: F.min if kind == "min" else F.max for out, (kind, _) in extremes.items()}
+    both = {out: F.least if kind == "min" else F.greatest for out, (kind, _) in extremes.items()}
+    def any_set(columns) -> Column:
+        return reduce(Column.__or__, [F.col(c).isNotNull() for c in columns])
+
     pane = floor_to(F.col(ts_ms), _pane_ms(size_ms, slide_ms))
-    panes = df.where(F.col(value).isNotNull()).groupBy(*keys, pane.alias("_p")).agg(
-        F.min(value).alias("_low"), F.max(value).alias("_high")
+    panes = df.where(any_set(c for _, c in extremes.values())).groupBy(*keys, pane.alias("_p")).agg(
+        *[fold[out](c).alias(out) for out, (_, c) in extremes.items()]
     )
     p = F.col("_p")
     block = F.floor(p / F.lit(size_ms)).cast("bigint")
@@ -105,46 +110,47 @@ def extreme_runs(
         bound = (group + 1) * F.lit(size_ms) - F.lit(phase)
         return F.ceil(bound / F.lit(slide_ms)).cast("bigint") * F.lit(slide_ms) + F.lit(phase)
 
-    none = F.lit(None).cast(panes.schema["_low"].dataType)
+    def row(group: Column, y: Column, kind: int, side: str | None = None) -> Column:
+        """A pane's extremes on the side of the suffixes or the prefixes, or a change point without any."""
+        held = [
+            (F.col(out) if s == side else F.lit(None).cast(panes.schema[out].dataType)).alias(f"_{s}_{out}")
+            for s in ("suffix", "prefix") for out in extremes
+        ]
+        return F.struct(group.alias("_b"), y.alias("_y"), F.lit(kind).alias("_kind"), *held)
 
-    def held(group: Column, y: Column, first: bool) -> Column:
-        ahead, behind = (F.col("_low"), F.col("_high")), (none, none)
-        a, b = (ahead, behind) if first else (behind, ahead)
-        return F.struct(
-            group.alias("_b"), y.alias("_y"), F.lit(1).alias("_kind"),
-            a[0].alias("_s_low"), a[1].alias("_s_high"), b[0].alias("_p_low"), b[1].alias("_p_high"),
-        )
-
-    def change(end: Column, group: Column | None = None) -> Column:
-        group = F.floor(end / F.lit(size_ms)).cast("bigint") - 1 if group is None else group
-        return F.struct(
-            group.alias("_b"), end.alias("_y"), F.lit(0).alias("_kind"),
-            none.alias("_s_low"), none.alias("_s_high"), none.alias("_p_low"), none.alias("_p_high"),
-        )
+    def change(end: Column) -> Column:
+        return row(F.floor(end / F.lit(size_ms)).cast("bigint") - 1, end, 0)
 
     rows = F.array(
-        held(block, p + F.lit(size_ms), True), held(block - 1, p, False),
+        row(block, p + F.lit(size_ms), 1, "suffix"), row(block - 1, p, 1, "prefix"),
         change(_first_end(p, size_ms, slide_ms)), change(_end_after(p, size_ms, slide_ms)),
-        change(group_start(block), block),
+        row(block, group_start(block), 0),
     )
     spread = panes.select(*keys, F.explode(rows).alias("_r")).select(*keys, "_r.*").repartition(*keys, "_b")
     spread = spread.groupBy(*keys, "_b", "_y", "_kind").agg(
-        F.min("_s_low").alias("_s_low"), F.max("_s_high").alias("_s_high"),
-        F.min("_p_low").alias("_p_low"), F.max("_p_high").alias("_p_high"),
+        *[fold[out](f"_{s}_{out}").alias(f"_{s}_{out}") for s in ("suffix", "prefix") for out in extremes]
     )
     order = Window.partitionBy(*keys, "_b").orderBy("_y", "_kind")
     ahead, behind = order.rowsBetween(0, Window.unboundedFollowing), order.rowsBetween(Window.unboundedPreceding, 0)
-    seen = spread.select(
-        *keys, "_b", "_y", "_kind",
-        F.least(F.min("_s_low").over(ahead), F.min("_p_low").over(behind)).alias(low),
-        F.greatest(F.max("_s_high").over(ahead), F.max("_p_high").over(behind)).alias(high),
-    ).where("_kind = 0")
+    seen = spread.select(*keys, "_b", "_y", "_kind", *[
+        both[out](fold[out](f"_suffix_{out}").over(ahead), fold[out](f"_prefix_{out}").over(behind)).alias(out) for out in extremes
+    ]).where("_kind = 0")
     next_end = F.coalesce(F.lead("_y").over(Window.partitionBy(*keys, "_b").orderBy("_y")), group_start(F.col("_b") + 1))
-    return seen.select(*keys, "_b", F.col("_y").alias("start"), next_end.alias("stop"), low, high).where(
-        F.col(low).isNotNull() & (F.col("stop") > F.col("start"))
+    return seen.select(*keys, "_b", F.col("_y").alias("start"), next_end.alias("stop"), *extremes).where(
+        any_set(extremes) & (F.col("stop") > F.col("start"))
     )
 
 
+def min_max_runs(df: DataFrame, keys: list[str], ts_ms: str, value: str, size, slide) -> DataFrame:
+    """A8 on W2: runs of ``min_<value>`` and ``max_<value>``; null values do not count."""
+    return extreme_runs(df, keys, ts_ms, {f"min_{value}": ("min", value), f"max_{value}": ("max", value)}, size, slide)
+
+
+def first_with_min_runs(df: DataFrame, keys: list[str], ts_ms: str, value: str, size, slide) -> DataFrame:
+    """A9 on W2: runs of the window's first time (``first_ts``) and ``min_<value>``."""
+    return extreme_runs(df, keys, ts_ms, {"first_ts": ("min", ts_ms), f"min_{value}": ("min", value)}, size, slide)
+
+
 # ------------------------------------------------------------------ distinct users
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import equals, exclude_static_assets, is_static_asset, not_equals, split_words
 from ..functions.time import duration_ms, floor_to, format_bound
-from ..operators import aggregates, gate, late, mergeable, rank, rising, routing, runs, sequence, windows
+from ..operators import aggregates, gate, late, lifecycle, mergeable, rank, rising, routing, runs, sequence, windows
 from ..sources import connectors, tables, text
 
 HOUR = "1 hour"
@@ -314,16 +314,27 @@ def sensor_minmax(spark: SparkSession, sf_dir: str) -> DataFrame:
 STATIONS = 16  # sensors of one station; a single sensor reads once in hours
 
 
+def _stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = tables.events(spark, sf_dir)
+    return ev.select((F.col("user_id") % STATIONS).alias("station"), "ts_ms", F.col("value").alias("temperature"))
+
+
 def station_minmax_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A8 on W2 1h/1s in run form: stretches of window ends with one min and max temperature per station."""
     size, slide = duration_ms(HOUR), duration_ms("1 second")
-    ev = tables.events(spark, sf_dir)
-    readings = ev.select((F.col("user_id") % STATIONS).alias("station"), "ts_ms", F.col("value").alias("temperature"))
-    extremes = runs.extreme_runs(readings, ["station"], "ts_ms", "temperature", size, slide)
+    extremes = runs.min_max_runs(_stations(spark, sf_dir), ["station"], "ts_ms", "temperature", size, slide)
     values = ["min_temperature", "max_temperature"]
     return runs.merge_runs(extremes, ["station"], values).select("station", *_run_bounds(slide), *values)
 
 
+def station_reduce_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A9 on W2 1h/5s in run form: stretches of window ends with one first reading's time and min temperature per station."""
+    size, slide = duration_ms(HOUR), duration_ms("5 seconds")
+    reduced = runs.first_with_min_runs(_stations(spark, sf_dir), ["station"], "ts_ms", "temperature", size, slide)
+    values = ["first_ts", "min_temperature"]
+    return runs.merge_runs(reduced, ["station"], values).select("station", *_run_bounds(slide), *values)
+
+
 def value_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per event type and day, the bins (5 wide) of the median and the 95th percentile, by a user-defined aggregate."""
     ev = tables.events(spark, sf_dir).withColumn("day", F.floor(F.col("ts_ms") / routing.DAY_MS).cast("bigint"))
@@ -549,6 +560,24 @@ def windowed_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.tumbling_count(words, ["word"], "ts", "10 seconds").select("word", "window_end", "cnt")
 
 
+def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The body of the document that the sink writes for every event's type and item."""
+    ev = tables.events(spark, sf_dir)
+    element = F.concat_ws(":", "event_type", F.col("item_id").cast("string"))
+    return connectors.as_documents(ev.select(element.alias("value")))
+
+
+def printed_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T2 side -> S9: the limiter's warnings as the lines that the print sink writes, with its prefix."""
+    return connectors.printed_lines(ad_blacklist(spark, sf_dir), "black list").withColumnRenamed("value", "line")
+
+
+def id_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event's id as a string."""
+    ids = tables.events(spark, sf_dir).select(F.col("event_id").cast("int").alias("value"))
+    return lifecycle.ints_to_strings(ids)
+
+
 REGISTRY = {
     "page_views": page_views,
     "hot_items": hot_items,
@@ -591,4 +620,8 @@ REGISTRY = {
     "unique_visitors_bitmap_sliding": unique_visitors_bitmap_sliding,
     "value_quantiles": value_quantiles,
     "windowed_word_count": windowed_word_count,
+    "station_reduce_runs": station_reduce_runs,
+    "event_documents": event_documents,
+    "printed_warnings": printed_warnings,
+    "id_strings": id_strings,
 }

@@ -413,6 +413,26 @@ FROM (SELECT ts_ms, unnest([event_type, 'item' || (item_id % 6)]
 GROUP BY 1, 2
 """
 
+STATION_REDUCE_RUNS = _with(EV) + f"""
+, seen AS (
+  SELECT station, window_end, min(ts_ms) AS first_ts, min(value) AS min_temperature
+  FROM (SELECT user_id % 16 AS station, ts_ms, value, unnest({sliding_ends('ts_ms', 3_600_000, 5_000)}) AS window_end FROM ev)
+  GROUP BY station, window_end)""" + islands(
+    "seen", "station, first_ts, min_temperature", 5_000, "station, first_ts, min_temperature"
+)
+
+EVENT_DOCUMENTS = _with(EV) + """
+SELECT '{"data":"' || event_type || ':' || item_id || '"}' AS doc FROM ev
+"""
+
+PRINTED_WARNINGS = _with(EV, LIMITED) + """
+SELECT 'black list> {"user_id":"' || user_id || '","day":' || (ts_ms // 86400000)
+       || ',"msg":"Click over 1 times today."}' AS line
+FROM limited WHERE rn = 3
+"""
+
+ID_STRINGS = "SELECT CAST(event_id AS VARCHAR) AS value FROM events"
+
 # A result of 22.9 M rows at sf0.01; tests compare it with whole-table
 # fingerprints, and row by row in the run form (``marketing_runs``).
 FINGERPRINT_ONLY = {"marketing_by_channel": MARKETING_BY_CHANNEL}
@@ -461,4 +481,8 @@ def oracle_sql() -> dict[str, str]:
         "unique_visitors_bitmap_sliding": UNIQUE_VISITORS_BITMAP_SLIDING,
         "value_quantiles": VALUE_QUANTILES,
         "windowed_word_count": WINDOWED_WORD_COUNT,
+        "station_reduce_runs": STATION_REDUCE_RUNS,
+        "event_documents": EVENT_DOCUMENTS,
+        "printed_warnings": PRINTED_WARNINGS,
+        "id_strings": ID_STRINGS,
     }

@@ -40,7 +40,7 @@ def test_extreme_runs_equal_every_window(spark, size, slide, n):
         if v is not None:
             for e in ends_of(t, size, slide):
                 want.setdefault((k, e), []).append(v)
-    found = runs.extreme_runs(df, ["k"], "ts_ms", "v", size, slide)
+    found = runs.min_max_runs(df, ["k"], "ts_ms", "v", size, slide)
     got = {}
     for r in found.collect():
         for e in range(r["start"], r["stop"], slide):
@@ -59,12 +59,30 @@ def test_extreme_runs_equal_the_window_operator(spark):
     ev = jobs._sensors(spark, SF0001).withColumn("id", F.col("id").substr(1, 1))
     want = aggregates.min_max(ev, ["id"], "ts", "temperature", "12 hours", "3 hours")
     got = windows.expand_runs(
-        runs.extreme_runs(ev, ["id"], "ts_ms", "temperature", "12 hours", "3 hours")
+        runs.min_max_runs(ev, ["id"], "ts_ms", "temperature", "12 hours", "3 hours")
         .withColumn("both", F.struct("min_temperature", "max_temperature")), ["id"], "3 hours", "both")
     got = got.select("id", "both.*", "window_end")
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
+@pytest.mark.parametrize("size,slide", [(60_000, 2_000), (50_000, 2_900)])
+def test_often_overlapping_windows_take_the_run_form(spark, monkeypatch, size, slide):
+    """Minimum, maximum and reduce of windows with and without the run form have the same rows."""
+    _, df = _events(spark, 80, 400_000, slide)
+    df = df.withColumn("ts", F.timestamp_millis("ts_ms")).withColumn("seq", F.monotonically_increasing_id())
+    jobs_of = [
+        lambda: aggregates.min_max(df, ["k"], "ts", "v", size, slide),
+        lambda: aggregates.first_with_min(df, ["k"], "ts", "ts_ms", "seq", "v", size, slide),
+    ]
+    in_runs = [job() for job in jobs_of]
+    assert all("explode(sequence(start" in r._jdf.queryExecution().optimizedPlan().toString() for r in in_runs)
+    monkeypatch.setattr(aggregates, "DELTA_RATIO_THRESHOLD", 10_000)
+    for got, job in zip(in_runs, jobs_of):
+        want = job()
+        assert got.columns == want.columns and got.count() == want.count()
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
 @pytest.mark.parametrize("size,slide", SIZES)
 @pytest.mark.parametrize("keys", [[], ["k"]])
 def test_distinct_users_equal_every_window(spark, size, slide, keys):
