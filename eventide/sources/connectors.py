@@ -31,17 +31,23 @@ def kafka_user_actions(
     the topic under the same group would share its partitions.  Split good rows
     and rejects per micro-batch with ``valid_and_rejected``.
     """
-    raw = (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribe", topic)
-        .option("kafka.group.id", group_id)
-        .option("startingOffsets", starting_offsets)
-        .load()
-    )
+    options = source_options(servers, topic, group_id, starting_offsets)
+    raw = spark.readStream.format("kafka").options(**options).load()
     return parse_delimited(_as_lines(raw), USER_ACTION_FIELDS)
 
 
+def source_options(servers: str, topic: str, group_id: str, starting_offsets: str = "latest") -> dict[str, str]:
+    """What the bus reader is told."""
+    return {
+        "kafka.bootstrap.servers": servers, "subscribe": topic, "kafka.group.id": group_id, "startingOffsets": starting_offsets,
+    }
+
+
+def sink_options(servers: str, topic: str) -> dict[str, str]:
+    """What the bus writer is told."""
+    return {"kafka.bootstrap.servers": servers, "topic": topic}
+
+
 def _as_lines(raw: DataFrame) -> DataFrame:
     return raw.select(F.col("value").cast("string").alias("value"))
 
@@ -87,12 +93,7 @@ def with_messages(actions: DataFrame) -> DataFrame:
 
 def publish(messages: DataFrame, servers: str, topic: str) -> None:
     """Write a batch of ``value`` rows to a topic (distributed, no driver loop)."""
-    (
-        messages.write.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("topic", topic)
-        .save()
-    )
+    messages.select("value").write.format("kafka").options(**sink_options(servers, topic)).save()
 
 
 def as_documents(df: DataFrame, col: str = "value") -> DataFrame:

@@ -1,6 +1,7 @@
 """Parsers, encoders, document sink body, literals and the lifecycle map."""
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from eventide.operators.lifecycle import ints_to_strings, map_with_lifecycle
@@ -128,3 +129,28 @@ def test_parsed_lines_keep_rejects_and_null_lines(spark):
     good, bad = text.ad_clicks(lines)
     assert good.columns == ["user_id", "ad_id", "province", "city", "ts_s", "ts", "ts_ms"] and good.count() == 2
     assert sorted((r["line"] for r in bad.collect()), key=str) == ["", "1,2,p,c,", None, "x,2,p,c,5"]
+
+
+def test_bus_options_and_payload(spark):
+    """The connector itself is not on the class path: what it is told, and what is made of its payload."""
+    assert connectors.source_options("h:9092", "hotitems", "consumer-group") == {
+        "kafka.bootstrap.servers": "h:9092", "subscribe": "hotitems", "kafka.group.id": "consumer-group", "startingOffsets": "latest",
+    }
+    assert connectors.sink_options("h:9092", "hotitems") == {"kafka.bootstrap.servers": "h:9092", "topic": "hotitems"}
+    payload = spark.createDataFrame([(None, bytearray(b"1,2,3,pv,5")), (bytearray(b"k"), bytearray(b"1,2,3")), (None, None)],
+                                    "key binary, value binary")
+    good, bad = connectors.parse_payload(payload)
+    assert [tuple(r)[:5] for r in good.collect()] == [("1", "2", "3", "pv", 5)]
+    assert sorted((r["line"] for r in bad.collect()), key=str) == ["1,2,3", None]
+    for call in (lambda: connectors.kafka_user_actions(spark, "h:9092"),
+                 lambda: connectors.publish(payload, "h:9092", "hotitems")):
+        with pytest.raises(Exception, match="(?i)kafka"):
+            call()
+
+
+def test_messages_round_trip_or_are_not_sendable(spark):
+    rows = [("1", "2", "3", "pv", 5), ("1", "2,2", "3", "pv", 5), ("1", None, "3", "a\nb", 5), (None, "", "3", "pv", None)]
+    actions = spark.createDataFrame(rows, "user_id string, item_id string, category_id string, behavior string, ts_s long")
+    encoded = connectors.with_messages(actions).collect()
+    assert [(r["value"], r["_sendable"]) for r in encoded] == [
+        ("1,2,3,pv,5", True), ("1,2,2,3,pv,5", False), ("1,,3,a\nb,5", False), (",,3,pv,", True)]
