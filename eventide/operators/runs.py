@@ -88,8 +88,8 @@ def extreme_runs(df: DataFrame, keys: list[str], ts_ms: str, extremes: dict[str,
     are aggregated to panes first (map-side combine).  Block ``k`` and the block
     after it meet in group ``k``, on the axis of window ends: a pane at ``p`` of
     the first block is in the windows up to ``p + size``, one of the second in
-    those after ``p``.  So one sort per (key, group) serves the suffix scan, the
-    prefix scan and the order of the change points.
+    those after ``p``.  So one exchange per (key, group) serves the suffix scan,
+    from the last row back, the prefix scan and the order of the change points.
     """
     size_ms, slide_ms = duration_ms(size), duration_ms(slide)
     fold = {out: F.min if kind == "min" else F.max for out, (kind, _) in extremes.items()}
@@ -130,8 +130,10 @@ def extreme_runs(df: DataFrame, keys: list[str], ts_ms: str, extremes: dict[str,
     spread = spread.groupBy(*keys, "_b", "_y", "_kind").agg(
         *[fold[out](f"_{s}_{out}").alias(f"_{s}_{out}") for s in ("suffix", "prefix") for out in extremes]
     )
-    order = Window.partitionBy(*keys, "_b").orderBy("_y", "_kind")
-    ahead, behind = order.rowsBetween(0, Window.unboundedFollowing), order.rowsBetween(Window.unboundedPreceding, 0)
+    group = Window.partitionBy(*keys, "_b")
+    behind = group.orderBy("_y", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    # The rows ahead, as those behind from the other end: Spark folds a frame up to the last row anew for each row.
+    ahead = group.orderBy(F.desc("_y"), F.desc("_kind")).rowsBetween(Window.unboundedPreceding, 0)
     seen = spread.select(*keys, "_b", "_y", "_kind", *[
         both[out](fold[out](f"_suffix_{out}").over(ahead), fold[out](f"_prefix_{out}").over(behind)).alias(out) for out in extremes
     ]).where("_kind = 0")

@@ -169,6 +169,29 @@ def test_no_window_is_expanded_in_run_form(spark):
         assert "explode(sequence(start" not in plan and "window(" not in plan, job.__name__
 
 
+def test_extremes_are_scanned_from_one_end(spark):
+    """Spark folds a frame that reaches to the last row anew for each row: the square of a group's rows."""
+    for job in (jobs.station_minmax_runs, jobs.station_reduce_runs):
+        plan = job(spark, SF0001)._jdf.queryExecution().executedPlan().toString()
+        assert "unboundedpreceding$(), currentrow$()" in plan and "currentrow$(), unboundedfollowing$()" not in plan, job.__name__
+
+
+def test_extremes_of_a_dense_group_match_a_scan(spark):
+    """An hour with a reading in every second of one key, and a sparse one beside it."""
+    rng = random.Random(11)
+    dense = [("d", t * 1000, float(rng.randrange(1000))) for t in range(7200)]
+    sparse = [("s", rng.randrange(7_200_000), None if k % 5 == 0 else float(k)) for k in range(40)]
+    df = spark.createDataFrame(dense + sparse, "k string, ts_ms long, v double")
+    found = runs.merge_runs(runs.min_max_runs(df, ["k"], "ts_ms", "v", H, 1000), ["k"], ["min_v", "max_v"]).collect()
+    got = {(r["k"], e): (r["min_v"], r["max_v"]) for r in found for e in range(r["start"], r["stop"], 1000)}
+    assert len(got) == sum((r["stop"] - r["start"]) // 1000 for r in found)
+    held = {k: [(t, v) for key, t, v in dense + sparse if key == k and v is not None] for k in "ds"}
+    for k in "ds":
+        for e in [*range(1000, 10_802_000, 97_000), *rng.sample(range(1000, 10_802_000, 1000), 60)]:
+            inside = [v for t, v in held[k] if e - H <= t < e]
+            assert got.get((k, e)) == ((min(inside), max(inside)) if inside else None), (k, e)
+
+
 def test_top_n_runs_are_cut_before_their_exchange(spark):
     plan = jobs.hot_urls_runs(spark, SF0001)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
