@@ -22,21 +22,21 @@ equal results; an empty table gives no rows.  ``decode(encode(text)) == text`` f
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain, product
+from math import prod
 from operator import itemgetter
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .arrays import code_points, slices
-from .pieces import COUNT_BITS, Lattice, Vocabulary, chunks, lattice
+from .pieces import COUNT_BITS, Lattice, Vocabulary, chunk_places, chunk_texts, lattice
 
 ENCODED = "ids array<int>, costs array<long>, next_ids array<array<int>>"
 CHECKED = ENCODED + ", restored boolean"
@@ -117,6 +117,7 @@ def n_best(text: str, pieces: Lattice, n: int) -> list[tuple[int, tuple[int, ...
 SHORT = 64  # chunks up to this length are solved together, as numpy lanes
 SLICE_CHARS = 1_500_000
 DETOURS_KEPT, DETOUR_IDS_KEPT = 50_000, 5_000_000
+SOLVED_KEPT, SOLVED_IDS_KEPT = 200_000, 2_000_000
 SHIFT = 16  # weights of short chunks: cost << SHIFT | pieces, within 64 bits
 FAR = np.int64(1) << np.int64(60)
 
@@ -190,6 +191,21 @@ class Solved:
     ids: np.ndarray
     begin: np.ndarray
 
+    def spread(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the chunks ``at`` in a row, and where each one's begin (one more at the end)."""
+        counts = np.diff(self.begin)[at]
+        upto = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+        return self.ids[np.repeat(self.begin[at] - upto[:-1], counts) + np.arange(upto[-1])], upto
+
+    def pick(self, at: np.ndarray) -> Solved:
+        return Solved(self.cost[at], self.gap[at], *self.spread(at))
+
+    def join(self, more: Solved) -> Solved:
+        return Solved(
+            np.concatenate([self.cost, more.cost]), np.concatenate([self.gap, more.gap]),
+            np.concatenate([self.ids, more.ids]), np.concatenate([self.begin, self.begin[-1] + more.begin[1:]]),
+        )
+
 
 def solve(found: list[str], vocabulary: Vocabulary) -> Solved:
     """Best segmentations of distinct chunks; the same as ``best_and_gap`` of each."""
@@ -295,10 +311,11 @@ def _edges(codes, starts, lanes, t: Trie) -> list[np.ndarray]:
 
 
 class Encoder:
-    """Encodes slices of texts; remembers the n best of chunks that give small gaps."""
+    """Encodes slices of texts; remembers solved chunks, and the n best of chunks that give small gaps."""
 
     def __init__(self, vocabulary: Vocabulary, n: int) -> None:
         self.vocabulary, self.n = vocabulary, n
+        self._keep(pa.array([], pa.large_binary()), solve([], vocabulary))
         self.detours: dict[str, list[tuple[int, np.ndarray]]] = {}
         self.held = 0  # ids in the detours
 
@@ -314,39 +331,59 @@ class Encoder:
         return out
 
     def _slice(self, texts: list[str]) -> list[tuple[list[np.ndarray], list[int]]]:
-        split = [chunks(t) if t else [] for t in texts]
-        distinct = list({c for cs in split for c in cs})
-        solved = solve(distinct, self.vocabulary)
-        place = {c: k for k, c in enumerate(distinct)}
-        begin = np.concatenate([[0], np.cumsum([len(cs) for cs in split])]).astype(np.int64)
-        occ = np.fromiter(map(place.__getitem__, chain.from_iterable(split)), dtype=np.int64, count=begin[-1])
-        counts = np.diff(solved.begin)[occ]
-        upto = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
-        ids = solved.ids[np.repeat(solved.begin[occ] - upto[:-1], counts) + np.arange(upto[-1])]
-        total = np.concatenate([[0], np.cumsum(solved.cost[occ])])
-        gaps = solved.gap[occ]
+        distinct, occ, begin = chunk_places(texts)
+        at = self._places(distinct)
+        solved, occ_at = self.solved, at[occ]
+        ids, upto = solved.spread(occ_at)
+        total = np.concatenate([[0], np.cumsum(solved.cost[occ_at])])
+        gaps = solved.gap[occ_at]
         out = []
-        for k, cs in enumerate(split):
+        for k in range(len(texts)):
             a, b = begin[k], begin[k + 1]
             cuts = upto[a : b + 1] - upto[a]
-            out.append(self._listed(int(total[b] - total[a]), cs, gaps[a:b], ids[upto[a] : upto[b]], cuts))
+            out.append(self._listed(int(total[b] - total[a]), distinct, occ[a:b], gaps[a:b], ids[upto[a] : upto[b]], cuts))
+        self._forget(distinct, at)
         return out
 
+    def _keep(self, chunks: pa.Array, solved: Solved) -> None:
+        """Chunk k of ``solved`` is ``chunks[k]``."""
+        self.chunks, self.solved = chunks, solved
+
+    def _places(self, distinct: pa.Array) -> np.ndarray:
+        """Places of chunks in ``solved``, where those not yet in it are put."""
+        at = pc.fill_null(pc.index_in(distinct, value_set=self.chunks), -1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(at < 0)
+        at[new] = np.arange(len(new)) + len(self.chunks)
+        fresh = distinct.take(pa.array(new))
+        self._keep(pa.concat_arrays([self.chunks, fresh]), self.solved.join(solve(chunk_texts(fresh), self.vocabulary)))
+        return at
+
+    def _forget(self, distinct: pa.Array, at: np.ndarray) -> None:
+        """Beyond the bounds only the last slice's chunks stay solved, or none if these are too many."""
+        def full() -> bool:
+            return len(self.chunks) > SOLVED_KEPT or len(self.solved.ids) > SOLVED_IDS_KEPT
+
+        if full():
+            self._keep(distinct, self.solved.pick(at))
+        if full():
+            self._keep(pa.array([], pa.large_binary()), self.solved.pick(at[:0]))
+
     def _listed(
-        self, least: int, found: list[str], gaps: np.ndarray, ids: np.ndarray, cuts: np.ndarray
+        self, least: int, distinct: pa.Array, occ: np.ndarray, gaps: np.ndarray, ids: np.ndarray, cuts: np.ndarray
     ) -> tuple[list[np.ndarray], list[int]]:
-        """Ids and costs of the ``n`` best segmentations of a text; chunk k's best ids lie at ``cuts[k:k + 2]``."""
+        """Ids and costs of the ``n`` best segmentations of a text.
+
+        Its chunk k is ``distinct[occ[k]]``, whose best ids lie at ``cuts[k:k + 2]``.
+        """
         if len(self.detours) > DETOURS_KEPT or self.held > DETOUR_IDS_KEPT:
             self.detours.clear()
             self.held = 0
-        near = np.argsort(gaps, kind="stable")[: self.n - 1]
+        near = _smallest(gaps, self.n - 1)
         near = np.sort(near[gaps[near] < FAR]).tolist()
-        choices = [self._detours(found[k]) for k in near]
-        ranked = heapq.nsmallest(
-            self.n,
-            ((least + sum(c[r][0] for c, r in zip(choices, ranks)), ranks) for ranks in _ranks(*map(len, choices))),
-            key=itemgetter(0),
-        )
+        choices = [self._detours(c) for c in chunk_texts(distinct.take(pa.array(occ[near], pa.int64())))]
+        ways = _ranks(self.n, *map(len, choices))
+        costs = [(least + sum(c[r][0] for c, r in zip(choices, ranks)), ranks) for ranks in ways]
+        ranked = sorted(costs, key=itemgetter(0))[: self.n]
         listed = []
         for _, ranks in ranked:
             parts, at = [], 0
@@ -366,10 +403,24 @@ class Encoder:
         return self.detours[chunk]
 
 
+def _smallest(values: np.ndarray, most: int) -> np.ndarray:
+    """Places of the ``most`` smallest values in their order, of equal ones the first."""
+    if not 0 < most < len(values):
+        return np.argsort(values, kind="stable")[:most]
+    may = np.flatnonzero(values <= np.partition(values, most - 1)[most - 1])
+    return may[np.argsort(values[may], kind="stable")[:most]]
+
+
 @lru_cache(maxsize=1000)
-def _ranks(*sizes: int) -> list[tuple[int, ...]]:
-    """Ways to take one of each chunk's segmentations, those of equal cost in their order."""
-    return sorted(product(*map(range, sizes)), key=lambda r: (sum(map(bool, r)), [not x for x in r], r))
+def _ranks(n: int, *sizes: int) -> list[tuple[int, ...]]:
+    """Ways to take one of each chunk's segmentations that can be in the ``n`` best, those of equal cost in their order.
+
+    A way with any lower ranks costs no more and comes before, so one with ``n`` such ways is left out.
+    """
+    found: list[tuple[int, ...]] = [()]
+    for size in sizes:
+        found = [(*r, x) for r in found for x in range(min(size, n // prod(k + 1 for k in r)))]
+    return sorted(found, key=lambda r: (sum(map(bool, r)), [not x for x in r], r))
 
 
 def encode(text: Column | str, vocabulary: Vocabulary, n: int = 4, check: bool = False) -> Column:
@@ -416,7 +467,15 @@ def spell(ids: np.ndarray | None, vocabulary: Vocabulary) -> str | None:
     """The text of an array of ids."""
     if ids is None:
         return None
-    return b"".join(map(lattice(vocabulary).spelled.__getitem__, ids.tolist())).decode("utf-8", "replace")[1:]
+    spelled = _spelled(vocabulary).take(pa.array(np.asarray(ids, dtype=np.int64)))
+    _, bounds, data = spelled.buffers()
+    last = np.frombuffer(bounds, dtype=np.int64)[spelled.offset + len(spelled)] if len(spelled) else 0
+    return str(memoryview(data)[:last], "utf-8", "replace")[1:] if last else ""
+
+
+@lru_cache(maxsize=2)
+def _spelled(vocabulary: Vocabulary) -> pa.Array:
+    return pa.array(lattice(vocabulary).spelled, pa.large_binary())
 
 
 def decode(ids: Column | str, vocabulary: Vocabulary) -> Column:
